@@ -12,6 +12,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _log_gamma = np.vectorize(math.lgamma, otypes=[float])
 _erfc = np.vectorize(math.erfc, otypes=[float])
@@ -102,18 +103,18 @@ def _series(values: np.ndarray) -> pd.Series:
     return pd.Series(values, dtype="object").where(~np.isnan(values), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_quantile_column(p: pd.Series, df: pd.Series) -> pd.Series:
     return _series(t_quantile(p.astype(float).to_numpy(), df.astype(float).to_numpy()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_survival_column(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return _series(
         f_survival(f.astype(float).to_numpy(), df1.astype(float).to_numpy(), df2.astype(float).to_numpy())
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_survival_column(z: pd.Series) -> pd.Series:
     return _series(normal_survival(z.astype(float).to_numpy()))

@@ -17,50 +17,55 @@ def present(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def mean_scalar(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Struct of column means as a scalar subquery: Spark computes the one row first and uses it
-    like a literal, so the table itself needs neither a join nor a shuffle."""
-    return df.agg(F.struct(*[F.avg(present(col(c).cast("double"))).alias(c) for c in cols])).scalar()
+def mean_row(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.agg(*[F.avg(present(col(c).cast("double"))).alias(c) for c in cols])
 
 
-def median_scalar(df: DataFrame, cols: Sequence[str]) -> Column:
+def median_row(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     row = ranks.quantile_row(df, cols, {"median": 0.5})
-    return row.select(F.struct(*[col(c)["median"].alias(c) for c in cols])).scalar()
+    return row.select(*[col(c)["median"].alias(c) for c in cols])
 
 
-def mode_scalar(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Struct of most frequent values (smallest on ties), for columns of any type."""
-    freqs = []
+def fill_with(df: DataFrame, one_row: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Fill missing numbers of each column from a one-row table."""
+    return (
+        ranks.attach(df, one_row, "__fill")
+        .withColumns(
+            {c: F.coalesce(present(col(c).cast("double")), F.col("__fill")[c]) for c in cols}
+        )
+        .drop("__fill")
+    )
+
+
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """Most frequent value (smallest on ties) of columns of any type, as scalar subqueries."""
+    values = {}
     for c in cols:
         counts = df.where(col(c).isNotNull()).groupBy(col(c)).agg(F.count(F.lit(1)).alias("__n"))
         best = counts.agg(F.min_by(col(c), F.struct(-F.col("__n"), col(c))).alias(c))
-        freqs.append(best.scalar().alias(c))
-    return F.struct(*freqs)
+        values[c] = best.scalar()
+    return values
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fill with the column means of `fit_on`, or of the table itself."""
-    mean = mean_scalar(df if fit_on is None else fit_on, cols)
-    return df.withColumns({c: F.coalesce(present(col(c).cast("double")), mean[c]) for c in cols})
+    return fill_with(df, mean_row(df if fit_on is None else fit_on, cols), cols)
 
 
 def fill_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fill with exact medians of `fit_on`, or of the table itself."""
-    med = median_scalar(df if fit_on is None else fit_on, cols)
-    return df.withColumns({c: F.coalesce(present(col(c).cast("double")), med[c]) for c in cols})
+    return fill_with(df, median_row(df if fit_on is None else fit_on, cols), cols)
 
 
 def fill_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    mode = mode_scalar(df if fit_on is None else fit_on, cols)
+    mode = mode_values(df if fit_on is None else fit_on, cols)
     return df.withColumns({c: F.coalesce(col(c), mode[c]) for c in cols})
 
 
 def fill_rounded_mean(df: DataFrame, name: str, places: int = 1) -> DataFrame:
     """Fill with the rounded mean and round every value of the column."""
-    mean = mean_scalar(df, [name])[name]
-    return df.withColumn(
-        name, F.round(F.coalesce(present(col(name)), F.round(mean, places)), places)
-    )
+    rounded_mean = mean_row(df, [name]).select(F.round(col(name), places).alias(name))
+    return fill_with(df, rounded_mean, [name]).withColumn(name, F.round(col(name), places))
 
 
 def sentinel_to_null(df: DataFrame, cols: Sequence[str], sentinel) -> DataFrame:
@@ -89,9 +94,13 @@ def trim_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def cap_outliers(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> DataFrame:
     """Limit values to the quartiles -/+ width * IQR; nulls stay null."""
-    limits = profile.bounds_scalar(df, cols, width)
-    return df.withColumns(
-        {c: clip(col(c).cast("double"), limits[c]["lower"], limits[c]["upper"]) for c in cols}
+    limits = F.col("__limits")
+    return (
+        profile.with_outlier_bounds(df, cols, width)
+        .withColumns(
+            {c: clip(col(c).cast("double"), limits[c]["lower"], limits[c]["upper"]) for c in cols}
+        )
+        .drop("__limits")
     )
 
 
@@ -122,12 +131,13 @@ def clean_measurements(
     classes: Sequence[int],
 ) -> DataFrame:
     """Cleaning chain in its fixed order: mean, median and mode fills, class membership, negatives
-    to the median of the rows kept so far, distinct rows, integer label."""
+    to the median of the rows kept so far, distinct rows, integer label. The three fills touch
+    different columns, so all of them are fitted on the raw table."""
     measures = [*mean_cols, *median_cols]
     return (
-        df.transform(fill_mean, mean_cols)
-        .transform(fill_median, median_cols)
-        .transform(fill_mode, [*mode_cols, label])
+        df.transform(fill_mean, mean_cols, fit_on=df)
+        .transform(fill_median, median_cols, fit_on=df)
+        .transform(fill_mode, [*mode_cols, label], fit_on=df)
         .transform(edit.keep_members, label, classes)
         .transform(edit.negatives_to_median, measures)
         .transform(distinct_rows)

@@ -45,9 +45,11 @@ def overwrite_where(df: DataFrame, condition: Column, name: str, value) -> DataF
 
 def negatives_to_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace negatives by the column median, which is taken with the negatives included."""
-    med = ranks.quantile_row(df, cols, {"median": 0.5}).select(F.struct(*[col(c) for c in cols])).scalar()
-    return df.withColumns(
-        {c: F.when(col(c) < 0, med[c]["median"]).otherwise(col(c)) for c in cols}
+    med = F.col("__med")
+    return (
+        ranks.attach(df, ranks.quantile_row(df, cols, {"median": 0.5}), "__med")
+        .withColumns({c: F.when(col(c) < 0, med[c]["median"]).otherwise(col(c)) for c in cols})
+        .drop("__med")
     )
 
 

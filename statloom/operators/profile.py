@@ -222,15 +222,15 @@ def outlier_bounds(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> Da
     )
 
 
-def bounds_scalar(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> Column:
+def with_outlier_bounds(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> DataFrame:
     row = ranks.as_row(outlier_bounds(df, cols, width), cols, ["lower", "upper"])
-    return row.select(F.struct(*[col(c) for c in cols])).scalar()
+    return ranks.attach(df, row, "__limits")
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> DataFrame:
     """(column, outliers): values strictly outside the quartiles -/+ width * IQR."""
-    limits = bounds_scalar(df, cols, width)
-    wide = df.agg(
+    limits = F.col("__limits")
+    wide = with_outlier_bounds(df, cols, width).agg(
         *[
             F.count_if((col(c) < limits[c]["lower"]) | (col(c) > limits[c]["upper"])).alias(c)
             for c in cols
@@ -290,11 +290,11 @@ def extreme_correlated(df: DataFrame, target: str, cols: Sequence[str], k: int)
 def subset_class_share(df: DataFrame, a: str, b: str, label: Column, name: str = "share") -> DataFrame:
     """Rows with both columns above their medians, and with both at or below: size of the subset
     and share of the rows where `label` holds."""
-    med = ranks.quantile_row(df, [a, b], {"median": 0.5}).select(F.struct(col(a), col(b))).scalar()
-    ma, mb = med[a]["median"], med[b]["median"]
+    med = ranks.quantile_row(df, [a, b], {"median": 0.5})
+    ma, mb = F.col("__med")[a]["median"], F.col("__med")[b]["median"]
     side = F.when((col(a) > ma) & (col(b) > mb), "high").when((col(a) <= ma) & (col(b) <= mb), "low")
     hit = F.when(label, 1.0).otherwise(0.0)
-    wide = df.withColumn("__side", side).agg(
+    wide = ranks.attach(df, med, "__med").withColumn("__side", side).agg(
         *[
             stat.alias(f"{s}_{n}")
             for s in ("high", "low")

@@ -186,6 +186,13 @@ def frequency_modes(freq: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def attach(df: DataFrame, one_row: DataFrame, name: str = "__stats") -> DataFrame:
+    """Add a one-row table to every row as a struct column. It is a scalar subquery: Spark computes
+    the row once and uses it like a literal, so the table itself is neither joined nor shuffled.
+    Keeping it as one column also keeps it a single subquery, however often it is read."""
+    return df.withColumn(name, one_row.select(F.struct(*[col(c) for c in one_row.columns])).scalar())
+
+
 def positional_index(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Number the rows 0..n-1 in the given order without a single-partition window.
 

@@ -9,6 +9,10 @@ from statloom.plans.registry import REGISTRY
 MODULES = [
     "relational",
     "profiling",
+    "cleaning",
+    "expressions",
+    "inference",
+    "charts",
 ]
 
 for _module in MODULES:

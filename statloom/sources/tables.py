@@ -60,7 +60,14 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, date_format: str = "dd-MM-yyyy") -> None:
-    df.write.mode("overwrite").option("header", True).option("dateFormat", date_format).csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("dateFormat", date_format)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
