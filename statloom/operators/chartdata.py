@@ -22,25 +22,13 @@ def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Colu
     return F.greatest(F.lit(0), F.least(F.lit(bins - 1), place)).cast("int")
 
 
-def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: a struct (low, high) per column."""
-    return df.agg(
-        *[
-            F.struct(
-                F.min(col(c).cast("double")).alias("low"), F.max(col(c).cast("double")).alias("high")
-            ).alias(c)
-            for c in cols
-        ]
-    )
-
-
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     """(column, bin, low, high, n) of equal-width bins, empty ones included; nulls are dropped.
 
     Bins are counted per column within one scan, at most `bins` rows per column and task are
     shuffled."""
     limits = F.col("__range")
-    binned = ranks.attach(df, extent(df, cols), "__range").select(
+    binned = ranks.attach(df, ranks.extent(df, cols), "__range").select(
         *[
             equal_width_bin(col(c).cast("double"), limits[c]["low"], limits[c]["high"], bins).alias(c)
             for c in cols
@@ -52,7 +40,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
         .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = extent(df, cols).select(
+    frame = ranks.extent(df, cols).select(
         F.inline(
             F.array(
                 *[F.struct(F.lit(c).alias("column"), col(c)["low"].alias("lo"), col(c)["high"].alias("hi")) for c in cols]
@@ -123,57 +111,54 @@ def density(
     step = (F.col("__hi") - F.col("__lo") + 2 * cut * F.col("__h")) / (points - 1)
     shape = joined.withColumn("__low", low).withColumn("__step", step)
     kernels = [
-        F.sum(
-            F.exp(
-                -0.5
-                * F.pow((F.col("__low") + F.lit(i) * F.col("__step") - F.col("__v")) / F.col("__h"), F.lit(2.0))
-            )
-        ).alias(f"k{i}")
+        F.expr(f"sum(exp(-0.5D * pow((__low + {i} * __step - __v) / __h, 2))) AS k{i}")
         for i in range(points)
     ]
     sums = shape.groupBy(*by, "__n", "__h", "__low", "__step").agg(*kernels)
-    rows = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("point"),
-                    (F.col("__low") + i * F.col("__step")).alias("x"),
-                    (F.col(f"k{i}") / (F.col("__n") * F.col("__h") * ROOT_TWO_PI)).alias("density"),
-                )
-                for i in range(points)
-            ]
-        )
+    curve = sums.select(
+        *by, "__n", "__h", "__low", "__step", F.array(*[f"k{i}" for i in range(points)]).alias("k")
+    ).select(*by, "__n", "__h", "__low", "__step", F.posexplode("k").alias("point", "k"))
+    return curve.select(
+        *by,
+        "point",
+        (F.col("__low") + F.col("point") * F.col("__step")).alias("x"),
+        (F.col("k") / (F.col("__n") * F.col("__h") * ROOT_TWO_PI)).alias("density"),
     )
-    return sums.select(*by, rows)
 
 
 def pair_bins(
-    df: DataFrame, cols: Sequence[str], label: str, bins: int = 10, names: Sequence[str] | None = None
+    df: DataFrame, cols: Sequence[str], label: str, bins: int = 10
 ) -> DataFrame:
-    """Pair plot as counts: (x, y, label, x_bin, y_bin, n) for every pair of columns."""
+    """Pair plot as counts: (x, y, label, x_bin, y_bin, n) for every pair of columns. A task ships
+    at most one row per pair, label and occupied cell."""
     limits = F.col("__range")
-    binned = ranks.attach(df, extent(df, cols), "__range").select(
+    binned = ranks.attach(df, ranks.extent(df, cols), "__range").select(
         col(label),
         *[
             equal_width_bin(col(c).cast("double"), limits[c]["low"], limits[c]["high"], bins).alias(f"__{c}")
             for c in cols
         ],
     )
-    # The rows are first reduced to the occupied cells of all binned columns together.
-    occupied = binned.groupBy(col(label), *[col(f"__{c}") for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(x).alias("x"), F.lit(y).alias("y"), col(f"__{x}").alias("x_bin"), col(f"__{y}").alias("y_bin")
-            )
-            for x, y in (combinations(cols, 2) if names is None else [tuple(names)])
-        ]
+    # A pair's two bins travel as one number, so the pairs are an unpivot over plain columns.
+    pairs = list(combinations(cols, 2))
+    joint = binned.select(
+        col(label),
+        *[(col(f"__{x}") * bins + col(f"__{y}")).alias(f"{i}") for i, (x, y) in enumerate(pairs)],
     )
-    return (
-        occupied.select(col(label), "__n", F.inline(pairs))
-        .where("x_bin IS NOT NULL AND y_bin IS NOT NULL")
-        .groupBy("x", "y", col(label), "x_bin", "y_bin")
-        .agg(F.sum("__n").alias("n"))
+    counts = (
+        joint.unpivot([col(label)], [col(f"{i}") for i in range(len(pairs))], "pair", "cell")
+        .where("cell IS NOT NULL")
+        .groupBy("pair", col(label), "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    at = F.col("pair").cast("int")
+    return counts.select(
+        F.element_at(F.array(*[F.lit(x) for x, _ in pairs]), at + 1).alias("x"),
+        F.element_at(F.array(*[F.lit(y) for _, y in pairs]), at + 1).alias("y"),
+        col(label),
+        F.floor(F.col("cell") / bins).cast("int").alias("x_bin"),
+        (F.col("cell") % bins).alias("y_bin"),
+        "n",
     )
 
 

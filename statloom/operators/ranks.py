@@ -1,9 +1,9 @@
 """Order statistics that never put a whole column, or a whole group, into one task.
 
-Values are first counted per distinct value, a shuffle with map-side combining whose key contains
-the value and therefore spreads even one dominating group. Each value is then mapped to a cell by a
-monotone function. Cell counts are small, so running totals over them are cheap; only the cells
-that hold a wanted rank are opened and sorted.
+Each value is mapped to a cell by a monotone function. Cells are counted with map-side combining,
+so a task ships a few thousand rows at most, and running totals over cells are cheap. Only cells
+that hold a wanted rank are opened: their values are counted per distinct value, which collapses
+repeated values before they travel, and sorted within the cell.
 """
 
 from __future__ import annotations
@@ -68,6 +68,18 @@ def with_cells(freq: DataFrame, series: Sequence[str] = ("column",)) -> DataFram
     )
 
 
+def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: a struct (low, high) per column."""
+    return df.agg(
+        *[
+            F.struct(
+                F.min(col(c).cast("double")).alias("low"), F.max(col(c).cast("double")).alias("high")
+            ).alias(c)
+            for c in cols
+        ]
+    )
+
+
 def cell_totals(cells: DataFrame, keys: Sequence[str], weights: Sequence[str] = ("n",)) -> DataFrame:
     """Per key and cell: the weights, their sums over earlier cells (`<w>_before`) and in all
     (`<w>_total`)."""
@@ -104,10 +116,15 @@ def running_totals(freq: DataFrame, keys: Sequence[str], weights: Sequence[str])
 
 
 def frequency_quantiles(
-    freq: DataFrame, keys: Sequence[str], probs: dict[str, float], series: Sequence[str] = ("column",)
+    freq: DataFrame,
+    keys: Sequence[str],
+    probs: dict[str, float],
+    series: Sequence[str] = ("column",),
+    few_keys: bool | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key and one column per entry of
-    `probs`."""
+    """Exact quantiles with linear interpolation of (keys..., value, n): one row per key and one
+    column per entry of `probs`. Values may repeat. `few_keys` states that the number of keys is
+    bounded whatever the data holds; it lets the opened cells be found by a broadcast."""
     cells = with_cells(freq, series)
     totals = cell_totals(cells, keys)
     position = {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in probs.items()}
@@ -118,17 +135,22 @@ def frequency_quantiles(
         inside = (rank >= start) & (rank < stop)
         hit = inside if hit is None else hit | inside
     hits = totals.where(hit).drop("n")
-    if set(keys) <= {"column"}:
-        # At most two cells per quantile and profiled column: bounded by the call, not the data.
+    if few_keys or (few_keys is None and set(keys) <= {"column"}):
+        # At most two cells per key and quantile: bounded by the call, not by the data.
         hits = F.broadcast(hits)
-    opened = cells.join(hits, [*keys, "cell"])
+    opened = (
+        cells.join(hits, [*keys, "cell"])
+        .groupBy(*keys, "cell", "n_before", "n_total", "value")
+        .agg(F.sum("n").alias("n"))
+    )
     within = (
         Window.partitionBy(*keys, "cell")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = opened.withColumn("stop", F.col("n_before") + F.sum("n").over(within)).withColumn(
-        "start", F.col("stop") - F.col("n")
+    upto = F.col("n_before") + F.sum("n").over(within)
+    ranked = opened.select(
+        *keys, "n_total", "value", (upto - F.col("n")).alias("start"), upto.alias("stop")
     )
 
     def at(rank: Column) -> Column:
@@ -152,10 +174,24 @@ def frequency_quantiles(
 
 
 def quantiles(
-    df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: dict[str, float],
+    by: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
-    """(by..., column, <one column per quantile>), exact."""
-    return frequency_quantiles(frequencies(df, cols, by), [*by, "column"], probs)
+    """(by..., column, <one column per quantile>), exact.
+
+    Without groups, or with a number of groups the caller has bounded, the table is scanned for
+    the range, for the cell counts and for the opened cells, and no row-sized shuffle takes place.
+    With unbounded groups the values are counted once per group and distinct value, a shuffle
+    whose key contains the value and therefore spreads a dominating group.
+    """
+    keys = [*by, "column"]
+    if by and not few_groups:
+        return frequency_quantiles(frequencies(df, cols, by), keys, probs, few_keys=False)
+    values = long_values(df, cols, by).withColumn("n", F.lit(1).cast("bigint"))
+    return frequency_quantiles(values, keys, probs, few_keys=True)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> DataFrame:
