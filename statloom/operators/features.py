@@ -1,4 +1,260 @@
+"""Splitting, scaling, encoding and projection of features."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-def in_test(key, share, seed=""):
-    digest = F.substring(F.md5(F.concat(key.cast("string"), F.lit(seed))), 1, 8)
-    return F.conv(digest, 16, 10).cast("bigint") % 100 < F.lit(share*100)
+
+from statloom.functions.scalar import mapped
+from statloom.operators import clean, linear, profile, ranks
+from statloom.operators.ranks import attach, col
+
+# Encoders expand a column over its categories only up to this many of them.
+MAX_CATEGORIES = 256
+
+
+def key_hash(key: Column, seed: str = "", digits: int = 8) -> Column:
+    """Number from the first hex digits of the key's MD5: the same under any partitioning."""
+    text = F.concat(key.cast("string"), F.lit(seed)) if seed else key.cast("string")
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
+def in_test(key: Column, share: float = 0.2, seed: str = "") -> Column:
+    """Whether a row belongs to the held-out share, decided by its key alone."""
+    return key_hash(key, seed) % 100 < F.lit(int(round(share * 100)))
+
+
+def random_split(df: DataFrame, key: str, share: float = 0.2, seed: str = "") -> tuple[DataFrame, DataFrame]:
+    """(train, test) by key hash, without a shuffle."""
+    held_out = in_test(col(key), share, seed)
+    return df.where(~held_out), df.where(held_out)
+
+
+def stratified_flag(
+    df: DataFrame, label: str, key: str, share: float = 0.2, name: str = "is_test"
+) -> DataFrame:
+    """Adds a flag that marks, per label, exactly round(share * n) rows: those with the smallest
+    key hashes.
+
+    Hashes are counted per label and cell, the cell that holds the last marked row is found from
+    the running totals, and only its rows are ranked. That yields one cut per label, so even a
+    label with most of the rows is neither sorted nor gathered.
+    """
+    hashed = df.select(
+        col(label), col(key).alias("__key"), key_hash(col(key), digits=13).alias("__hash")
+    ).withColumn("cell", F.shiftright("__hash", 40))
+    hashed = hashed.where(col(label).isNotNull())
+    totals = ranks.cell_totals(hashed.withColumn("n", F.lit(1)), [label])
+    wanted = F.floor(F.lit(share) * F.col("n_total") + 0.5)
+    edge = totals.where((wanted > F.col("n_before")) & (wanted <= F.col("n_before") + F.col("n")))
+    edge = edge.select(label, "cell", (wanted - F.col("n_before")).alias("__place"))
+    inside = Window.partitionBy(label, "cell").orderBy("__hash", "__key")
+    cut = (
+        hashed.join(edge, [label, "cell"])
+        .withColumn("__rank", F.row_number().over(inside))
+        .where("__rank = __place")
+        .select(label, F.struct("__hash", "__key").alias("__cut"))
+    )
+    here = F.struct(key_hash(col(key), digits=13).alias("__hash"), col(key).alias("__key"))
+    return (
+        df.join(cut, label, "left")
+        .withColumn(name, F.coalesce(here <= F.col("__cut"), F.lit(False)))
+        .select(*[col(c) for c in df.columns], name)
+    )
+
+
+def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / population deviation; a constant column becomes zero."""
+    basis = df if fit_on is None else fit_on
+    stats = basis.agg(
+        *[
+            F.struct(F.avg(col(c)).alias("mean"), F.stddev_pop(col(c)).alias("std")).alias(c)
+            for c in cols
+        ]
+    )
+    s = F.col("__stats")
+    return (
+        attach(df, stats)
+        .withColumns(
+            {
+                c: (col(c) - s[c]["mean"]) / F.when(s[c]["std"] > 0, s[c]["std"]).otherwise(F.lit(1.0))
+                for c in cols
+            }
+        )
+        .drop("__stats")
+    )
+
+
+def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Scale to [0, 1]; a constant column becomes zero."""
+    s = F.col("__stats")
+    return (
+        attach(df, ranks.extent(df if fit_on is None else fit_on, cols))
+        .withColumns(
+            {
+                c: (col(c) - s[c]["low"])
+                / F.when(s[c]["high"] > s[c]["low"], s[c]["high"] - s[c]["low"]).otherwise(F.lit(1.0))
+                for c in cols
+            }
+        )
+        .drop("__stats")
+    )
+
+
+def fit_categories(
+    df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES
+) -> dict[str, list[str] | None]:
+    """Sorted categories of each column, or None where there are more than `limit`. The number of
+    categories is estimated first with fixed-size sketches, so only small sets are ever built."""
+    estimates = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in cols]).first()
+    small = [c for c in cols if estimates[c] <= limit * 1.2]
+    found: dict[str, list[str] | None] = dict.fromkeys(cols)
+    if small:
+        row = df.agg(*[F.collect_set(col(c).cast("string")).alias(c) for c in small]).first()
+        found.update({c: sorted(row[c]) for c in small if len(row[c]) <= limit})
+    return found
+
+
+def one_hot(
+    df: DataFrame,
+    cols: Sequence[str],
+    drop_first: bool = True,
+    categories: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Replace each column by 0/1 columns `<column>_<category>`, categories in sorted order, the
+    first one dropped. Null has zeros everywhere."""
+    known = categories if categories is not None else fit_categories(df, cols)
+    wide = [c for c in cols if known[c] is None]
+    if wide:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories, label-encode instead: {wide}")
+    flags = {
+        f"{c}_{v}": F.when(col(c).cast("string") == v, F.lit(1)).otherwise(F.lit(0))
+        for c in cols
+        for v in list(known[c])[1 if drop_first else 0 :]
+    }
+    return df.withColumns(flags).drop(*cols) if flags else df.drop(*cols)
+
+
+def label_encode(
+    df: DataFrame, cols: Sequence[str], categories: Mapping[str, Sequence[str] | None] | None = None
+) -> DataFrame:
+    """Replace each column by the 0-based rank of its value among the sorted distinct values; null
+    stays null. Small category sets become an expression. For larger ones the distinct values are
+    numbered by a distributed sort and joined."""
+    known = categories if categories is not None else fit_categories(df, cols)
+    out = df
+    for c in cols:
+        if known[c] is not None:
+            place = F.array_position(F.array(*[F.lit(v) for v in known[c]]), col(c).cast("string"))
+            out = out.withColumn(c, F.when(place > 0, place - 1).cast("bigint"))
+        else:
+            values = df.select(col(c)).where(col(c).isNotNull()).distinct()
+            codes = ranks.positional_index(values, [c], "__code")
+            out = out.join(codes, c, "left").withColumn(c, F.col("__code")).drop("__code")
+    return out.select(*[col(c) for c in df.columns])
+
+
+def interaction(df: DataFrame, a: str, b: str, name: str | None = None) -> DataFrame:
+    return df.withColumn(name or f"{a}_{b}_interaction", col(a) * col(b))
+
+
+def log_transform(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(f"{name}_log", F.log1p(col(name)))
+
+
+def column_transform(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Scaled numeric and one-hot categorical columns next to `keep`; all other columns are
+    dropped."""
+    picked = df.select(*[col(c) for c in [*keep, *numeric, *categorical]])
+    return one_hot(standard_scale(picked, numeric), categorical)
+
+
+def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], output: str = "features") -> Pipeline:
+    """The same preparation as stages of a saved model. The category index is in descending order
+    so that the encoder drops the alphabetically first category."""
+    indexed = [f"__{c}_index" for c in categorical]
+    encoded = [f"__{c}_vector" for c in categorical]
+    stages = [
+        VectorAssembler(inputCols=list(numeric), outputCol="__numeric"),
+        StandardScaler(inputCol="__numeric", outputCol="__scaled", withMean=True, withStd=True),
+    ]
+    if categorical:
+        stages += [
+            StringIndexer(inputCols=list(categorical), outputCols=indexed, stringOrderType="alphabetDesc"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+        ]
+    stages.append(VectorAssembler(inputCols=["__scaled", *encoded], outputCol=output))
+    return Pipeline(stages=stages)
+
+
+def encode_table(
+    df: DataFrame,
+    target: str,
+    target_codes: Mapping[str, int],
+    sentinel: str = "?",
+    threshold: int = 5,
+) -> DataFrame:
+    """Preparation chain of a mixed table: trim strings, sentinel to null, mode fill, one-hot for
+    columns below `threshold` categories and label codes for the others, target mapping."""
+    strings = profile.columns_by_type(df, "string")
+    others = [c for c in strings if c != target]
+    cleaned = (
+        df.transform(clean.trim_strings, strings)
+        .transform(clean.sentinel_to_null, strings, sentinel)
+    )
+    filled = clean.fill_mode(cleaned, others, fit_on=cleaned)
+    known = fit_categories(filled, others)
+    low = [c for c in others if known[c] is not None and len(known[c]) < threshold]
+    high = [c for c in others if c not in low]
+    return (
+        filled.transform(one_hot, low, True, known)
+        .transform(label_encode, high, known)
+        .withColumn(target, mapped(col(target), target_codes))
+    )
+
+
+@dataclass(frozen=True)
+class Projection:
+    """Fitted principal components: `loadings` has one row per component."""
+
+    cols: tuple[str, ...]
+    mean: np.ndarray
+    scale: np.ndarray
+    loadings: np.ndarray
+    variance: np.ndarray
+
+    def columns(self, prefix: str = "pc") -> list[Column]:
+        """The components as column expressions, so projecting stays inside the JVM."""
+        out = []
+        for k, weights in enumerate(self.loadings):
+            terms = [
+                (col(c) - F.lit(float(m))) * F.lit(float(w / s))
+                for c, m, s, w in zip(self.cols, self.mean, self.scale, weights)
+            ]
+            total = terms[0]
+            for term in terms[1:]:
+                total = total + term
+            out.append(total.alias(f"{prefix}{k + 1}"))
+        return out
+
+
+def fit_pca(df: DataFrame, cols: Sequence[str], k: int = 2, standardise: bool = True) -> Projection:
+    """Principal components of centred, by default standardised, columns. Only the moment matrix
+    reaches the driver. Each component is signed so that its largest loading is positive."""
+    m = linear.fit_moments(df, cols)[()]
+    scale = np.sqrt(np.diag(m.cov)) if standardise else np.ones(len(cols))
+    scale = np.where(scale > 0, scale, 1.0)
+    values, vectors = np.linalg.eigh(m.cov / np.outer(scale, scale))
+    order = np.argsort(values)[::-1][:k]
+    loadings = vectors[:, order].T
+    signs = np.sign(loadings[np.arange(len(order)), np.abs(loadings).argmax(axis=1)])
+    unbiased = m.n / (m.n - 1) if m.n > 1 else 1.0
+    return Projection(tuple(cols), m.mean, scale, loadings * signs[:, None], values[order] * unbiased)

@@ -13,6 +13,8 @@ MODULES = [
     "expressions",
     "inference",
     "charts",
+    "features",
+    "evaluation",
 ]
 
 for _module in MODULES:
