@@ -15,6 +15,8 @@ MODULES = [
     "charts",
     "features",
     "evaluation",
+    "models",
+    "scoring",
 ]
 
 for _module in MODULES:

@@ -267,12 +267,12 @@ def pps_sql() -> str:
                 SELECT '{x}', '{y}', (SELECT greatest(0, 1 - sum(abs(r.y - coalesce(a.p, b.p))) / sum(abs(r.y - b.p)))
                 FROM ({base}) r CROSS JOIN (SELECT quantile_cont({y}, 0.5) AS p FROM orders) b
                 LEFT JOIN (SELECT h, bin, quantile_cont(y, 0.5) AS p FROM ({base}), range(4) f(h)
-                           WHERE h <> fold GROUP BY ALL) a ON a.h = r.fold AND a.bin = r.bin)""")
+                           WHERE h <> fold GROUP BY h, bin) a ON a.h = r.fold AND a.bin = r.bin)""")
             else:
                 parts.append(f"""
                 SELECT '{x}', '{y}', (WITH r AS ({base}),
                 g AS (SELECT h, bin, y, row_number() OVER (PARTITION BY h, bin ORDER BY count(*) DESC, y) AS k
-                      FROM r, range(4) f(h) WHERE h <> fold GROUP BY ALL),
+                      FROM r, range(4) f(h) WHERE h <> fold GROUP BY h, bin, y),
                 p AS (SELECT r.y, g.y AS p FROM r JOIN g ON g.h = r.fold AND g.bin = r.bin AND k = 1),
                 c AS (SELECT y, count(*) AS s, count(*) FILTER (y = p) AS hit FROM p GROUP BY 1),
                 q AS (SELECT p, count(*) AS q FROM p GROUP BY 1),

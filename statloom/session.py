@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -47,3 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/statloom-{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder once and go on from the files: for results that are
+    costly to compute and read several times. Survives the loss of any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
