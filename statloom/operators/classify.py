@@ -38,6 +38,13 @@ def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> Da
     )
 
 
+def compact(df: DataFrame, rows: int, width: int, bytes_each: int = 64 << 20) -> DataFrame:
+    """Merge partitions of a small training table: every step of an optimizer is a job, so its
+    cost is the number of tasks. A table that fills its partitions is left alone, as merging to
+    more partitions than there are changes nothing."""
+    return df.coalesce(max(1, -(-rows * width * 8 // bytes_each)))
+
+
 def logistic(n: int, c: float = 1.0, label: str = "label", max_iter: int = 1000) -> LogisticRegression:
     """Logistic regression with a squared penalty on the coefficients and none on the intercept.
     Features are used as given."""
@@ -147,6 +154,7 @@ def fit_kernel_svm(
     c: float = 1.0,
     gamma: float | None = None,
     size: int = 256,
+    max_iter: int = 50,
 ) -> DataFrame:
     """Train on one table and predict another: `test` with a `prediction` column. The mapped
     training rows are kept on executor disks for the passes of the optimizer."""
@@ -157,9 +165,10 @@ def fit_kernel_svm(
     mapped = kernel_features(train, cols, kernel, g, size).select(
         col(label).cast("double").alias("label"), "features"
     )
+    mapped = compact(mapped, moments.n, size)
     mapped.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = linear_svm(moments.n, c).fit(mapped)
+        model = linear_svm(moments.n, c, max_iter=max_iter).fit(mapped)
     finally:
         mapped.unpersist()
     scored = model.transform(kernel_features(test, cols, kernel, g, size))
@@ -211,6 +220,7 @@ def grid_search(
             .apply(stratified_folds(train, label, key, folds), cols)
             .select(col(label).cast("double").alias("label"), "fold", "features")
         )
+        mapped = compact(mapped, moments.n, size)
         mapped.persist(StorageLevel.MEMORY_AND_DISK)
         machine = linear_svm(moments.n, max_iter=max_iter)
         grid = ParamGridBuilder().addGrid(machine.regParam, [1.0 / (c * in_fold) for c in cs]).build()

@@ -232,17 +232,15 @@ class Projection:
     variance: np.ndarray
 
     def columns(self, prefix: str = "pc") -> list[Column]:
-        """The components as column expressions, so projecting stays inside the JVM."""
+        """The components as column expressions, so projecting stays inside the JVM. Each is an
+        inner product of two arrays: a sum written out over many columns would burden the
+        optimizer."""
+        x = F.array(*[col(c).cast("double") for c in self.cols])
         out = []
-        for k, weights in enumerate(self.loadings):
-            terms = [
-                (col(c) - F.lit(float(m))) * F.lit(float(w / s))
-                for c, m, s, w in zip(self.cols, self.mean, self.scale, weights)
-            ]
-            total = terms[0]
-            for term in terms[1:]:
-                total = total + term
-            out.append(total.alias(f"{prefix}{k + 1}"))
+        for k, weights in enumerate(self.loadings / self.scale):
+            w = F.array(*[F.lit(float(v)) for v in weights])
+            dot = F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+            out.append((dot - F.lit(float(weights @ self.mean))).alias(f"{prefix}{k + 1}"))
         return out
 
 

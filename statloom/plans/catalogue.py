@@ -16,6 +16,7 @@ MODULES = [
     "features",
     "evaluation",
     "models",
+    "reports",
     "scoring",
 ]
 

@@ -8,6 +8,7 @@ from statloom.operators import classify, evaluate, features, forest, linear
 from statloom.plans.features import HASH
 from statloom.plans.profiling import MEASURES, rounded
 from statloom.plans.registry import query
+from statloom.session import materialise
 from statloom.sources.tables import table
 
 X, Y = ["l_quantity", "l_discount"], "l_extendedprice"
@@ -163,11 +164,11 @@ def labelled_documents(spark, root):
 
 
 def fit_logistic(spark, root):
-    data = classify.assemble(
-        labelled_documents(spark, root), DOC_FEATURES, ["doc_id", "quality", "label", "is_test"]
-    ).persist()
+    table_of_features = materialise(labelled_documents(spark, root), "documents")
+    data = classify.assemble(table_of_features, DOC_FEATURES, ["doc_id", "quality", "label", "is_test"])
     train = data.where("NOT is_test")
-    model = classify.logistic(train.count()).fit(train)
+    n = train.count()
+    model = classify.logistic(n).fit(classify.compact(train, n, len(DOC_FEATURES)))
     scored = model.transform(data.where("is_test"))
     return model, scored.select(
         "doc_id",
@@ -199,7 +200,8 @@ def embedded(spark, root, components=6):
     )
     fit = features.fit_pca(wide, names, components, standardise=False)
     cols = [f"pc{i + 1}" for i in range(components)]
-    projected = wide.select("vec_id", "label", *fit.columns())
+    # The optimizer of a machine passes over its rows many times: keep the few projected columns.
+    projected = materialise(wide.select("vec_id", "label", *fit.columns()), "components")
     flagged = features.stratified_flag(projected, "label", "vec_id", 0.2)
     scaled = features.standard_scale(flagged, cols, fit_on=flagged.where("NOT is_test"))
     return scaled.where("NOT is_test").drop("is_test"), scaled.where("is_test").drop("is_test"), cols

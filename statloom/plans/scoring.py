@@ -49,7 +49,8 @@ def score_batch(spark, root):
 @query("score_stream", "T1 S8")
 def score_stream(spark, root):
     """The customers as a file stream; the result is read back from the sink."""
-    stream = spark.readStream.schema(SCHEMAS["customer"]).parquet(f"{root}/customer.parquet")
+    # A pattern, so that the table may be one file or a folder of files.
+    stream = spark.readStream.schema(SCHEMAS["customer"]).parquet(f"{root}/customer.parque[t]")
     output = scratch_path(spark, "scores")
     running = scoring.score_stream(
         stream,
