@@ -16,10 +16,11 @@ ROOT_TWO_PI = 2.5066282746310002
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based bin of [low, high]; bins are half open but for the last. A range without width
-    puts everything into bin 0."""
+    puts everything into bin 0; missing values have no bin."""
     width = (high - low) / bins
     place = F.floor((value - low) / F.when(width > 0, width).otherwise(1.0))
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), place)).cast("int")
+    inside = F.greatest(F.lit(0), F.least(F.lit(bins - 1), place))
+    return F.when(value.isNotNull() & ~F.isnan(value), inside).cast("int")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
