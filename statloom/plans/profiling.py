@@ -264,7 +264,7 @@ def with_target(spark, root):
 
 @query(
     "corr_target_topk",
-    "G18 O4 O6 X7",
+    "G18 O4 O6 X7 U6",
     f"SELECT \"column\", round(r, 4) AS r FROM ({RANKED}) ORDER BY abs(r) DESC, \"column\" LIMIT 3",
 )
 def corr_target_topk(spark, root):
