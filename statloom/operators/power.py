@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.operators import ranks, relate
+from statloom.operators.chartdata import equal_width_bin
 from statloom.operators.evaluate import ratio
 from statloom.operators.features import MAX_CATEGORIES, fit_categories, key_hash
 from statloom.operators.ranks import attach, col
 
 FOLDS = 4
+# Room for the bins of one predictor.
+SPAN = 1 << 16
 
 
 def pps_matrix(
@@ -33,14 +36,19 @@ def pps_matrix(
     names = [*numeric, *categorical]
     limits = F.col("__range")
     binned: dict[str, Column] = {
-        c: _bin(col(c).cast("double"), limits[c]["low"], limits[c]["high"], bins).cast("string") for c in numeric
+        c: equal_width_bin(col(c).cast("double"), limits[c]["low"], limits[c]["high"], bins) for c in numeric
+    }
+    binned |= {
+        c: F.array_position(F.array(*[F.lit(v) for v in known[c]]), col(c).cast("string")).cast("int")
+        for c in categorical
     }
-    binned |= {c: col(c).cast("string") for c in categorical}
     source = df.dropna(subset=names)
+    # Bins of all predictors are numbers from disjoint ranges: the number tells the predictor.
     rows = (attach(source, ranks.extent(source, numeric), "__range") if numeric else source).select(
         (key_hash(col(key)) % FOLDS).cast("int").alias("fold"),
-        *[expr.alias(f"bin_{c}") for c, expr in binned.items()],
+        *[(expr + i * SPAN).alias(f"bin_{c}") for i, (c, expr) in enumerate(binned.items())],
         *[col(c).cast("double").alias(f"num_{c}") for c in numeric],
+        *[col(c).cast("string").alias(f"y_{c}") for c in categorical],
     )
     parts = []
     if numeric:
@@ -56,41 +64,57 @@ def pps_wide(scores: DataFrame, names: Sequence[str]) -> DataFrame:
     return relate.pivot(scores, "x", "y", "score", names)
 
 
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    from statloom.operators.chartdata import equal_width_bin
-
-    return equal_width_bin(value, low, high, bins)
-
-
 def _diagonal(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n, n, 1.0) for n in names], "x string, y string, score double")
 
 
 def _by_x(rows: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """(fold, keep..., x, bin): one row per predictor column."""
-    return rows.unpivot(
-        ["fold", *[col(c) for c in keep]], [col(f"bin_{c}") for c in names], "x", "bin"
-    ).withColumn("x", F.substring("x", 5, 1_000_000))
+    """(fold, keep..., bin): one row per predictor column."""
+    long = rows.unpivot(["fold", *[col(c) for c in keep]], [col(f"bin_{c}") for c in names], "x", "bin")
+    return long.drop("x")
+
+
+def _with_x(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    place = F.floor(F.col("bin") / SPAN).cast("int") + 1
+    return df.withColumn("x", F.element_at(F.array(*[F.lit(n) for n in names]), place))
+
+
+def _held() -> Column:
+    return F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held")
+
+
+def _training_medians(long: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """(bin, held, column, answer): medians over the rows of all folds but the held-out one. Folds
+    are combined on the level of cell counts, so a row is counted once, not once per fold it
+    trains. There are bins x folds x targets keys: bounded by the call."""
+    values = long.unpivot(["fold", "bin"], [col(t) for t in targets], "column", "value")
+    cells = ranks.with_cells(values.withColumn("n", F.lit(1).cast("bigint")))
+    counts = cells.groupBy("bin", "column", "cell", "fold").agg(F.sum("n").alias("n"))
+    keys, half = ["bin", "column", "held"], {"answer": 0.5}
+    training = counts.select("*", _held()).where("held <> fold")
+    hits = ranks.wanted_cells(ranks.cell_totals(training, keys), half)
+    opened = (
+        cells.join(F.broadcast(hits), ["bin", "column", "cell"])
+        .where("held <> fold")
+        .groupBy(*keys, "cell", "n_before", "n_total", "value")
+        .agg(F.sum("n").alias("n"))
+    )
+    return ranks.opened_quantiles(opened, keys, half)
 
 
 def _numeric_scores(rows: DataFrame, names: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     targets = [f"num_{c}" for c in numeric]
     long = _by_x(rows, names, targets)
-    # A row trains the predictors of the other folds. Keys are bins x folds x columns: bounded.
-    training = long.withColumn(
-        "held", F.explode(F.array(*[F.lit(f) for f in range(FOLDS)]))
-    ).where("held <> fold")
-    keys = ["x", "bin", "held"]
-    answers = ranks.quantiles(training, targets, {"answer": 0.5}, keys, few_groups=True)
+    answers = _training_medians(long, targets)
     naive = ranks.quantile_row(rows, targets, {"answer": 0.5})
     # Back to one row per bin and fold with a column per target, so that rows need one lookup.
-    lookup = answers.groupBy(*keys).agg(
+    lookup = answers.groupBy("bin", F.col("held").alias("fold")).agg(
         *[F.max(F.when(F.col("column") == t, F.col("answer"))).alias(f"answer_{t}") for t in targets]
     )
     scored = attach(long, naive, "__naive").join(
-        F.broadcast(lookup.withColumnRenamed("held", "fold")), ["x", "bin", "fold"], "left"
+        F.broadcast(lookup), ["bin", "fold"], "left"
     )
-    errors = scored.groupBy("x").agg(
+    errors = scored.groupBy(F.floor(F.col("bin") / SPAN).alias("place")).agg(
         *[
             F.sum(F.abs(col(t) - F.coalesce(col(f"answer_{t}"), F.col("__naive")[t]["answer"]))).alias(f"e_{t}")
             for t in targets
@@ -104,28 +128,22 @@ def _numeric_scores(rows: DataFrame, names: Sequence[str], numeric: Sequence[str
         )
         for c in numeric
     ]
-    return errors.select("x", F.inline(F.array(*cells))).where("x <> y")
+    named = _with_x(errors.withColumn("bin", F.col("place") * SPAN), names)
+    return named.select("x", F.inline(F.array(*cells))).where("x <> y")
 
 
 def _class_scores(rows: DataFrame, names: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    targets = [f"bin_{c}" for c in categorical]
-    packed = rows.select(
-        "fold",
-        *[col(f"bin_{c}") for c in names],
-        *[col(f"bin_{c}").alias(f"y_{c}") for c in categorical],
-    )
-    pairs = _by_x(packed, names, [f"y_{c}" for c in categorical]).unpivot(
-        ["fold", "x", "bin"], [col(f"y_{c}") for c in categorical], "y", "c"
-    )
+    targets = [f"y_{c}" for c in categorical]
+    pairs = _by_x(rows, names, targets).unpivot(["fold", "bin"], [col(t) for t in targets], "y", "c")
     # From here on everything is a table of counts, bounded by bins x classes x folds x pairs.
     counts = (
-        pairs.withColumn("y", F.substring("y", 3, 1_000_000))
-        .where("x <> y")
-        .groupBy("x", "y", "bin", "c", "fold")
+        pairs.groupBy("bin", "y", "c", "fold")
         .agg(F.count(F.lit(1)).alias("n"))
+        .transform(_with_x, names)
+        .withColumn("y", F.substring("y", 3, 1_000_000))
+        .where("x <> y")
     )
-    held = F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held")
-    training = counts.select("x", "y", "bin", "c", "fold", "n", held).where("held <> fold")
+    training = counts.select("x", "y", "bin", "c", "fold", "n", _held()).where("held <> fold")
     best = F.min_by("c", F.struct(-F.col("n"), F.col("c"))).alias("guess")
     guess = training.groupBy("x", "y", "bin", "held", "c").agg(F.sum("n").alias("n")).groupBy(
         "x", "y", "bin", "held"

@@ -126,15 +126,7 @@ def frequency_quantiles(
     column per entry of `probs`. Values may repeat. `few_keys` states that the number of keys is
     bounded whatever the data holds; it lets the opened cells be found by a broadcast."""
     cells = with_cells(freq, series)
-    totals = cell_totals(cells, keys)
-    position = {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in probs.items()}
-    wanted = [F.floor(pos) for pos in position.values()] + [F.ceil(pos) for pos in position.values()]
-    start, stop = F.col("n_before"), F.col("n_before") + F.col("n")
-    hit = None
-    for rank in wanted:
-        inside = (rank >= start) & (rank < stop)
-        hit = inside if hit is None else hit | inside
-    hits = totals.where(hit).drop("n")
+    hits = wanted_cells(cell_totals(cells, keys), probs)
     if few_keys or (few_keys is None and set(keys) <= {"column"}):
         # At most two cells per key and quantile: bounded by the call, not by the data.
         hits = F.broadcast(hits)
@@ -143,6 +135,25 @@ def frequency_quantiles(
         .groupBy(*keys, "cell", "n_before", "n_total", "value")
         .agg(F.sum("n").alias("n"))
     )
+    return opened_quantiles(opened, keys, probs)
+
+
+def _positions(probs: dict[str, float]) -> dict[str, Column]:
+    return {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in probs.items()}
+
+
+def wanted_cells(totals: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """The cells that hold the ranks next to a quantile: (keys..., cell, n_before, n_total)."""
+    start, stop = F.col("n_before"), F.col("n_before") + F.col("n")
+    hit = F.lit(False)
+    for position in _positions(probs).values():
+        for rank in (F.floor(position), F.ceil(position)):
+            hit = hit | ((rank >= start) & (rank < stop))
+    return totals.where(hit).drop("n")
+
+
+def opened_quantiles(opened: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles from the distinct values of the wanted cells."""
     within = (
         Window.partitionBy(*keys, "cell")
         .orderBy("value")
@@ -152,6 +163,7 @@ def frequency_quantiles(
     ranked = opened.select(
         *keys, "n_total", "value", (upto - F.col("n")).alias("start"), upto.alias("stop")
     )
+    position = _positions(probs)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("stop")), F.col("value")))
