@@ -132,14 +132,19 @@ def clean_measurements(
 ) -> DataFrame:
     """Cleaning chain in its fixed order: mean, median and mode fills, class membership, negatives
     to the median of the rows kept so far, distinct rows, integer label. The three fills touch
-    different columns, so all of them are fitted on the raw table."""
-    measures = [*mean_cols, *median_cols]
+    different columns, so all of them are fitted on the raw table. The medians of the second half
+    depend on the fills, so the statistics, one row each time, are computed as the chain is built."""
+    measures, classed = [*mean_cols, *median_cols], [*mode_cols, label]
+    modes = df.sparkSession.range(1).select(*[v.alias(c) for c, v in mode_values(df, classed).items()])
+    mode = F.col("__mode")
     return (
-        df.transform(fill_mean, mean_cols, fit_on=df)
-        .transform(fill_median, median_cols, fit_on=df)
-        .transform(fill_mode, [*mode_cols, label], fit_on=df)
+        df.transform(fill_with, ranks.fixed(mean_row(df, mean_cols)), mean_cols)
+        .transform(fill_with, ranks.fixed(median_row(df, median_cols)), median_cols)
+        .transform(ranks.attach, ranks.fixed(modes), "__mode")
+        .withColumns({c: F.coalesce(col(c), mode[c]) for c in classed})
+        .drop("__mode")
         .transform(edit.keep_members, label, classes)
-        .transform(edit.negatives_to_median, measures)
+        .transform(edit.negatives_to_median, measures, now=True)
         .transform(distinct_rows)
         .transform(edit.cast, {label: "int"})
     )

@@ -43,11 +43,11 @@ def overwrite_where(df: DataFrame, condition: Column, name: str, value) -> DataF
     return df.withColumn(name, F.when(condition, F.lit(value)).otherwise(col(name)))
 
 
-def negatives_to_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def negatives_to_median(df: DataFrame, cols: Sequence[str], now: bool = False) -> DataFrame:
     """Replace negatives by the column median, which is taken with the negatives included."""
-    med = F.col("__med")
+    med, row = F.col("__med"), ranks.quantile_row(df, cols, {"median": 0.5})
     return (
-        ranks.attach(df, ranks.quantile_row(df, cols, {"median": 0.5}), "__med")
+        ranks.attach(df, ranks.fixed(row) if now else row, "__med")
         .withColumns({c: F.when(col(c) < 0, med[c]["median"]).otherwise(col(c)) for c in cols})
         .drop("__med")
     )

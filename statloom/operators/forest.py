@@ -63,20 +63,28 @@ def sample_pool(df: DataFrame, cols: Sequence[str], key: str, n_trees: int, samp
     digits = 13
     wanted = n_trees * sample
     n = df.agg(F.count(F.lit(1)).alias("rows"))
-    share = F.least(F.lit(1.0), F.lit(1.2 * wanted) / F.greatest(F.col("__size")["rows"], F.lit(1)))
+    rows = F.greatest(F.col("__size")["rows"], F.lit(1))
+    share = F.least(F.lit(1.0), F.lit(1.2 * wanted) / rows)
     return (
         attach(df, n, "__size")
         .where(key_hash(col(key), "pool", digits) < share * F.lit(float(16**digits)))
-        .select(col(key).alias("__key"), F.array(*[col(c).cast("double") for c in cols]).alias("x"))
+        .select(
+            col(key).alias("__key"),
+            F.array(*[col(c).cast("double") for c in cols]).alias("x"),
+            F.least(rows.cast("double"), F.lit(1.2 * wanted)).alias("__pool"),
+        )
     )
 
 
 def draw(pool: DataFrame, n_trees: int, sample: int) -> DataFrame:
-    """(tree, x): `sample` rows per tree without replacement, by hash of key and tree. The pool is
-    bounded, so ranking it once per tree is bounded too."""
+    """(tree, x): the `sample` rows with the smallest hashes of key and tree, without replacement.
+    Only hashes in the lowest part, where four times as many rows are expected, are ranked."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
-    hashed = pool.select("x", "__key", tree).withColumn(
-        "__h", F.xxhash64(F.col("__key").cast("string"), F.col("tree"))
+    part = F.least(F.lit(1.0), F.lit(4.0 * sample) / F.col("__pool"))
+    hashed = (
+        pool.select("x", "__key", "__pool", tree)
+        .withColumn("__h", F.xxhash64(F.col("__key").cast("string"), F.col("tree")))
+        .where(F.col("__h") <= (part * 2 - 1) * F.lit(float(2**63)))
     )
     order = Window.partitionBy("tree").orderBy("__h", "__key")
     return hashed.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= sample).select("tree", "x", "__r")
@@ -90,15 +98,21 @@ class Forest:
 
     def score(self, df: DataFrame, name: str = "score") -> DataFrame:
         """Adds the anomaly score 2^(-mean depth / expected depth)."""
-        trees = []
+        trees, d = [], len(self.cols)
         for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
-            extra = average_path(t["size"].to_numpy())
+            # A leaf is its own child and sends every row there, so all rows walk equally far.
+            leaf = (t["feature"] < 0).to_numpy()
+            here = np.arange(len(t))
+            child = np.stack(
+                [np.where(leaf, here, t["left"]), np.where(leaf, here, t["right"])], axis=1
+            ).ravel()
             trees.append(
                 (
-                    t["feature"].to_numpy(),
-                    t["cut"].to_numpy(),
-                    np.stack([t["left"].to_numpy(), t["right"].to_numpy()]),
-                    t["depth"].to_numpy() + extra,
+                    np.where(leaf, 0, t["feature"]),
+                    np.where(leaf, np.inf, t["cut"]),
+                    child,
+                    t["depth"].to_numpy() + average_path(t["size"].to_numpy()),
+                    int(t["depth"].max()),
                 )
             )
         forest = df.sparkSession.sparkContext.broadcast(trees)
@@ -106,25 +120,18 @@ class Forest:
         norm = norm if norm > 0 else 1.0
 
         @F.pandas_udf(DoubleType())
-        def walk(x: pd.Series) -> pd.Series:
-            rows = np.array(x.tolist(), dtype=float)
-            if rows.size == 0:
-                return pd.Series([], dtype=float)
-            every = np.arange(len(rows))
-            depth = np.zeros(len(rows))
-            for feature, cut, child, path in forest.value:
-                at = np.zeros(len(rows), dtype=np.int64)
-                while True:
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    goes_right = (rows[every, np.maximum(f, 0)] >= cut[at]).astype(np.int64)
-                    at = np.where(inner, child[goes_right, at], at)
+        def walk(*columns: pd.Series) -> pd.Series:
+            values = np.stack([c.to_numpy(dtype=float) for c in columns], axis=1).ravel()
+            first = np.arange(len(values) // d) * d
+            depth = np.zeros(len(first))
+            for feature, cut, child, path, steps in forest.value:
+                at = np.zeros(len(first), dtype=np.int64)
+                for _ in range(steps):
+                    at = child[2 * at + (values[first + feature[at]] >= cut[at])]
                 depth += path[at]
             return pd.Series(np.exp2(-depth / len(forest.value) / norm))
 
-        return df.withColumn(name, walk(F.array(*[col(c).cast("double") for c in self.cols])))
+        return df.withColumn(name, walk(*[col(c).cast("double") for c in self.cols]))
 
 
 def fit_forest(

@@ -241,6 +241,12 @@ def attach(df: DataFrame, one_row: DataFrame, name: str = "__stats") -> DataFram
     return df.withColumn(name, one_row.select(F.struct(*[col(c) for c in one_row.columns])).scalar())
 
 
+def fixed(one_row: DataFrame) -> DataFrame:
+    """Compute a one-row table now. For chains whose statistics build on each other: nested
+    subqueries would plan and run the earlier ones again inside every later one."""
+    return one_row.sparkSession.createDataFrame([one_row.first()], one_row.schema)
+
+
 def positional_index(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Number the rows 0..n-1 in the given order without a single-partition window.
 
