@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from statloom.llm.mixing import mix
 from statloom.llm.repetition import repetition
 
 
@@ -15,8 +16,13 @@ def op1_repetition(spark: SparkSession, root: str) -> DataFrame:
     return repetition(read(spark, root, "documents"))
 
 
+def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mix(read(spark, root, "documents"))
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
+    "op9_mixing": op9_mixing,
 }
 
 SQL: dict[str, str] = {}
