@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat
+from statloom.llm import chat, secrets
 from statloom.llm.mixing import mix
 from statloom.llm.repetition import repetition
 
@@ -66,6 +66,10 @@ FROM parts GROUP BY conv_id
 """
 
 
+def op4_secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secrets.digest(secrets.scan_versions(read(spark, root, "documents"), ["doc_id"]))
+
+
 def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mix(read(spark, root, "documents"))
 
@@ -73,6 +77,7 @@ def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op3_chat": op3_chat,
+    "op4_secrets": op4_secrets,
     "op9_mixing": op9_mixing,
 }
 
