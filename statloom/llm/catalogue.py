@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, secrets
+from statloom.llm import chat, langid, secrets
 from statloom.llm.mixing import mix
 from statloom.llm.repetition import repetition
 
@@ -18,6 +18,10 @@ def op1_repetition(spark: SparkSession, root: str) -> DataFrame:
     return repetition(read(spark, root, "documents"))
 
 
+def op2_langid(spark: SparkSession, root: str) -> DataFrame:
+    return langid.identify(read(spark, root, "documents"))
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -76,6 +80,7 @@ def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "op1_repetition": op1_repetition,
+    "op2_langid": op2_langid,
     "op3_chat": op3_chat,
     "op4_secrets": op4_secrets,
     "op9_mixing": op9_mixing,
