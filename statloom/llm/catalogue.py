@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.llm import chat, langid, secrets
 from statloom.llm.mixing import mix
+from statloom.llm.neardup import near_duplicates
 from statloom.llm.repetition import repetition
 
 
@@ -74,6 +75,10 @@ def op4_secrets(spark: SparkSession, root: str) -> DataFrame:
     return secrets.digest(secrets.scan_versions(read(spark, root, "documents"), ["doc_id"]))
 
 
+def op6_neardup(spark: SparkSession, root: str) -> DataFrame:
+    return near_duplicates(read(spark, root, "documents")).drop("text_hash")
+
+
 def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mix(read(spark, root, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_chat": op3_chat,
     "op4_secrets": op4_secrets,
+    "op6_neardup": op6_neardup,
     "op9_mixing": op9_mixing,
 }
 
