@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm import chat, langid, secrets
+from statloom.llm.decontaminate import decontaminate
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
 from statloom.llm.repetition import repetition
@@ -75,6 +76,11 @@ def op4_secrets(spark: SparkSession, root: str) -> DataFrame:
     return secrets.digest(secrets.scan_versions(read(spark, root, "documents"), ["doc_id"]))
 
 
+def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    found = decontaminate(read(spark, root, "documents"), read(spark, root, "benchmark"))
+    return found.drop("text_hash").withColumn("contaminated", F.lit(True))
+
+
 def op6_neardup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read(spark, root, "documents")).drop("text_hash")
 
@@ -88,6 +94,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_chat": op3_chat,
     "op4_secrets": op4_secrets,
+    "op5_decontaminate": op5_decontaminate,
     "op6_neardup": op6_neardup,
     "op9_mixing": op9_mixing,
 }
