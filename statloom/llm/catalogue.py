@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, langid, secrets
+from statloom.llm import chat, langid, pii, secrets
 from statloom.llm.decontaminate import decontaminate
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
@@ -85,6 +85,10 @@ def op6_neardup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read(spark, root, "documents")).drop("text_hash")
 
 
+def op8_pii(spark: SparkSession, root: str) -> DataFrame:
+    return pii.digest(pii.detect(read(spark, root, "documents")))
+
+
 def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mix(read(spark, root, "documents"))
 
@@ -96,6 +100,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_neardup": op6_neardup,
+    "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
 }
 
