@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.llm import chat, langid, pii, secrets
 from statloom.llm.decontaminate import decontaminate
+from statloom.llm.kneser import perplexity
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
 from statloom.llm.repetition import repetition
@@ -85,6 +86,11 @@ def op6_neardup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read(spark, root, "documents")).drop("text_hash")
 
 
+def op7_perplexity(spark: SparkSession, root: str) -> DataFrame:
+    trusted = read(spark, root, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return perplexity(read(spark, root, "documents"), trusted)
+
+
 def op8_pii(spark: SparkSession, root: str) -> DataFrame:
     return pii.digest(pii.detect(read(spark, root, "documents")))
 
@@ -100,6 +106,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_neardup": op6_neardup,
+    "op7_perplexity": op7_perplexity,
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
 }
