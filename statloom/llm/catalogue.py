@@ -11,6 +11,7 @@ from statloom.llm.kneser import perplexity
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
 from statloom.llm.repetition import repetition
+from statloom.llm.tokens import count_tokens
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -99,6 +100,11 @@ def op9_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mix(read(spark, root, "documents"))
 
 
+def op10_tokens(spark: SparkSession, root: str) -> DataFrame:
+    counted = count_tokens(read(spark, root, "documents"))
+    return counted.withColumn("section_tokens", F.transform("section_tokens", lambda n: n.cast("long")))
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_langid": op2_langid,
@@ -109,6 +115,7 @@ QUERIES = {
     "op7_perplexity": op7_perplexity,
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
+    "op10_tokens": op10_tokens,
 }
 
 SQL: dict[str, str] = {"op3_chat": CHAT_SQL}
