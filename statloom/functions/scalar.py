@@ -72,10 +72,43 @@ def tiered_discount(total: Column, above: float, rate: float) -> Column:
     return F.when(total > above, total * rate).when(total.isNotNull(), F.lit(0.0))
 
 
+# Primes below 1000 decide numbers below 1009 * 1009 by division; the first twelve are witnesses that
+# decide every 64-bit number.
+SMALL_PRIMES = [p for p in range(2, 1000) if all(p % d for d in range(2, int(p**0.5) + 1))]
+
+
 def is_prime(n: Column) -> Column:
-    """Primality by trial division up to the root. 0, 1 and negatives are not prime."""
-    divisors = F.sequence(F.lit(2).cast("bigint"), F.greatest(F.lit(2), F.floor(F.sqrt(F.abs(n)))))
-    return (n > 1) & ((n < 4) | ~F.exists(divisors, lambda i: n % i == 0))
+    """Primality. 0, 1 and negatives are not prime. Constant work: division by small primes, then for
+    larger numbers the Miller-Rabin test with fixed witnesses."""
+    primes = F.array(*[F.lit(p) for p in SMALL_PRIMES])
+    divided = F.exists(primes, lambda p: (n % p == 0) & (n != p))
+    return (n > 1) & ~divided & F.when(n < 1_018_081, True).otherwise(_no_witness(n))
+
+
+def _no_witness(n: Column) -> Column:
+    """Whether a^d is 1, or a^(d 2^r) is -1 for some r below s, for all witnesses a; n - 1 = d 2^s."""
+    big = n.cast("decimal(38,0)")
+    places = F.sequence(F.lit(0), F.lit(62))
+    s = F.array_min(F.filter(places, lambda i: F.call_function("shiftright", n - 1, i).bitwiseAND(F.lit(1)) == 1))
+
+    def product(a: Column, b: Column) -> Column:
+        return ((a * b).cast("decimal(38,0)") % big).cast("decimal(38,0)")
+
+    def passes(a: Column) -> Column:
+        one = F.lit(1).cast("decimal(38,0)")
+        # The bits of n - 1 from the top: after those of d the value is a^d, and each further one squares it.
+        start = F.struct(one.alias("x"), F.lit(False).alias("fine"))
+
+        def step(state: Column, i: Column) -> Column:
+            bit = F.call_function("shiftright", n - 1, i).bitwiseAND(F.lit(1)) == 1
+            squared = product(state["x"], state["x"])
+            x = F.when(bit, product(squared, a.cast("decimal(38,0)"))).otherwise(squared)
+            hit = ((i == s) & (x == 1)) | ((i <= s) & (i > 0) & (x == big - 1))
+            return F.struct(x.alias("x"), (state["fine"] | hit).alias("fine"))
+
+        return F.aggregate(F.reverse(places), start, step, lambda state: state["fine"])
+
+    return F.forall(F.array(*[F.lit(p) for p in SMALL_PRIMES[:12]]), passes)
 
 
 def normal_quantile(p: float) -> float:

@@ -15,7 +15,7 @@ from statloom.functions.scalar import mapped
 from statloom.operators import clean, linear, profile, ranks
 from statloom.operators.ranks import attach, col
 
-# Encoders expand a column over its categories only up to this many of them.
+# Up to this many categories a label encoder is an expression, beyond it a join.
 MAX_CATEGORIES = 256
 
 
@@ -42,18 +42,22 @@ def stratified_flag(
     """Adds a flag that marks, per label, exactly round(share * n) rows: those with the smallest
     key hashes.
 
-    Hashes are counted per label and cell, the cell that holds the last marked row is found from
-    the running totals, and only its rows are ranked. That yields one cut per label, so even a
-    label with most of the rows is neither sorted nor gathered.
+    Hashes are counted per label and coarse cell, then per cell within the coarse cell that holds
+    the last marked row, and only the rows of that cell are ranked: one in 2 ** 28 of a label's. That
+    yields one cut per label, so even a label with most of the rows is neither sorted nor gathered.
     """
     hashed = df.select(
         col(label), col(key).alias("__key"), key_hash(col(key), digits=13).alias("__hash")
-    ).withColumn("cell", F.shiftright("__hash", 40))
+    ).withColumns({"coarse": F.shiftright("__hash", 38), "cell": F.shiftright("__hash", 24)})
     hashed = hashed.where(col(label).isNotNull())
-    totals = ranks.cell_totals(hashed.withColumn("n", F.lit(1)), [label])
+    totals = ranks.cell_totals(hashed.withColumn("n", F.lit(1)), [label], cell="coarse")
     wanted = F.floor(F.lit(share) * F.col("n_total") + 0.5)
-    edge = totals.where((wanted > F.col("n_before")) & (wanted <= F.col("n_before") + F.col("n")))
-    edge = edge.select(label, "cell", (wanted - F.col("n_before")).alias("__place"))
+    holds = (wanted > F.col("n_before")) & (wanted <= F.col("n_before") + F.col("n"))
+    outer = totals.where(holds).select(label, "coarse", F.col("n_before"), F.col("n_total"))
+    counts = hashed.join(outer, [label, "coarse"]).groupBy(label, "coarse", "n_before", "n_total", "cell").agg(F.count(F.lit(1)).alias("n"))
+    inner = Window.partitionBy(label, "coarse").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.withColumn("n_before", F.col("n_before") + F.sum("n").over(inner) - F.col("n"))
+    edge = placed.where(holds).select(label, "cell", (wanted - F.col("n_before")).alias("__place"))
     inside = Window.partitionBy(label, "cell").orderBy("__hash", "__key")
     cut = (
         hashed.join(edge, [label, "cell"])
@@ -74,7 +78,7 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
     basis = df if fit_on is None else fit_on
     stats = basis.agg(
         *[
-            F.struct(F.avg(col(c)).alias("mean"), F.stddev_pop(col(c)).alias("std")).alias(c)
+            F.struct(F.avg(ranks.observed(basis, c)).alias("mean"), F.stddev_pop(ranks.observed(basis, c)).alias("std")).alias(c)
             for c in cols
         ]
     )
@@ -83,7 +87,7 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
         attach(df, stats)
         .withColumns(
             {
-                c: (col(c) - s[c]["mean"]) / F.when(s[c]["std"] > 0, s[c]["std"]).otherwise(F.lit(1.0))
+                c: (ranks.observed(df, c) - s[c]["mean"]) / F.when(s[c]["std"] > 0, s[c]["std"]).otherwise(F.lit(1.0))
                 for c in cols
             }
         )
@@ -98,7 +102,7 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
         attach(df, ranks.extent(df if fit_on is None else fit_on, cols))
         .withColumns(
             {
-                c: (col(c) - s[c]["low"])
+                c: (ranks.observed(df, c) - s[c]["low"])
                 / F.when(s[c]["high"] > s[c]["low"], s[c]["high"] - s[c]["low"]).otherwise(F.lit(1.0))
                 for c in cols
             }
@@ -108,19 +112,27 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
 
 
 def fit_categories(
-    df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES
+    df: DataFrame, cols: Sequence[str], limit: int | None = MAX_CATEGORIES
 ) -> dict[str, list[str] | None]:
-    """Sorted categories of each column, or None where there are more than `limit`. The number of
-    categories is estimated first with fixed-size sketches, so only small sets are ever built."""
+    """Categories of each column as text, in the order of the values themselves, or None where there
+    are more than `limit`. The number of categories is estimated first with fixed-size sketches, so
+    only small sets are ever built; without a limit all are."""
+    if limit is None:
+        row = df.agg(*[_sorted_texts(c).alias(c) for c in cols]).first()
+        return {c: list(row[c]) for c in cols}
     estimates = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in cols]).first()
     small = [c for c in cols if estimates[c] <= limit * 1.2]
     found: dict[str, list[str] | None] = dict.fromkeys(cols)
     if small:
-        row = df.agg(*[F.collect_set(col(c).cast("string")).alias(c) for c in small]).first()
-        found.update({c: sorted(row[c]) for c in small if len(row[c]) <= limit})
+        row = df.agg(*[_sorted_texts(c).alias(c) for c in small]).first()
+        found.update({c: list(row[c]) for c in small if len(row[c]) <= limit})
     return found
 
 
+def _sorted_texts(name: str) -> Column:
+    return F.transform(F.sort_array(F.collect_set(col(name))), lambda v: v.cast("string"))
+
+
 def one_hot(
     df: DataFrame,
     cols: Sequence[str],
@@ -128,11 +140,8 @@ def one_hot(
     categories: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Replace each column by 0/1 columns `<column>_<category>`, categories in sorted order, the
-    first one dropped. Null has zeros everywhere."""
-    known = categories if categories is not None else fit_categories(df, cols)
-    wide = [c for c in cols if known[c] is None]
-    if wide:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories, label-encode instead: {wide}")
+    first one dropped. Null has zeros everywhere. There are as many new columns as categories."""
+    known = categories if categories is not None else fit_categories(df, cols, None)
     flags = {
         f"{c}_{v}": F.when(col(c).cast("string") == v, F.lit(1)).otherwise(F.lit(0))
         for c in cols
@@ -144,9 +153,9 @@ def one_hot(
 def label_encode(
     df: DataFrame, cols: Sequence[str], categories: Mapping[str, Sequence[str] | None] | None = None
 ) -> DataFrame:
-    """Replace each column by the 0-based rank of its value among the sorted distinct values; null
-    stays null. Small category sets become an expression. For larger ones the distinct values are
-    numbered by a distributed sort and joined."""
+    """Replace each column by the 0-based rank of its value among the distinct values in their own
+    order; null stays null. Small category sets become an expression. For larger ones the distinct
+    values are numbered by a distributed sort and joined; the codes are the same."""
     known = categories if categories is not None else fit_categories(df, cols)
     out = df
     for c in cols:

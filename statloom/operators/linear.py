@@ -19,6 +19,8 @@ from statloom.operators.ranks import col
 
 # Above this many columns pairwise aggregate expressions give way to blocked matrix products.
 MAX_EXPRESSION_COLUMNS = 12
+# A fit that takes longer is reported as an error, never returned.
+MAX_SWEEPS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -44,10 +46,11 @@ def fit_moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> d
     """Moments of complete rows, per group of `by` (folds or classes, so a handful)."""
     d = len(cols)
     if d > MAX_EXPRESSION_COLUMNS:
-        if by:
-            raise ValueError(f"grouped moments take at most {MAX_EXPRESSION_COLUMNS} columns")
         array = F.array(*[col(c).cast("double") for c in cols])
-        return {(): array_moments(df.dropna(subset=list(cols)).select(array.alias("__x")), "__x", d)}
+        rows = df.dropna(subset=list(cols))
+        if by:
+            return grouped_moments(rows.select(F.struct(*[col(b) for b in by]).alias("__g"), array.alias("__x")), d)
+        return {(): array_moments(rows.select(array.alias("__x")), "__x", d)}
     rows = (
         df.dropna(subset=list(cols))
         .select(*[col(b) for b in by], *[col(c).cast("double").alias(f"__{i}") for i, c in enumerate(cols)])
@@ -98,6 +101,41 @@ def array_moments(df: DataFrame, name: str, size: int) -> Moments:
     return Moments(head["n"], mean, cov)
 
 
+def grouped_moments(df: DataFrame, size: int) -> dict[tuple, Moments]:
+    """Moments of the array column `__x` per group `__g`, of which there is a handful. Products are
+    centred on the mean of all rows, and each task sends one block per group."""
+    wide = df.select(*[F.get("__x", i).alias(f"m{i}") for i in range(size)])
+    head = wide.agg(F.array(*[F.avg(f"m{i}") for i in range(size)]).alias("mean")).first()
+    centre = np.array(head["mean"], dtype=float)
+    if not centre.size or np.isnan(centre).any():
+        return {}
+
+    def products(batches):
+        found: dict[str, list] = {}
+        for batch in batches:
+            x = np.array(batch["x"].tolist(), dtype=float).reshape(-1, size) - centre
+            for name in batch["g"].unique():
+                own = x[(batch["g"] == name).to_numpy()]
+                n, s, p = found.get(name, (0, 0.0, 0.0))
+                found[name] = (n + len(own), s + own.sum(axis=0), p + own.T @ own)
+        i, j = np.divmod(np.arange(size * size), size)
+        for name, (n, s, p) in found.items():
+            yield pd.DataFrame({"g": name, "i": i, "j": j, "n": float(n), "s": s[i], "p": p.ravel()})
+
+    named = df.select(F.to_json("__g").alias("g"), F.col("__x").alias("x"))
+    blocks = named.mapInPandas(products, "g string, i int, j int, n double, s double, p double")
+    sums = blocks.groupBy("g", "i", "j").agg(*[F.sum(c).alias(c) for c in "nsp"]).collect()
+    keys = {r["g"]: tuple(r["k"]) for r in df.select(F.to_json("__g").alias("g"), F.col("__g").alias("k")).distinct().collect()}
+    out = {}
+    for name, key in keys.items():
+        own = sorted((r for r in sums if r["g"] == name), key=lambda r: (r["i"], r["j"]))
+        n = own[0]["n"]
+        s = np.array([r["s"] for r in own]).reshape(size, size)[:, 0] / n
+        p = np.array([r["p"] for r in own]).reshape(size, size) / n
+        out[key] = Moments(int(n), centre + s, p - np.outer(s, s))
+    return out
+
+
 @dataclass(frozen=True)
 class LinearFit:
     """Coefficients in the units of the columns as given."""
@@ -169,9 +207,9 @@ def ridge_cv(
 
 
 def _descend(a: np.ndarray, b: np.ndarray, alpha: float, w: np.ndarray) -> np.ndarray:
-    """Coordinate descent for w'aw/2 - b'w + alpha |w|_1."""
+    """Coordinate descent for w'aw/2 - b'w + alpha |w|_1, until it has converged."""
     w = w.copy()
-    for _ in range(10_000):
+    for _ in range(MAX_SWEEPS):
         largest = 0.0
         for j in range(len(b)):
             if a[j, j] <= 0:
@@ -181,8 +219,8 @@ def _descend(a: np.ndarray, b: np.ndarray, alpha: float, w: np.ndarray) -> np.nd
             largest = max(largest, abs(fresh - w[j]) * np.sqrt(a[j, j]))
             w[j] = fresh
         if largest < 1e-12 * max(np.sqrt(np.abs(b)).max(initial=0.0), 1e-300):
-            break
-    return w
+            return w
+    raise RuntimeError(f"lasso did not converge in {MAX_SWEEPS} sweeps")
 
 
 def lasso(df: DataFrame, cols: Sequence[str], target: str, alpha: float) -> LinearFit:

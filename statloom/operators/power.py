@@ -4,7 +4,8 @@ Each score is the cross-validated gain of predicting y from x alone over predict
 The predictor is a step function: numeric x is cut into equal-width bins, other x by category; a bin
 answers with the median (numeric y) or most frequent class (other y) of the training folds. Numeric
 y is scored by its absolute error against the overall median, other y by weighted F1 against the
-better of the constant and the random guess. Folds come from the key's hash.
+better of the constant and the random guess. Folds come from the key's hash. A pair leaves out the
+rows that lack one of its two columns; the overall median is that of all values of y.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from statloom.operators import ranks, relate
 from statloom.operators.chartdata import equal_width_bin
 from statloom.operators.evaluate import ratio
-from statloom.operators.features import MAX_CATEGORIES, fit_categories, key_hash
+from statloom.operators.features import fit_categories, key_hash
 from statloom.operators.ranks import attach, col
 
 FOLDS = 4
@@ -29,25 +30,24 @@ def pps_matrix(
     df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], bins: int = 16
 ) -> DataFrame:
     """(x, y, score) with 1 on the diagonal and 0 where x adds nothing."""
-    known = fit_categories(df, categorical) if categorical else {}
+    known = fit_categories(df, categorical, SPAN - 1) if categorical else {}
     wide = [c for c in categorical if known[c] is None]
     if wide:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: {wide}")
+        raise ValueError(f"{SPAN} categories or more leave no room for bins: {wide}")
     names = [*numeric, *categorical]
     limits = F.col("__range")
     binned: dict[str, Column] = {
-        c: equal_width_bin(col(c).cast("double"), limits[c]["low"], limits[c]["high"], bins) for c in numeric
+        c: equal_width_bin(ranks.observed(df, c).cast("double"), limits[c]["low"], limits[c]["high"], bins) for c in numeric
     }
     binned |= {
         c: F.array_position(F.array(*[F.lit(v) for v in known[c]]), col(c).cast("string")).cast("int")
         for c in categorical
     }
-    source = df.dropna(subset=names)
     # Bins of all predictors are numbers from disjoint ranges: the number tells the predictor.
-    rows = (attach(source, ranks.extent(source, numeric), "__range") if numeric else source).select(
+    rows = (attach(df, ranks.extent(df, numeric), "__range") if numeric else df).select(
         (key_hash(col(key)) % FOLDS).cast("int").alias("fold"),
         *[(expr + i * SPAN).alias(f"bin_{c}") for i, (c, expr) in enumerate(binned.items())],
-        *[col(c).cast("double").alias(f"num_{c}") for c in numeric],
+        *[ranks.observed(df, c).cast("double").alias(f"num_{c}") for c in numeric],
         *[col(c).cast("string").alias(f"y_{c}") for c in categorical],
     )
     parts = []
@@ -69,9 +69,9 @@ def _diagonal(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 
 
 def _by_x(rows: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """(fold, keep..., bin): one row per predictor column."""
+    """(fold, keep..., bin): one row per predictor column that has a value."""
     long = rows.unpivot(["fold", *[col(c) for c in keep]], [col(f"bin_{c}") for c in names], "x", "bin")
-    return long.drop("x")
+    return long.where("bin IS NOT NULL").drop("x")
 
 
 def _with_x(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -88,11 +88,19 @@ def _training_medians(long: DataFrame, targets: Sequence[str]) -> DataFrame:
     are combined on the level of cell counts, so a row is counted once, not once per fold it
     trains. There are bins x folds x targets keys: bounded by the call."""
     values = long.unpivot(["fold", "bin"], [col(t) for t in targets], "column", "value")
+    values = values.where("value IS NOT NULL")
     cells = ranks.with_cells(values.withColumn("n", F.lit(1).cast("bigint")))
-    counts = cells.groupBy("bin", "column", "cell", "fold").agg(F.sum("n").alias("n"))
+    counts = cells.groupBy("bin", "column", "coarse", "fold").agg(F.sum("n").alias("n"))
     keys, half = ["bin", "column", "held"], {"answer": 0.5}
     training = counts.select("*", _held()).where("held <> fold")
-    hits = ranks.wanted_cells(ranks.cell_totals(training, keys), half)
+    outer = ranks.wanted_cells(ranks.cell_totals(training, keys, cell="coarse"), half)
+    inside = (
+        cells.join(F.broadcast(outer), ["bin", "column", "coarse"])
+        .where("held <> fold")
+        .groupBy(*keys, "coarse", "n_before", "n_total", "cell")
+        .agg(F.sum("n").alias("n"))
+    )
+    hits = ranks.refine(inside, keys, half)
     opened = (
         cells.join(F.broadcast(hits), ["bin", "column", "cell"])
         .where("held <> fold")
@@ -134,7 +142,7 @@ def _numeric_scores(rows: DataFrame, names: Sequence[str], numeric: Sequence[str
 
 def _class_scores(rows: DataFrame, names: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     targets = [f"y_{c}" for c in categorical]
-    pairs = _by_x(rows, names, targets).unpivot(["fold", "bin"], [col(t) for t in targets], "y", "c")
+    pairs = _by_x(rows, names, targets).unpivot(["fold", "bin"], [col(t) for t in targets], "y", "c").where("c IS NOT NULL")
     # From here on everything is a table of counts, bounded by bins x classes x folds x pairs.
     counts = (
         pairs.groupBy("bin", "y", "c", "fold")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,7 @@ def per_column(
     for b in by:
         source = source.where(col(b).isNotNull())
     wide = source.groupBy(*[col(b) for b in by]).agg(
-        *[fn(col(c)).alias(f"{c}__{s}") for c in cols for s, fn in stats.items()]
+        *[fn(ranks.observed(df, c)).alias(f"{c}__{s}") for c in cols for s, fn in stats.items()]
     )
     rows = [
         F.struct(F.lit(c).alias("column"), *[col(f"{c}__{s}").alias(s) for s in stats]) for c in cols
@@ -161,7 +163,7 @@ def group_means(df: DataFrame, by: str, cols: Sequence[str] | None = None) -> Da
     return (
         df.where(col(by).isNotNull())
         .groupBy(col(by))
-        .agg(*[F.avg(col(c)).alias(f"{c}_mean") for c in names])
+        .agg(*[F.avg(ranks.observed(df, c)).alias(f"{c}_mean") for c in names])
     )
 
 
@@ -170,7 +172,7 @@ def group_sum(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
     return (
         df.where(col(by).isNotNull())
         .groupBy(col(by))
-        .agg(F.coalesce(F.sum(col(value)), F.lit(0.0)).alias(name))
+        .agg(F.coalesce(F.sum(ranks.observed(df, value)), F.lit(0.0)).alias(name))
     )
 
 
@@ -245,9 +247,9 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pair is computed once."""
     names = list(cols)
     if len(names) > WIDE:
-        raise ValueError(f"more than {WIDE} columns: use linear.moment_matrix on an array column")
+        return wide_correlations(df, names)
     pairs = list(combinations(range(len(names)), 2))
-    numbers = df.select(*[col(c).cast("double").alias(f"__{i}") for i, c in enumerate(names)])
+    numbers = df.select(*[ranks.observed(df, c).cast("double").alias(f"__{i}") for i, c in enumerate(names)])
     r = numbers.agg(
         *[F.corr(f"__{i}", f"__{j}").alias(f"r_{i}_{j}") for i, j in pairs],
         *[F.when(F.stddev_pop(f"__{i}") > 0, 1.0).alias(f"r_{i}_{i}") for i in range(len(names))],
@@ -264,9 +266,40 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return r.select(F.inline(F.array(*rows)))
 
 
+def wide_correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """`correlations` of many columns: each task sums centred products and counts of all pairs in
+    matrices of a size that the column list fixes."""
+    size = len(names)
+    values = [F.coalesce(ranks.observed(df, c).cast("double"), F.lit(float("nan"))) for c in names]
+    means = df.agg(*[F.coalesce(F.avg(ranks.observed(df, c)), F.lit(0.0)).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    centre = np.array([float(v) for v in means])
+
+    def sums(batches):
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            x = np.array(batch["x"].tolist(), dtype=float).reshape(-1, size) - centre
+            held = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            # Of each pair the rows that have both: their number, sums of x, of x squared and of products.
+            total += np.stack([held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x])
+        i, j = np.divmod(np.arange(size * size), size)
+        parts = {name: total[k].ravel() for k, name in enumerate(("n", "s", "ss", "xy"))}
+        yield pd.DataFrame({"i": i, "j": j} | parts)
+
+    blocks = df.select(F.array(*values).alias("x")).mapInPandas(sums, "i int, j int, n double, s double, ss double, xy double")
+    one = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss", "xy")])
+    other = one.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("t"), F.col("ss").alias("tt"))
+    both = one.join(other, ["i", "j"])
+    spread = (F.col("ss") - F.col("s") * F.col("s") / F.col("n")) * (F.col("tt") - F.col("t") * F.col("t") / F.col("n"))
+    r = F.when((F.col("n") > 1) & (spread > 0), (F.col("xy") - F.col("s") * F.col("t") / F.col("n")) / F.sqrt(spread))
+    named = F.array(*[F.lit(c) for c in names])
+    own = F.when(F.col("i") == F.col("j"), F.when(spread > 0, 1.0)).otherwise(r)
+    return both.select(F.element_at(named, F.col("i") + 1).alias("x"), F.element_at(named, F.col("j") + 1).alias("y"), own.alias("r"))
+
+
 def target_correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """(column, r) of each column with the target."""
-    y = col(target).cast("double")
+    y = ranks.observed(df, target).cast("double")
     return per_column(df, [c for c in cols if c != target], {"r": lambda c: F.corr(c.cast("double"), y)})
 
 

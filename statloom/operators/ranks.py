@@ -1,9 +1,10 @@
 """Order statistics that never put a whole column, or a whole group, into one task.
 
-Each value is mapped to a cell by a monotone function. Cells are counted with map-side combining,
-so a task ships a few thousand rows at most, and running totals over cells are cheap. Only cells
-that hold a wanted rank are opened: their values are counted per distinct value, which collapses
-repeated values before they travel, and sorted within the cell.
+Each value is mapped to a coarse cell, a sixteenth of an octave of its magnitude, and to a cell within
+that, one of 4096 equal parts. Both mappings are monotone and the same for all data, so neither an
+outlier nor an infinity crowds the other values together. Coarse cells are counted with map-side
+combining; of those that hold a wanted rank the cells are counted, and only cells that hold one are
+opened: their values are counted per distinct value and sorted within the cell.
 """
 
 from __future__ import annotations
@@ -12,18 +13,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.session import shared_dir
 
-# Cells per unit of the logarithmic scale, and the share of the range below which it is linear.
-CELLS_PER_UNIT = 400
-LINEAR_SHARE = 1e-9
+PER_OCTAVE = 16
+PARTS = 4096
+# Doubles have magnitudes from 2 ** -1074 up to 2 ** 1024.
+LOWEST_OCTAVE = 1075
 
 
 def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def observed(df: DataFrame, name: str) -> Column:
+    """A column with NaN turned into null."""
+    kind = df.schema[name].dataType
+    return F.when(~F.isnan(col(name)), col(name)) if isinstance(kind, (T.DoubleType, T.FloatType)) else col(name)
+
+
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value) of the numeric columns, missing values left out."""
     typed = df.select(*[col(b) for b in by], *[col(c).cast("double").alias(c) for c in cols])
@@ -42,30 +51,28 @@ def frequencies(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cell_of(value: Column, low: Column, high: Column) -> Column:
-    """Monotone cell number: logarithmic around the point of [low, high] nearest to zero, so long
-    tails do not crowd the bulk of the values into one cell."""
-    anchor = F.greatest(low, F.least(high, F.lit(0.0)))
-    unit = (high - low) * F.lit(LINEAR_SHARE)
-    offset = value - anchor
-    usable = (unit > 0) & (unit < F.lit(float("inf")))
-    scaled = F.signum(offset) * F.log1p(F.abs(offset) / F.when(usable, unit).otherwise(1.0))
-    return F.when(usable, F.floor(scaled * CELLS_PER_UNIT)).otherwise(F.lit(0)).cast("bigint")
-
-
-def with_cells(freq: DataFrame, series: Sequence[str] = ("column",)) -> DataFrame:
-    """Adds `cell`. The range is taken per series: one row per profiled column, a number fixed by
-    the caller's column list, so the broadcast cannot grow with the data."""
-    if not series:
-        span = freq.agg(F.min("value").alias("low"), F.max("value").alias("high"))
-        ends = span.select(F.struct("low", "high")).scalar()
-        return freq.withColumn("cell", cell_of(F.col("value"), ends["low"], ends["high"]))
-    span = freq.groupBy(*series).agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    return (
-        freq.join(F.broadcast(span), list(series))
-        .withColumn("cell", cell_of(F.col("value"), F.col("low"), F.col("high")))
-        .drop("low", "high")
-    )
+def coarse_of(value: Column) -> Column:
+    """Monotone number of the coarse cell: 0 for zero, and one of its own for either infinity."""
+    octave = F.floor(F.log2(F.abs(value)) * PER_OCTAVE) + LOWEST_OCTAVE * PER_OCTAVE + 1
+    top = (LOWEST_OCTAVE + 1024) * PER_OCTAVE + 2
+    size = F.when(value == 0, 0).when(F.abs(value) == float("inf"), top).otherwise(octave)
+    return (F.signum(value) * size).cast("bigint")
+
+
+def cell_of(value: Column, coarse: Column) -> Column:
+    """Monotone number of the cell; cells of one coarse cell are neighbours."""
+    step = 2.0 ** (1 / PER_OCTAVE)
+    low = F.pow(F.lit(2.0), (F.abs(coarse) - 1) / PER_OCTAVE - LOWEST_OCTAVE)
+    part = F.floor((F.abs(value) / low - 1) / (step - 1) * PARTS)
+    whole = (coarse == 0) | (F.abs(value) == float("inf")) | (low == 0)
+    inner = F.when(whole, 0).otherwise(F.least(F.greatest(part, F.lit(0)), F.lit(PARTS - 1)))
+    return (coarse * (2 * PARTS) + F.signum(value) * inner).cast("bigint")
+
+
+def with_cells(freq: DataFrame) -> DataFrame:
+    """Adds `coarse` and `cell`."""
+    placed = freq.withColumn("coarse", coarse_of(F.col("value")))
+    return placed.withColumn("cell", cell_of(F.col("value"), F.col("coarse")))
 
 
 def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -73,22 +80,22 @@ def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(
         *[
             F.struct(
-                F.min(col(c).cast("double")).alias("low"), F.max(col(c).cast("double")).alias("high")
+                F.min(observed(df, c).cast("double")).alias("low"), F.max(observed(df, c).cast("double")).alias("high")
             ).alias(c)
             for c in cols
         ]
     )
 
 
-def cell_totals(cells: DataFrame, keys: Sequence[str], weights: Sequence[str] = ("n",)) -> DataFrame:
+def cell_totals(cells: DataFrame, keys: Sequence[str], weights: Sequence[str] = ("n",), cell: str = "cell") -> DataFrame:
     """Per key and cell: the weights, their sums over earlier cells (`<w>_before`) and in all
     (`<w>_total`)."""
-    counts = cells.groupBy(*keys, "cell").agg(*[F.sum(w).alias(w) for w in weights])
+    counts = cells.groupBy(*keys, cell).agg(*[F.sum(w).alias(w) for w in weights])
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    running = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = whole.orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.select(
         *keys,
-        "cell",
+        cell,
         *weights,
         *[(F.sum(w).over(running) - F.col(w)).alias(f"{w}_before") for w in weights],
         *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
@@ -96,12 +103,26 @@ def cell_totals(cells: DataFrame, keys: Sequence[str], weights: Sequence[str] =
 
 
 def running_totals(freq: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """freq + `<w>_before`, `<w>_total`: sums over all smaller values of the same key."""
-    cells = with_cells(freq, keys)
-    totals = cell_totals(cells, keys, weights).drop(*weights)
-    joined = cells.join(totals, [*keys, "cell"])
+    """freq + `<w>_before`, `<w>_total`: sums over all smaller values of the same key. Totals are
+    carried over coarse cells, then over the cells of each, then over the values of each cell."""
+    cells = with_cells(freq)
+    fine = cells.groupBy(*keys, "coarse", "cell").agg(*[F.sum(w).alias(w) for w in weights])
+    outer = cell_totals(fine, keys, weights, "coarse").drop(*weights)
+    inner = (
+        Window.partitionBy(*keys, "coarse")
+        .orderBy("cell")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    totals = fine.join(outer, [*keys, "coarse"]).select(
+        *keys,
+        "coarse",
+        "cell",
+        *[(F.col(f"{w}_before") + F.sum(w).over(inner) - F.col(w)).alias(f"{w}_before") for w in weights],
+        *[f"{w}_total" for w in weights],
+    )
+    joined = cells.join(totals, [*keys, "coarse", "cell"])
     inside = (
-        Window.partitionBy(*keys, "cell")
+        Window.partitionBy(*keys, "coarse", "cell")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -115,21 +136,35 @@ def running_totals(freq: DataFrame, keys: Sequence[str], weights: Sequence[str])
     )
 
 
+def refine(counts: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """The wanted cells within wanted coarse cells, from counts (keys..., coarse, cell, n) that carry
+    the coarse cell's `n_before` and `n_total`."""
+    inner = (
+        Window.partitionBy(*keys, "coarse")
+        .orderBy("cell")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    placed = counts.withColumn("n_before", F.col("n_before") + F.sum("n").over(inner) - F.col("n"))
+    return wanted_cells(placed, probs).drop("coarse")
+
+
 def frequency_quantiles(
-    freq: DataFrame,
-    keys: Sequence[str],
-    probs: dict[str, float],
-    series: Sequence[str] = ("column",),
-    few_keys: bool | None = None,
+    freq: DataFrame, keys: Sequence[str], probs: dict[str, float], few_keys: bool | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation of (keys..., value, n): one row per key and one
     column per entry of `probs`. Values may repeat. `few_keys` states that the number of keys is
     bounded whatever the data holds; it lets the opened cells be found by a broadcast."""
-    cells = with_cells(freq, series)
-    hits = wanted_cells(cell_totals(cells, keys), probs)
-    if few_keys or (few_keys is None and set(keys) <= {"column"}):
-        # At most two cells per key and quantile: bounded by the call, not by the data.
-        hits = F.broadcast(hits)
+    cells = with_cells(freq)
+    few = few_keys or (few_keys is None and set(keys) <= {"column"})
+    # At most two cells per key and quantile: with few keys bounded by the call, not by the data.
+    small = F.broadcast if few else lambda df: df
+    outer = small(wanted_cells(cell_totals(cells, keys, cell="coarse"), probs))
+    counts = (
+        cells.join(outer, [*keys, "coarse"])
+        .groupBy(*keys, "coarse", "n_before", "n_total", "cell")
+        .agg(F.sum("n").alias("n"))
+    )
+    hits = small(refine(counts, keys, probs))
     opened = (
         cells.join(hits, [*keys, "cell"])
         .groupBy(*keys, "cell", "n_before", "n_total", "value")
@@ -194,8 +229,8 @@ def quantiles(
 ) -> DataFrame:
     """(by..., column, <one column per quantile>), exact.
 
-    Without groups, or with a number of groups the caller has bounded, the table is scanned for
-    the range, for the cell counts and for the opened cells, and no row-sized shuffle takes place.
+    Without groups, or with a number of groups the caller has bounded, the table is scanned for the
+    coarse cells, for the cells and for the opened cells, and no row-sized shuffle takes place.
     With unbounded groups the values are counted once per group and distinct value, a shuffle
     whose key contains the value and therefore spreads a dominating group.
     """
