@@ -1,21 +1,22 @@
 """Logistic regression and support vector machines with C-style penalties.
 
 A penalty C against the summed loss equals `regParam = 1 / (C n)` against the mean loss that Spark
-ML minimises. The kernel machines map the features so that a linear machine suffices: exactly for
-the cubic kernel, by random Fourier features for the Gaussian one.
+ML minimises. The kernel machines map the features so that a linear machine suffices: by random
+Fourier features for the Gaussian kernel; for the cubic one exactly on few columns and by tensor
+sketches, whose error falls with the root of their size, on many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations_with_replacement
 from math import factorial, sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -25,11 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from statloom.operators import linear
+from statloom.operators import linear, ranks
 from statloom.operators.features import key_hash
 from statloom.operators.ranks import col
 
-MAX_CUBIC_COLUMNS = 12
+# Up to this many columns the cubic kernel has its exact map, which grows with their third power.
+EXACT_CUBIC_COLUMNS = 12
 
 
 def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -39,10 +41,10 @@ def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> Da
 
 
 def compact(df: DataFrame, rows: int, width: int, bytes_each: int = 64 << 20) -> DataFrame:
-    """Merge partitions of a small training table: every step of an optimizer is a job, so its
-    cost is the number of tasks. A table that fills its partitions is left alone, as merging to
-    more partitions than there are changes nothing."""
-    return df.coalesce(max(1, -(-rows * width * 8 // bytes_each)))
+    """Deal a mapped training table out to partitions of `bytes_each`: every step of an optimizer is
+    a job, so its cost is the number of tasks. The mapping itself runs before, in as many tasks as
+    its input has."""
+    return df.repartition(max(1, -(-rows * width * 8 // bytes_each)))
 
 
 def logistic(n: int, c: float = 1.0, label: str = "label", max_iter: int = 1000) -> LogisticRegression:
@@ -108,10 +110,48 @@ class FourierMap:
         return df.withColumn("features", array_to_vector(project(x)))
 
 
+@dataclass(frozen=True)
+class CubicSketch:
+    """z(x) with z(x).z(y) = (gamma x.y)^3 up to an error of order size^-0.5: the circular convolution
+    of three count sketches of x, by fast Fourier transforms."""
+
+    gamma: float
+    size: int = 1024
+    seed: int = 42
+
+    def matrices(self, width: int) -> list[np.ndarray]:
+        rng = np.random.default_rng(self.seed)
+        out = []
+        for _ in range(3):
+            sketch = np.zeros((width, self.size))
+            sketch[np.arange(width), rng.integers(self.size, size=width)] = rng.choice([-1.0, 1.0], width)
+            out.append(sketch)
+        return out
+
+    def apply(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        """Adds `features`, computed on whole Arrow batches."""
+        sketches, scale, size = self.matrices(len(cols)), self.gamma**1.5, self.size
+
+        @F.pandas_udf(ArrayType(DoubleType()))
+        def project(x: pd.Series) -> pd.Series:
+            rows = np.array(x.tolist(), dtype=float).reshape(-1, sketches[0].shape[0])
+            product = reduce(lambda a, b: a * b, [np.fft.rfft(rows @ s) for s in sketches])
+            return pd.Series(list(scale * np.fft.irfft(product, size)))
+
+        x = F.array(*[col(c).cast("double") for c in cols])
+        return df.withColumn("features", array_to_vector(project(x)))
+
+
+def mapped_width(cols: Sequence[str], kernel: str, size: int) -> int:
+    """Number of features after the map of a kernel."""
+    d = len(cols)
+    if kernel == "poly":
+        return d * (d + 1) * (d + 2) // 6 if d <= EXACT_CUBIC_COLUMNS else CubicSketch.size
+    return d if kernel == "linear" else size
+
+
 def cubic_columns(cols: Sequence[str], gamma: float) -> list[Column]:
     """Monomials of degree three whose inner product is (gamma x.y)^3."""
-    if len(cols) > MAX_CUBIC_COLUMNS:
-        raise ValueError(f"the cubic map takes at most {MAX_CUBIC_COLUMNS} columns, project first")
     out = []
     for picked in combinations_with_replacement(range(len(cols)), 3):
         repeats = [picked.count(i) for i in set(picked)]
@@ -125,7 +165,9 @@ def cubic_columns(cols: Sequence[str], gamma: float) -> list[Column]:
 
 
 def cubic_features(df: DataFrame, cols: Sequence[str], gamma: float) -> DataFrame:
-    """Adds `features` for the cubic kernel, as plain expressions."""
+    """Adds `features` for the cubic kernel: plain expressions for few columns, a sketch for many."""
+    if len(cols) > EXACT_CUBIC_COLUMNS:
+        return CubicSketch(gamma).apply(df, cols)
     return df.withColumn("features", array_to_vector(F.array(*cubic_columns(cols, gamma))))
 
 
@@ -154,7 +196,7 @@ def fit_kernel_svm(
     c: float = 1.0,
     gamma: float | None = None,
     size: int = 256,
-    max_iter: int = 50,
+    max_iter: int = 100,
 ) -> DataFrame:
     """Train on one table and predict another: `test` with a `prediction` column. The mapped
     training rows are kept on executor disks for the passes of the optimizer."""
@@ -165,7 +207,7 @@ def fit_kernel_svm(
     mapped = kernel_features(train, cols, kernel, g, size).select(
         col(label).cast("double").alias("label"), "features"
     )
-    mapped = compact(mapped, moments.n, size)
+    mapped = compact(mapped, moments.n, mapped_width(cols, kernel, size))
     mapped.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = linear_svm(moments.n, c, max_iter=max_iter).fit(mapped)
@@ -192,8 +234,11 @@ def compare_kernels(
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5) -> DataFrame:
-    """Adds `fold`, decided by the key's hash alone: shares of every label are even up to chance."""
-    return df.withColumn("fold", (key_hash(col(key), digits=8) % folds).cast("int"))
+    """Adds `fold`: rows are numbered by label, hash of the key and key, and dealt out in turn, so
+    the numbers of a label in two folds differ by one at most."""
+    keyed = df.withColumn("__hash", key_hash(col(key), digits=13))
+    placed = ranks.positional_index(keyed, [label, "__hash", key], "__place")
+    return placed.withColumn("fold", (F.col("__place") % folds).cast("int")).drop("__hash", "__place")
 
 
 def grid_search(
@@ -206,18 +251,19 @@ def grid_search(
     folds: int = 5,
     size: int = 256,
     parallelism: int = 4,
-    max_iter: int = 30,
+    max_iter: int = 100,
 ) -> DataFrame:
     """(c, gamma, accuracy, rank): mean cross-validated accuracy of Gaussian-kernel machines, best
     first. Rows are mapped once per gamma and reused by every penalty and fold."""
     moments = linear.fit_moments(train, cols)[()]
     in_fold = moments.n * (folds - 1) / folds
+    folded = stratified_folds(train, label, key, folds)
     rows = []
     for gamma in gammas:
         value = gamma_scale(moments) if gamma == "scale" else float(gamma)
         mapped = (
             FourierMap(value, size)
-            .apply(stratified_folds(train, label, key, folds), cols)
+            .apply(folded, cols)
             .select(col(label).cast("double").alias("label"), "fold", "features")
         )
         mapped = compact(mapped, moments.n, size)
@@ -242,5 +288,11 @@ def grid_search(
     return table.withColumn("rank", F.row_number().over(best))
 
 
-def fit_pipeline(stages: Sequence, train: DataFrame) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(train)
+def best_of_grid(
+    train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, key: str, **options
+) -> DataFrame:
+    """Search the grid on `train`, fit its best setting again on all of it and predict `test`."""
+    best = grid_search(train, cols, label, key, **options).where("rank = 1").first()
+    gamma = None if best["gamma"] == "scale" else float(best["gamma"])
+    scored = fit_kernel_svm(train, test, cols, label, "rbf", c=best["c"], gamma=gamma)
+    return scored.withColumns({"c": F.lit(best["c"]), "gamma": F.lit(best["gamma"])})

@@ -117,6 +117,8 @@ def fit_categories(
     """Categories of each column as text, in the order of the values themselves, or None where there
     are more than `limit`. The number of categories is estimated first with fixed-size sketches, so
     only small sets are ever built; without a limit all are."""
+    if not cols:
+        return {}
     if limit is None:
         row = df.agg(*[_sorted_texts(c).alias(c) for c in cols]).first()
         return {c: list(row[c]) for c in cols}
@@ -178,12 +180,18 @@ def log_transform(df: DataFrame, name: str) -> DataFrame:
 
 
 def column_transform(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = ()
+    df: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    keep: Sequence[str] = (),
+    fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Scaled numeric and one-hot categorical columns next to `keep`; all other columns are
-    dropped."""
+    dropped. Means, deviations and categories are those of `fit_on`; a category that it lacks has
+    zeros everywhere."""
+    basis = df if fit_on is None else fit_on
     picked = df.select(*[col(c) for c in [*keep, *numeric, *categorical]])
-    return one_hot(standard_scale(picked, numeric), categorical)
+    return one_hot(standard_scale(picked, numeric, basis), categorical, True, fit_categories(basis, categorical, None))
 
 
 def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], output: str = "features") -> Pipeline:

@@ -127,17 +127,25 @@ def pair_bins(spark, root):
     return chartdata.pair_bins(lines, ["l_quantity", "l_extendedprice", "l_discount"], "l_returnflag", 10)
 
 
-@query(
-    "scatter_top2",
-    "V8 O6 G18",
-    f"""
-    SELECT 'o_custkey' AS x, 'o_orderkey' AS y, urgent, {bin_sql('o_custkey', 'orders', 25)} AS x_bin,
-           {bin_sql('o_orderkey', 'orders', 25)} AS y_bin, count(*) AS n
-    FROM (SELECT *, CASE WHEN o_orderpriority < '3' THEN 1 ELSE 0 END AS urgent FROM orders) GROUP BY ALL
-    """,
-)
-def scatter_top2(spark, root):
-    orders = table(spark, root, "orders").withColumn(
-        "urgent", F.when(F.col("o_orderpriority") < "3", 1).otherwise(0)
+CANDIDATES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+RETURNED = "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END"
+
+
+def top_two_sql() -> str:
+    """Rank the candidates in SQL too, and count the cells of the pair that comes out on top."""
+    ranked = " UNION ALL ".join(f"SELECT '{c}' AS name, abs(corr({c}, {RETURNED})) AS r FROM lineitem" for c in CANDIDATES)
+    cells = "\nUNION ALL\n".join(
+        f"SELECT '{x}' AS x, '{y}' AS y, {RETURNED} AS returned, {bin_sql(x, 'lineitem', 25)} AS x_bin, "
+        f"{bin_sql(y, 'lineitem', 25)} AS y_bin, count(*) AS n FROM lineitem GROUP BY ALL"
+        for x in sorted(CANDIDATES) for y in sorted(CANDIDATES) if x < y
     )
-    return chartdata.scatter_top_two(orders, "urgent", ["o_custkey", "o_orderkey"], 25)
+    return f"""
+    WITH best AS (SELECT name FROM ({ranked}) ORDER BY r DESC, name LIMIT 2), cells AS ({cells})
+    SELECT * FROM cells WHERE x IN (SELECT name FROM best) AND y IN (SELECT name FROM best)
+    """
+
+
+@query("scatter_top2", "V8 O6 G18", top_two_sql())
+def scatter_top2(spark, root):
+    lines = table(spark, root, "lineitem").withColumn("returned", F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
+    return chartdata.scatter_top_two(lines, "returned", CANDIDATES, 25)

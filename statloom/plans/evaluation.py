@@ -30,7 +30,7 @@ def scored(spark, root):
 
 @query(
     "probability_class",
-    "F14 L12",
+    "F14",
     f"SELECT doc_id, predicted, round(score * 100, 2) AS percent FROM {SCORED}",
 )
 def probability_class(spark, root):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators import features, linear, power, profile
 from statloom.plans.cleaning import LINE_KEY
-from statloom.plans.profiling import MEASURES, each, rounded
+from statloom.plans.profiling import MEASURES, each, rounded, with_nan
 from statloom.plans.registry import query
 from statloom.sources.tables import table
 
@@ -110,6 +110,68 @@ def label_encode_large(spark, root):
     return features.label_encode(table(spark, root, "customer").select("c_custkey", "c_name"), ["c_name"])
 
 
+@query(
+    "label_encode_numbers",
+    "M6",
+    f"SELECT {LINE_KEY}, dense_rank() OVER (ORDER BY l_quantity::int) - 1 AS code FROM lineitem",
+)
+def label_encode_numbers(spark, root):
+    """Codes of few numbers follow their own order, not that of their texts."""
+    lines = table(spark, root, "lineitem").select(*LINE_KEY.split(", "), F.col("l_quantity").cast("int").alias("code"))
+    return features.label_encode(lines, ["code"])
+
+
+@query(
+    "label_encode_numbers_large",
+    "M6 P9",
+    "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS code FROM orders",
+)
+def label_encode_numbers_large(spark, root):
+    return features.label_encode(table(spark, root, "orders").select("o_orderkey", F.col("o_custkey").alias("code")), ["code"])
+
+
+@query(
+    "one_hot_numbers",
+    "M5",
+    "SELECT c_custkey, " + ", ".join(f'(c_nationkey = {v})::int AS "c_nationkey_{v}"' for v in range(1, 25)) + " FROM customer",
+)
+def one_hot_numbers(spark, root):
+    """The first level in the order of the numbers is dropped."""
+    nations = table(spark, root, "nation").select("n_nationkey").collect()
+    known = {"c_nationkey": [str(n) for n in sorted(r[0] for r in nations)]}
+    return features.one_hot(table(spark, root, "customer").select("c_custkey", "c_nationkey"), ["c_nationkey"], categories=known)
+
+
+@query(
+    "scale_train_only",
+    "M1 M3 M7",
+    f"""
+    WITH s AS (SELECT *, {HASH.format(key='l_orderkey', digits=8)} % 100 < 20 AS held FROM lineitem), fit AS (SELECT * FROM s WHERE NOT held)
+    SELECT {LINE_KEY}, round((l_quantity - (SELECT avg(l_quantity) FROM fit)) / (SELECT stddev_pop(l_quantity) FROM fit), 6) AS l_quantity
+    FROM s WHERE held
+    """,
+)
+def scale_train_only(spark, root):
+    """Test rows under the means and deviations of the training rows."""
+    lines = table(spark, root, "lineitem").select(*LINE_KEY.split(", "), "l_quantity")
+    train, test = features.random_split(lines, "l_orderkey", 0.2)
+    scaled = features.column_transform(test, ["l_quantity"], [], LINE_KEY.split(", "), fit_on=train)
+    return scaled.withColumn("l_quantity", F.round("l_quantity", 6))
+
+
+@query(
+    "scale_nan",
+    "M3",
+    f"""
+    WITH v AS (SELECT {LINE_KEY}, nullif(l_discount, 0) AS l_discount FROM lineitem)
+    SELECT {LINE_KEY}, round((l_discount - (SELECT avg(l_discount) FROM v)) / (SELECT stddev_pop(l_discount) FROM v), 6) AS l_discount FROM v
+    """,
+)
+def scale_nan(spark, root):
+    scaled = features.standard_scale(with_nan(spark, root), ["l_discount"])
+    return scaled.select(*LINE_KEY.split(", "), F.round("l_discount", 6).alias("l_discount"))
+
+
 @query(
     "column_transform",
     "M7 I6",

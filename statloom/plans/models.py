@@ -105,18 +105,21 @@ def lasso_path(spark, root):
     return rounded(spark.createDataFrame(rows, "step bigint, alpha double, cv_error double"), "alpha", "cv_error")
 
 
-def prepared_lines(spark, root):
-    """Scaled numbers and one-hot flags next to the price, with an interaction."""
-    lines = table(spark, root, "lineitem").transform(features.interaction, "l_quantity", "l_discount", "mix")
-    return features.column_transform(
-        lines, ["l_quantity", "l_discount", "l_tax", "mix"], ["l_returnflag"], keep=["l_orderkey", Y]
-    )
+def raw_lines(spark, root):
+    return table(spark, root, "lineitem").transform(features.interaction, "l_quantity", "l_discount", "mix")
+
+
+def prepared_lines(lines, fit_on):
+    """Scaled numbers and one-hot flags next to the price, with what is learnt from `fit_on`."""
+    numbers = ["l_quantity", "l_discount", "l_tax", "mix"]
+    return features.column_transform(lines, numbers, ["l_returnflag"], keep=["l_orderkey", Y], fit_on=fit_on)
 
 
 def fitted_lines(spark, root):
-    data = prepared_lines(spark, root)
-    train, test = features.random_split(data, "l_orderkey", 0.2)
-    cols = [c for c in data.columns if c not in ("l_orderkey", Y)]
+    """Models of the training rows, and the test rows under the preparation fitted to training rows."""
+    raw_train, raw_test = features.random_split(raw_lines(spark, root), "l_orderkey", 0.2)
+    train, test = (prepared_lines(d, raw_train) for d in (raw_train, raw_test))
+    cols = [c for c in train.columns if c not in ("l_orderkey", Y)]
     plain = [c for c in cols if c != "mix"]
     fold = train.withColumn("fold", features.key_hash(F.col("l_orderkey"), "fold") % 5)
     fits = {
@@ -130,7 +133,8 @@ def fitted_lines(spark, root):
 
 @query("coef_table", "E11 O4 L2 M8")
 def coef_table(spark, root):
-    data = prepared_lines(spark, root)
+    lines = raw_lines(spark, root)
+    data = prepared_lines(lines, lines)
     cols = [c for c in data.columns if c not in ("l_orderkey", Y)]
     fit = linear.ols(data, cols, Y)
     return rounded(evaluate.coefficient_table(spark, fit.cols, fit.coef), "coefficient")
@@ -189,26 +193,25 @@ def odds_ratios(spark, root):
     return rounded(report, "coefficient", "odds_ratio")
 
 
-def embedded(spark, root, components=6):
-    """Class 0 against the rest on the leading, standardised components of the embeddings."""
-    base = table(spark, root, "embeddings")
-    names = [f"d{i}" for i in range(64)]
-    wide = base.select(
+DIMENSIONS = [f"d{i}" for i in range(64)]
+
+
+def embedded(spark, root):
+    """Class 0 against the rest, on all dimensions of the embeddings scaled by the training rows."""
+    wide = table(spark, root, "embeddings").select(
         "vec_id",
         F.when(F.col("label") == 0, 1.0).otherwise(0.0).alias("label"),
-        *[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(names)],
+        *[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(DIMENSIONS)],
     )
-    fit = features.fit_pca(wide, names, components, standardise=False)
-    cols = [f"pc{i + 1}" for i in range(components)]
-    # The optimizer of a machine passes over its rows many times: keep the few projected columns.
-    projected = materialise(wide.select("vec_id", "label", *fit.columns()), "components")
-    flagged = features.stratified_flag(projected, "label", "vec_id", 0.2)
-    scaled = features.standard_scale(flagged, cols, fit_on=flagged.where("NOT is_test"))
-    return scaled.where("NOT is_test").drop("is_test"), scaled.where("is_test").drop("is_test"), cols
+    flagged = features.stratified_flag(wide, "label", "vec_id", 0.2)
+    scaled = features.standard_scale(flagged, DIMENSIONS, fit_on=flagged.where("NOT is_test"))
+    # The optimizer of a machine passes over its rows many times.
+    kept = materialise(scaled, "embedded")
+    return kept.where("NOT is_test").drop("is_test"), kept.where("is_test").drop("is_test"), DIMENSIONS
 
 
-def svm(spark, root, kernel, components=6, **options):
-    train, test, cols = embedded(spark, root, components)
+def svm(spark, root, kernel, **options):
+    train, test, cols = embedded(spark, root)
     return classify.fit_kernel_svm(train, test, cols, "label", kernel, **options).select(
         "vec_id", "label", "prediction"
     )
@@ -216,8 +219,12 @@ def svm(spark, root, kernel, components=6, **options):
 
 @query("svm_linear", "L6 M12")
 def svm_linear(spark, root):
-    """Linear machine on the two leading components."""
-    return svm(spark, root, "linear", components=2)
+    """Linear machine on the two leading components of the training rows."""
+    train, test, cols = embedded(spark, root)
+    plane = features.fit_pca(train, cols, 2, standardise=False)
+    train, test = (d.select("vec_id", "label", *plane.columns()) for d in (train, test))
+    scored = classify.fit_kernel_svm(train, test, ["pc1", "pc2"], "label", "linear")
+    return scored.select("vec_id", "label", "prediction")
 
 
 @query("svm_rbf", "L7")
@@ -236,13 +243,21 @@ def kernel_table(spark, root):
     return classify.compare_kernels(train, test, cols, "label", ["linear", "poly", "rbf"])
 
 
-@query("grid_search", "L9 E13")
+@query("grid_search", "L9")
 def grid_search(spark, root):
     train, _, cols = embedded(spark, root)
-    return classify.grid_search(train, cols, "label", "vec_id", size=128, max_iter=20)
+    return classify.grid_search(train, cols, "label", "vec_id")
+
+
+@query("grid_best_predictions", "L9 E13")
+def grid_best_predictions(spark, root):
+    """The best setting of the grid, fitted again on all training rows, on the test rows."""
+    train, test, cols = embedded(spark, root)
+    best = classify.best_of_grid(train, test, cols, "label", "vec_id")
+    return best.select("vec_id", "label", "prediction", "c", "gamma")
 
 
-@query("isolation_forest", "L11 G13")
+@query("isolation_forest", "L11")
 def isolation_forest(spark, root):
     lines = (
         table(spark, root, "lineitem")

@@ -81,6 +81,13 @@ SELECT '$c' AS "column", count($c) AS count, round(avg($c), 4) AS mean, round(st
        max($c)::double AS max FROM """ + GAPS
 
 
+def with_nan(spark, root):
+    """Lines whose zero discounts and taxes are NaN."""
+    nan = F.lit(float("nan"))
+    lines = table(spark, root, "lineitem")
+    return lines.withColumns({c: F.when(F.col(c) == 0, nan).otherwise(F.col(c)) for c in ("l_discount", "l_tax")})
+
+
 @query("describe_long", "I4 I5 D6 G11", each(DESCRIBE_SQL, MEASURES))
 def describe_long(spark, root):
     return rounded(profile.describe(with_gaps(spark, root), MEASURES), "mean", "std", "q1", "median", "q3")
@@ -235,6 +242,38 @@ def cardinality(spark, root):
     return profile.cardinality(part, names, threshold=8)
 
 
+@query("describe_nan", "I4 G11", each(DESCRIBE_SQL, ["l_discount", "l_tax"]))
+def describe_nan(spark, root):
+    """NaN is missing in every statistic."""
+    found = profile.describe(with_nan(spark, root), ["l_discount", "l_tax"])
+    return rounded(found, "mean", "std", "q1", "median", "q3")
+
+
+@query(
+    "group_means_nan",
+    "G3",
+    f"SELECT l_linestatus, round(avg(l_discount), 6) AS l_discount_mean, round(avg(l_tax), 6) AS l_tax_mean FROM {GAPS} GROUP BY 1",
+)
+def group_means_nan(spark, root):
+    means = profile.group_means(with_nan(spark, root), "l_linestatus", ["l_discount", "l_tax"])
+    return means.withColumns({c: F.round(c, 6) for c in ("l_discount_mean", "l_tax_mean")})
+
+
+@query(
+    "corr_nan",
+    "G17",
+    "\nUNION ALL\n".join(
+        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 4) AS r FROM {GAPS}"
+        for x in ("l_discount", "l_tax")
+        for y in ("l_discount", "l_tax")
+        if x != y
+    )
+    + "\nUNION ALL SELECT 'l_discount', 'l_discount', 1.0::double UNION ALL SELECT 'l_tax', 'l_tax', 1.0::double",
+)
+def corr_nan(spark, root):
+    return rounded(profile.correlations(with_nan(spark, root), ["l_discount", "l_tax"]), "r")
+
+
 @query(
     "corr_long",
     "G17 V7",

@@ -12,7 +12,7 @@ from statloom.streaming import scoring
 from statloom.streaming.scoring import Field
 
 CONTRACT = [
-    Field("c_acctbal", 0.0, 9000.0, 4500.0),
+    Field("c_acctbal", 0.0, 9000.0),
     Field("c_nationkey", 0, 24, 12, "int"),
 ]
 FIELDS = [f.name for f in CONTRACT]
@@ -40,7 +40,27 @@ def score_rejects(spark, root):
     return bad.select("c_custkey", F.array_join("problems", ";").alias("problems"))
 
 
-@query("score_batch", "T1 S8 C11 L12 L13 F14")
+MEDIAN_SQL = """
+WITH fit AS (
+  SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS x FROM customer
+  WHERE c_custkey % 7 = 0 OR c_acctbal BETWEEN 0 AND 9000
+)
+SELECT c_custkey, round(CASE WHEN c_custkey % 7 = 0 THEN (SELECT median(x) FROM fit) ELSE c_acctbal END, 4) AS filled
+FROM customer WHERE c_custkey % 7 = 0 OR c_acctbal BETWEEN 0 AND 9000
+"""
+
+
+@query("impute_in_pipeline", "C11 L13", MEDIAN_SQL)
+def impute_in_pipeline(spark, root):
+    """Absent values pass the contract and are filled by the first stage of the saved pipeline."""
+    gaps = table(spark, root, "customer").withColumn("c_acctbal", F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")))
+    rows = scoring.accepted(gaps, CONTRACT).withColumn("label", (F.col("c_nationkey") % 2).cast("double"))
+    model = scoring.train_pipeline(rows.select(*FIELDS, "label"), FIELDS, "label")
+    loaded = load_model(save_model(model, scratch_path(spark, "model")))
+    return rounded(loaded.stages[0].transform(rows).select("c_custkey", F.col("__c_acctbal").alias("filled")), "filled")
+
+
+@query("score_batch", "T1 S8 L12 L13 F14")
 def score_batch(spark, root):
     scored = scoring.score(table(spark, root, "customer"), saved_model(spark, root), CONTRACT, ["c_custkey"])
     return rounded(scored, "p1")

@@ -21,16 +21,18 @@ from statloom.operators.ranks import col
 
 @dataclass(frozen=True)
 class Field:
-    """One input: bounds are inclusive, an absent value takes the default."""
+    """One input: bounds are inclusive. An absent value takes the default; without one it stays absent,
+    and the imputer of the pipeline fills it."""
 
     name: str
     low: float
     high: float
-    default: float
+    default: float | None = None
     dtype: str = "double"
 
     def value(self) -> Column:
-        return F.coalesce(col(self.name).try_cast(self.dtype), F.lit(self.default).cast(self.dtype))
+        typed = col(self.name).try_cast(self.dtype)
+        return typed if self.default is None else F.coalesce(typed, F.lit(self.default).cast(self.dtype))
 
     def problem(self) -> Column:
         """Why the input is unfit, or null."""
@@ -113,8 +115,12 @@ def score_stream(
     named after its number, so that a batch replayed after a failure overwrites its own files."""
 
     def write(batch: DataFrame, number: int) -> None:
-        score(batch, model, contract, keys).write.mode("overwrite").parquet(f"{output}/batch={number}")
-        rejects(batch, contract).write.mode("overwrite").parquet(f"{reject_output}/batch={number}")
+        batch = batch.persist()
+        try:
+            score(batch, model, contract, keys).write.mode("overwrite").parquet(f"{output}/batch={number}")
+            rejects(batch, contract).write.mode("overwrite").parquet(f"{reject_output}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)
