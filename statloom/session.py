@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fallback = tempfile.mkdtemp(prefix="statloom-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     sc.setCheckpointDir(fallback)
     return fallback
 
