@@ -5,10 +5,12 @@ keys: `SIDE` times `SIDE` tables for 2 * SIDE * HALF MinHash values instead of S
 Two documents meet if they share a half key of either side. At a similarity of 0.85 the chance to
 miss that is about 2 in 100,000. Candidates are confirmed on their full shingle sets.
 
-Documents with equal sets are one node from the start. In a table's bucket, all nodes are compared
-with the bucket's first node. Where this leaves several components in a bucket, the few nodes outside
-the largest one are compared with all others; if they are not few, the bucket is split by further
-MinHash values and treated again. No step forms all pairs of a bucket.
+Documents with equal sets are one node from the start. The node that shares most half keys with others
+leads a bucket, and each node is first compared with the best leader it meets only. Buckets that then
+hold several components are contested. A node there can only have links if few of its shingles are its
+own, and two nodes only if what they may share is enough for their sizes; that is exact and needs
+counts only. What is left is compared: the few nodes outside a bucket's largest component with all
+others, or, where they are not few, within finer buckets of `FINE` values.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ HASHES = 2 * SIDE * HALF
 # A pair at the threshold has fewer equal MinHash values than this about once in a million.
 LEAST_EQUAL = 46
 FEW = 32
-LEVELS = 4
+FINE = 12
+FINE_TABLES = 120
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -103,31 +106,39 @@ def full_sets(texts: pa.Array) -> pa.Array:
 
 def half_keys() -> Column:
     """The half keys of both sides as (side, key)."""
-    keys = []
-    for i in range(2 * SIDE):
-        values = F.slice("signature", i * HALF + 1, HALF)
-        keys.append(F.struct(F.lit(i // SIDE).alias("side"), F.xxhash64(F.lit(i), values).alias("half")))
-    return F.explode(F.array(*keys))
+    def one(i: Column) -> Column:
+        values = F.slice("signature", i * HALF + 1, F.lit(HALF))
+        return F.struct((i >= SIDE).cast("int").alias("side"), F.xxhash64(i, values).alias("half"))
 
+    return F.explode(F.transform(F.sequence(F.lit(0), F.lit(2 * SIDE - 1)), one))
 
-def table_keys(nodes: DataFrame) -> DataFrame:
-    """Node and table key, for table keys made of half keys that some other node has too."""
+
+def shared_halves(nodes: DataFrame) -> DataFrame:
+    """Per node the half keys of either side that some other node has too, and how many have them."""
     halves = nodes.select("node", half_keys().alias("h")).select("node", "h.*")
-    shared = materialise(halves.groupBy("half").count().where("count > 1").select("half"), "halves")
-    own = halves.join(shared, "half").groupBy("node").agg(
-        *[F.collect_list(F.when(F.col("side") == s, F.col("half"))).alias(f"side{s}") for s in (0, 1)]
+    shared = materialise(halves.groupBy("half").count().where("count > 1"), "halves")
+    return halves.join(shared, "half").groupBy("node").agg(
+        F.sum("count").alias("weight"), *[F.collect_list(F.when(F.col("side") == s, F.col("half"))).alias(f"side{s}") for s in (0, 1)]
     )
+
+
+def table_keys(halves: DataFrame) -> DataFrame:
     crossed = F.flatten(F.transform("side0", lambda a: F.transform("side1", lambda b: F.xxhash64(a, b))))
-    return own.select("node", F.explode(crossed).alias("key"))
+    return halves.select("node", "weight", F.explode(crossed).alias("key"))
+
 
+def fine_keys(nodes: DataFrame) -> DataFrame:
+    """Table keys of `FINE` values each; a pair at the threshold misses all about twice in ten million."""
+    rng = np.random.default_rng(11)
+    picks = F.lit([[int(k) + 1 for k in rng.choice(HASHES, FINE, replace=False)] for _ in range(FINE_TABLES)])
+    key = lambda pick, i: F.xxhash64(i, F.transform(pick, lambda k: F.element_at("signature", k)))
+    return nodes.select("node", F.explode(F.transform(picks, key)).alias("key"))
 
-def finer_keys(keys: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
-    """Split buckets by further triples of values. A pair with fewer than `2 * SIDE` unequal values
-    has an equal triple, so none is lost here."""
-    order = np.random.default_rng(level).permutation(HASHES).reshape(-1, HALF)
-    triples = [F.array(*[F.element_at("signature", int(k) + 1) for k in row]) for row in order]
-    finer = F.array(*[F.xxhash64("key", F.lit(level), F.lit(i), t) for i, t in enumerate(triples)])
-    return keys.join(nodes.select("node", "signature"), "node").select("node", F.explode(finer).alias("key"))
+
+def may_link(na: str, ua: str, nb: str, ub: str) -> Column:
+    """Whether sizes `n`, of which `u` shingles no other contested node has, allow a link."""
+    common = F.least(F.col(na) - F.col(ua), F.col(nb) - F.col(ub))
+    return 100 * common >= PERCENT * (F.col(na) + F.col(nb) - common)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -149,14 +160,6 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(100 * F.col("common") >= PERCENT * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
 
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are not known to be connected."""
-    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
-
-
 class Links:
     """Confirmed links and the components they form so far."""
 
@@ -165,47 +168,55 @@ class Links:
         self.edges: DataFrame | None = None
         self.labels = nodes.sparkSession.createDataFrame([], "node long, label long")
 
-    def add(self, pairs: DataFrame) -> None:
-        found = materialise(confirm(pairs, self.sets), "links")
+    def test(self, pairs: DataFrame) -> None:
+        """Confirm pairs and join the components of those that are links."""
+        found = materialise(confirm(likely(pairs, self.nodes), self.sets), "links")
         if found.isEmpty():
             return
         self.edges = found if self.edges is None else self.edges.unionByName(found)
         self.labels = components(self.edges)
 
-    def test(self, pairs: DataFrame) -> None:
-        """Confirm the most alike partner of each node first, then only pairs that are still apart."""
-        open_pairs = materialise(likely(apart(pairs, self.labels), self.nodes), "candidates")
-        if open_pairs.isEmpty():
-            return
-        best = open_pairs.groupBy("a").agg(F.max(F.struct("equal", F.negative("b").alias("b"))).alias("m"))
-        self.add(best.select("a", F.negative("m.b").alias("b")))
-        rest = materialise(apart(open_pairs, self.labels), "candidates")
-        if not rest.isEmpty():
-            self.add(rest)
+
+def best_leaders(members: DataFrame) -> DataFrame:
+    best = members.groupBy("node").agg(F.max("lead").alias("lead"))
+    return best.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).where("a <> b")
+
+
+def contested(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """`key`, `node`, `label` of members of buckets that hold more than one component."""
+    labelled = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = materialise(labelled, "labelled")
+    several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return labelled.join(materialise(several.select("key"), "contested-keys"), "key")
 
 
-def first_pairs(keys: DataFrame, buckets: DataFrame) -> DataFrame:
-    joined = keys.join(buckets, "key").where("node <> leader")
-    return joined.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+def linkable(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Nodes of `members` that may have links, with `n` and `u`: their shingles, and those of them that
+    no other of these nodes has."""
+    nodes = materialise(members.select("node").distinct(), "contested-nodes")
+    every = sets.join(nodes, "node").select("node", F.explode("shingles").alias("shingle"))
+    single = every.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    alone = single.groupBy("node").agg(F.count("*").alias("u"))
+    sizes = sets.join(nodes, "node").select("node", F.size("shingles").cast("long").alias("n"))
+    known = sizes.join(alone, "node", "left").select("node", "n", F.coalesce("u", F.lit(0).cast("long")).alias("u"))
+    return known.where(100 * (F.col("n") - F.col("u")) >= PERCENT * F.col("n"))
 
 
-def divided(keys: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with several components, with `outside` for those not in the largest and
-    `n_outside` for their number. Buckets of two were settled by their one pair."""
-    members = keys.join(buckets.where("n > 2"), "key").join(labels, "node", "left")
-    members = members.select("key", "leader", "node", F.coalesce("label", "node").alias("label"))
+def divided(members: DataFrame) -> DataFrame:
+    """Add whether a member is `outside` its bucket's largest component, and how many are; buckets of
+    one component leave."""
     shares = members.groupBy("key", "label").count().groupBy("key")
-    stats = shares.agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("n"), F.count("*").alias("parts"))
-    several = stats.where("parts > 1").select("key", F.col("top.label").alias("main"), (F.col("n") - F.col("top.count")).alias("n_outside"))
-    several = materialise(several, "divided")
-    return members.join(several, "key").withColumn("outside", F.col("label") != F.col("main")).drop("main")
+    stats = shares.agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    stats = materialise(stats.select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count")).alias("n_outside")), "divided")
+    return members.join(stats, "key").withColumn("outside", F.col("label") != F.col("main")).drop("main")
 
 
 def outsider_pairs(members: DataFrame) -> DataFrame:
-    few = members.where((F.col("n_outside") <= FEW) & (F.col("node") != F.col("leader"))).select("key", "node", "label", "outside")
-    one = few.where("outside").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    other = few.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), "outside")
-    joined = one.join(other, "key").where((F.col("la") != F.col("lb")) & (~F.col("outside") | (F.col("a") < F.col("b"))))
+    """Pairs of an outside node and a node of another component that sizes allow."""
+    one = members.where("outside").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("u").alias("ua"))
+    other = members.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("u").alias("ub"), "outside")
+    new = (F.col("la") != F.col("lb")) & (~F.col("outside") | (F.col("a") < F.col("b")))
+    joined = one.join(other, (one["key"] == other["key"]) & new & may_link("na", "ua", "nb", "ub"))
     return joined.select("a", "b").distinct()
 
 
@@ -237,28 +248,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def link_nodes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Component labels of the nodes that have links."""
-    keys = materialise(table_keys(nodes), "table-keys")
-    links = None
-    for level in range(LEVELS + 1):
-        buckets = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-        buckets = materialise(buckets, "buckets")
-        if buckets.isEmpty():
-            break
-        if links is None:
-            meeting = keys.join(buckets.select("key"), "key").select("node").distinct()
-            links = Links(nodes, materialise(sets_of(meeting.join(nodes, "node"), texts), "sets"))
-        links.test(first_pairs(keys, buckets))
-        members = materialise(divided(keys, buckets, links.labels), "members")
-        # The last level compares whatever is left, however much it is.
-        many = (F.col("n_outside") > FEW) if level < LEVELS else F.lit(False)
-        few = members.where(~many).withColumn("n_outside", F.lit(0))
-        if not few.isEmpty():
-            links.test(outsider_pairs(few))
-        rest = members.where(many).select("node", "key")
-        if rest.isEmpty():
-            break
-        keys = materialise(finer_keys(rest, nodes, level + 1), "table-keys")
-    return links.labels if links else nodes.sparkSession.createDataFrame([], "node long, label long")
+    keys = table_keys(materialise(shared_halves(nodes), "shared-halves"))
+    buckets = keys.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    members = materialise(keys.join(materialise(buckets, "buckets"), "key").select("key", "node", "lead"), "members")
+    meeting = members.select("node").distinct()
+    links = Links(nodes, materialise(sets_of(meeting.join(nodes, "node"), texts), "sets"))
+    links.test(best_leaders(members))
+    rest = materialise(contested(members, links.labels), "contested")
+    able = materialise(linkable(rest, links.sets), "linkable")
+    rest = materialise(divided(rest.join(able, "node")), "members")
+    links.test(outsider_pairs(rest.where(F.col("n_outside") <= FEW)))
+    crowded = materialise(rest.where(F.col("n_outside") > FEW).select("node").distinct().join(able, "node"), "crowded")
+    if not crowded.isEmpty():
+        finer = fine_keys(nodes.join(crowded.select("node"), "node")).join(crowded, "node").join(links.labels, "node", "left")
+        finer = materialise(finer.withColumn("label", F.coalesce("label", "node")), "fine-keys")
+        links.test(outsider_pairs(divided(finer)))
+    return links.labels
 
 
 def sets_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
