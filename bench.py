@@ -38,6 +38,9 @@ HEADLINE = [
     "lasso_path",
     "pps_matrix",
     "isolation_forest",
+    "logistic",
+    "svm_rbf",
+    "score_batch",
 ]
 REPEATS = 2
 
