@@ -63,20 +63,19 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["g", "c"])
 
 
-PAIR = T.ArrayType(T.StructType([T.StructField("g", T.LongType()), T.StructField("n", T.LongType())]))
+PAIR = T.ArrayType(T.StructType([T.StructField("g", T.IntegerType()), T.StructField("n", T.IntegerType())]))
 
 
 @F.arrow_udf(PAIR)
-def gram_counts(texts: pa.Array) -> pa.Array:
-    """The distinct n-grams of each text with their counts."""
-    out = []
-    for data, offsets in tx.pieces(texts):
-        code, owner = grams(data, offsets)
-        keys, counts = np.unique((owner.astype(np.int64) << (BITS * ORDER)) | code, return_counts=True)
-        bounds = np.searchsorted(keys, np.arange(len(offsets), dtype=np.int64) << (BITS * ORDER))
-        pairs = pa.StructArray.from_arrays([pa.array(keys & (GRAMS - 1)), pa.array(counts)], ["g", "n"])
-        out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pairs))
-    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.struct([("g", pa.int64()), ("n", pa.int64())])))
+def gram_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The distinct n-grams of each text with their counts, in a batch per slice of texts."""
+    for texts in batches:
+        for data, offsets in tx.pieces(texts):
+            code, owner = grams(data, offsets)
+            keys, counts = np.unique((owner.astype(np.int64) << (BITS * ORDER)) | code, return_counts=True)
+            bounds = np.searchsorted(keys, np.arange(len(offsets), dtype=np.int64) << (BITS * ORDER))
+            parts = [pa.array((keys & (GRAMS - 1)).astype(np.int32)), pa.array(counts.astype(np.int32))]
+            yield pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.StructArray.from_arrays(parts, ["g", "n"]))
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -162,12 +161,12 @@ def perplexity(
     rows = flag_trusted(rows, trusted_ids.where(F.col("doc_id").isNotNull()))
     costs = model(rows.where("trusted").select("body"))
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    single = numbered.select("row", "doc_id", "lang", "trusted", F.explode_outer(gram_counts("body")).alias("x")).select("row", "doc_id", "lang", "trusted", "x.*")
+    single = numbered.select("row", "doc_id", "lang", "trusted", F.explode_outer(gram_counts("body")).alias("x"))
+    single = single.select("row", "doc_id", "lang", "trusted", F.col("x.g").cast("long").alias("g"), F.col("x.n").cast("long").alias("n"))
     # The table of costs has 32 ** ORDER rows by construction.
     priced = single.join(F.broadcast(costs), "g", "left")
-    sums = priced.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("lang").alias("lang"), F.first("trusted").alias("trusted"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_grams"), F.sum(F.col("n") * F.col("cost")).alias("cost")
-    )
+    # The row number stands for the other keys; sums of numbers by hash need no sort.
+    sums = priced.groupBy("row", "doc_id", "lang", "trusted").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_grams"), F.sum(F.col("n") * F.col("cost")).alias("cost"))
     mean = F.floor(F.col("cost") / F.nullif(F.col("n_grams"), F.lit(0)) / GRID)
     scored = materialise(sums.select("doc_id", "lang", "trusted", "n_grams", mean.alias("mean_cost")), "perplexities")
     own = cuts(scored, True, quantile).select(F.col("lang").alias("of_lang"), F.col("cut").alias("own_cut"))
