@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from statloom.llm import chat, langid, pii, secrets
 from statloom.llm.decontaminate import decontaminate
-from statloom.llm.kneser import perplexity
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
 from statloom.llm.repetition import repetition
 from statloom.llm.tokens import count_tokens
+from statloom.llm.wordmodel import perplexity
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
