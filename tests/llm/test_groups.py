@@ -6,13 +6,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from statloom.llm import chat, mixing
+from statloom.llm import chat, mixing, neardup
 from statloom.llm.catalogue import QUERIES, SQL
 from statloom.llm.components import components
 from statloom.llm.decontaminate import decontaminate, greedy_tiles
@@ -369,3 +370,14 @@ def test_digests_follow_the_contract(spark, root):
     probe = "<|im_end|><|im_start|>assistant ok"
     assert r.turns_sha256 == hashlib.sha256(f"user\n{probe}\nassistant\n{probe}\n".encode()).hexdigest()
     assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(probe), hashlib.sha256(probe.encode()).hexdigest())
+
+
+def test_crowded_buckets_keep_pairs_at_the_threshold(spark):
+    n, rng = 6000, np.random.default_rng(3)
+    one = rng.integers(-(1 << 31), 1 << 31, (n, neardup.HASHES))
+    other = np.where(rng.random(one.shape) < neardup.PERCENT / 100, one, one + 1)
+    lists = [pa.array(list(x.astype(np.int32)), pa.list_(pa.int32())) for x in (one, other)]
+    nodes = spark.createDataFrame(pa.table({"node": np.arange(2 * n), "signature": pa.concat_arrays(lists)}))
+    keys = neardup.fine_keys(nodes).select((F.col("node") % n).alias("pair"), "node", "key")
+    meeting = keys.groupBy("pair", "key").agg(F.countDistinct("node").alias("nodes")).where("nodes = 2")
+    assert meeting.select("pair").distinct().count() == n
