@@ -39,8 +39,8 @@ RULES = {
     "access": Rule("AKIA[A-Z0-9]{14,}"),
     "hex": Rule("[0-9a-f]{16,}"),
     "pem": Rule(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x0A\x0D]*"),
-    "jwt": Rule(r"\beyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,1000}"),
-    "provider": Rule(r"\b(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|AIza[A-Za-z0-9_-]{35}|[sr]k_live_[A-Za-z0-9]{16,100})"),
+    "jwt": Rule(r"\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", version=2),
+    "provider": Rule(r"\b(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|[sr]k_live_[A-Za-z0-9]{16,}+)", version=2),
 }
 BASE = ("assign", "access", "hex")
 

@@ -127,6 +127,19 @@ def test_ledger_scans_each_pair_once(spark, tmp_path):
     assert {f.rule for r in again for f in r.findings} == {"hex@2", "access@1"}
 
 
+def test_secrets_of_any_length(spark):
+    payload = "a1B2_" * 1000
+    texts = {
+        1: f"Bearer eyJhbGciOiJIUzI1NiJ9.{payload}.{payload} end",
+        2: "xoxb-" + "1a-" * 1000 + "x end",
+        3: "sk_live_" + "a1B2" * 500 + " end",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.findings for r in secrets.scan_versions(rows, ["doc_id"]).collect()}
+    for i, (kind, start) in {1: ("jwt", 7), 2: ("provider", 0), 3: ("provider", 0)}.items():
+        assert [(f.start, f.end) for f in found[i] if f.kind == kind] == [(start, len(texts[i]) - 4)], i
+
+
 def test_secrets_of_odd_rows(odd, nothing):
     assert secrets.scan_versions(odd, ["doc_id", "row"]).count() == odd.count()
     assert secrets.scan_versions(nothing, ["doc_id"]).count() == 0
