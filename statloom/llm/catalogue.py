@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, langid, pii, secrets
+from statloom.llm import chat, langid, pii, repair, secrets
 from statloom.llm.decontaminate import decontaminate
 from statloom.llm.mixing import mix
 from statloom.llm.neardup import near_duplicates
+from statloom.llm.periodic import periodic_runs, planted_loop
 from statloom.llm.repetition import repetition
 from statloom.llm.tokens import count_tokens
+from statloom.llm.vantage import neighbours
 from statloom.llm.wordmodel import perplexity
 
 
@@ -105,6 +107,18 @@ def op10_tokens(spark: SparkSession, root: str) -> DataFrame:
     return counted.withColumn("section_tokens", F.transform("section_tokens", lambda n: n.cast("long")))
 
 
+def op11_runs(spark: SparkSession, root: str) -> DataFrame:
+    return periodic_runs(read(spark, root, "documents"), loop=planted_loop)
+
+
+def op12_repair(spark: SparkSession, root: str) -> DataFrame:
+    return repair.repair(repair.damage(read(spark, root, "conversations")))
+
+
+def op13_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    return neighbours(read(spark, root, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_repetition": op1_repetition,
     "op2_langid": op2_langid,
@@ -116,6 +130,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_tokens": op10_tokens,
+    "op11_runs": op11_runs,
+    "op12_repair": op12_repair,
+    "op13_neighbours": op13_neighbours,
 }
 
 SQL: dict[str, str] = {"op3_chat": CHAT_SQL}
