@@ -278,7 +278,9 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, factor: float = F
 
         for batch in batches:
             for i in range(batch.num_rows):
-                block, dim, held, tree = (batch.column(c)[i].as_py() for c in ("block", "dim", "queries", "tree"))
+                block, dim, tree_dim, held, tree = (batch.column(c)[i].as_py() for c in ("block", "dim", "tree_dim", "queries", "tree"))
+                if dim != tree_dim:
+                    continue
                 if (block, dim) not in work:
                     stored = unpacked(held)
                     work[block, dim] = Nearest(stored["ids"], stored["vectors"], k)
@@ -302,7 +304,8 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, factor: float = F
 
     blocks = queries.repartition(max(1, queries.count()), "block")
     trees = index.repartition(max(1, min(index.count(), SEARCH_PARTS)), "shard").withColumnRenamed("dim", "tree_dim")
-    pairs = blocks.crossJoin(trees).where("dim = tree_dim").select("block", "dim", "queries", "tree")
+    # Dimensions are compared in the task: as a join key they would gather all pairs in one.
+    pairs = blocks.crossJoin(trees).select("block", "dim", "tree_dim", "queries", "tree")
     return pairs.mapInArrow(searched, FOUND).groupBy("block").applyInArrow(merged, RESULT)
 
 
