@@ -75,7 +75,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), width:
     extreme data points within width * IQR of the box."""
     keys = [*by, "column"]
     freq = ranks.frequencies(df, cols, by)
-    box = ranks.frequency_quantiles(freq, keys, profile.QUARTILES)
+    box = ranks.quantiles(df, cols, profile.QUARTILES, by)
     ends = (
         freq.join(F.broadcast(box) if not by else box, keys)
         .groupBy(*keys, "q1", "median", "q3")

@@ -41,7 +41,7 @@ def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
     """Most frequent value (smallest on ties) of columns of any type, as scalar subqueries."""
     values = {}
     for c in cols:
-        counts = df.where(col(c).isNotNull()).groupBy(col(c)).agg(F.count(F.lit(1)).alias("__n"))
+        counts = df.select(ranks.observed(df, c).alias(c)).where(col(c).isNotNull()).groupBy(col(c)).agg(F.count(F.lit(1)).alias("__n"))
         best = counts.agg(F.min_by(col(c), F.struct(-F.col("__n"), col(c))).alias(c))
         values[c] = best.scalar()
     return values
@@ -59,7 +59,7 @@ def fill_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 def fill_mode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     mode = mode_values(df if fit_on is None else fit_on, cols)
-    return df.withColumns({c: F.coalesce(col(c), mode[c]) for c in cols})
+    return df.withColumns({c: F.coalesce(ranks.observed(df, c), mode[c]) for c in cols})
 
 
 def fill_rounded_mean(df: DataFrame, name: str, places: int = 1) -> DataFrame:
@@ -93,12 +93,12 @@ def trim_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def cap_outliers(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> DataFrame:
-    """Limit values to the quartiles -/+ width * IQR; nulls stay null."""
+    """Limit values to the quartiles -/+ width * IQR; nulls stay null, and NaN becomes null."""
     limits = F.col("__limits")
     return (
         profile.with_outlier_bounds(df, cols, width)
         .withColumns(
-            {c: clip(col(c).cast("double"), limits[c]["lower"], limits[c]["upper"]) for c in cols}
+            {c: clip(ranks.observed(df, c).cast("double"), limits[c]["lower"], limits[c]["upper"]) for c in cols}
         )
         .drop("__limits")
     )
@@ -141,7 +141,7 @@ def clean_measurements(
         df.transform(fill_with, ranks.fixed(mean_row(df, mean_cols)), mean_cols)
         .transform(fill_with, ranks.fixed(median_row(df, median_cols)), median_cols)
         .transform(ranks.attach, ranks.fixed(modes), "__mode")
-        .withColumns({c: F.coalesce(col(c), mode[c]) for c in classed})
+        .withColumns({c: F.coalesce(ranks.observed(df, c), mode[c]) for c in classed})
         .drop("__mode")
         .transform(edit.keep_members, label, classes)
         .transform(edit.negatives_to_median, measures, now=True)

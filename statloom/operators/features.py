@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from math import floor
 
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.scalar import mapped
 from statloom.operators import clean, linear, profile, ranks
@@ -17,6 +19,7 @@ from statloom.operators.ranks import attach, col
 
 # Up to this many categories a label encoder is an expression, beyond it a join.
 MAX_CATEGORIES = 256
+MAX_LABELS = 256
 
 
 def key_hash(key: Column, seed: str = "", digits: int = 8) -> Column:
@@ -42,35 +45,37 @@ def stratified_flag(
     """Adds a flag that marks, per label, exactly round(share * n) rows: those with the smallest
     key hashes.
 
-    Hashes are counted per label and coarse cell, then per cell within the coarse cell that holds
-    the last marked row, and only the rows of that cell are ranked: one in 2 ** 28 of a label's. That
-    yields one cut per label, so even a label with most of the rows is neither sorted nor gathered.
+    The hash of the last marked row is an order statistic of each label, found by counting, so even a
+    label with most of the rows is neither sorted nor gathered. Up to MAX_LABELS labels, the cuts
+    are literals and no row is shuffled; beyond, they are a table that is joined.
     """
-    hashed = df.select(
-        col(label), col(key).alias("__key"), key_hash(col(key), digits=13).alias("__hash")
-    ).withColumns({"coarse": F.shiftright("__hash", 38), "cell": F.shiftright("__hash", 24)})
-    hashed = hashed.where(col(label).isNotNull())
-    totals = ranks.cell_totals(hashed.withColumn("n", F.lit(1)), [label], cell="coarse")
-    wanted = F.floor(F.lit(share) * F.col("n_total") + 0.5)
-    holds = (wanted > F.col("n_before")) & (wanted <= F.col("n_before") + F.col("n"))
-    outer = totals.where(holds).select(label, "coarse", F.col("n_before"), F.col("n_total"))
-    counts = hashed.join(outer, [label, "coarse"]).groupBy(label, "coarse", "n_before", "n_total", "cell").agg(F.count(F.lit(1)).alias("n"))
-    inner = Window.partitionBy(label, "coarse").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.withColumn("n_before", F.col("n_before") + F.sum("n").over(inner) - F.col("n"))
-    edge = placed.where(holds).select(label, "cell", (wanted - F.col("n_before")).alias("__place"))
-    inside = Window.partitionBy(label, "cell").orderBy("__hash", "__key")
-    cut = (
-        hashed.join(edge, [label, "cell"])
-        .withColumn("__rank", F.row_number().over(inside))
-        .where("__rank = __place")
-        .select(label, F.struct("__hash", "__key").alias("__cut"))
-    )
-    here = F.struct(key_hash(col(key), digits=13).alias("__hash"), col(key).alias("__key"))
-    return (
-        df.join(cut, label, "left")
-        .withColumn(name, F.coalesce(here <= F.col("__cut"), F.lit(False)))
-        .select(*[col(c) for c in df.columns], name)
-    )
+    number = key_hash(col(key), digits=13)
+    hashed = df.where(col(label).isNotNull()).select(col(label).alias("__label"), number.cast("double").alias("value"), col(key).alias("__key"))
+    counts = hashed.withColumn("n", F.lit(1).cast("bigint"))
+    few = len(hashed.select("__label").distinct().take(MAX_LABELS + 1)) <= MAX_LABELS
+    if few:
+        last = lambda n_total: [F.floor(F.lit(share) * n_total + 0.5) - 1]
+        found = ranks.order_statistics(counts, ["__label"], last)
+        cuts = {k: (v, n, int(floor(share * total + 0.5))) for (k,), (total, steps) in found.items() for n, _, v in steps}
+        fields = [hashed.schema["__label"], T.StructField("__cut", T.DoubleType()), T.StructField("__left", T.LongType())]
+        # Rows that share the hash of the last one are taken by key, as far as the share goes.
+        edges = df.sparkSession.createDataFrame([(k, v, wanted - n) for k, (v, n, wanted) in cuts.items()], T.StructType(fields))
+        tied = hashed.join(F.broadcast(edges), "__label").where("value = __cut")
+        place = F.row_number().over(Window.partitionBy("__label").orderBy("__key"))
+        keys = {r["__label"]: r["__key"] for r in tied.withColumn("__place", place).where("__place = __left").collect()}
+        flag = F.lit(False)
+        for k, (v, _, _) in cuts.items():
+            within = (number < int(v)) | ((number == int(v)) & (col(key) <= F.lit(keys[k])))
+            flag = F.when(col(label) == F.lit(k), within).otherwise(flag)
+        return df.withColumn(name, F.coalesce(flag, F.lit(False)))
+    sizes = counts.groupBy("__label").agg(F.floor(F.lit(share) * F.sum("n") + 0.5).alias("__wanted"))
+    # So many labels are small groups but for a few, and ranked in full.
+    place = F.row_number().over(Window.partitionBy("__label").orderBy("value", "__key"))
+    cut = hashed.withColumn("__place", place).join(sizes, "__label").where("__place = __wanted")
+    cut = cut.select(F.col("__label").alias(label), F.struct("value", "__key").alias("__cut"))
+    here = F.struct(number.cast("double").alias("value"), col(key).alias("__key"))
+    joined = df.join(cut, label, "left").withColumn(name, F.coalesce(here <= F.col("__cut"), F.lit(False)))
+    return joined.select(*[col(c) for c in df.columns], name)
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:

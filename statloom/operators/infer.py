@@ -15,7 +15,7 @@ from statloom.functions.distributions import (
 )
 from statloom.functions.scalar import normal_quantile
 from statloom.operators.profile import per_column
-from statloom.operators.ranks import col
+from statloom.operators.ranks import col, observed
 
 REJECT, KEEP = "reject", "fail to reject"
 
@@ -23,10 +23,11 @@ REJECT, KEEP = "reject", "fail to reject"
 def t_interval(df: DataFrame, value: str, by: Sequence[str] = (), level: float = 0.95) -> DataFrame:
     """(by..., n, mean, std_error, t_crit, lower, upper) with sample deviation; the bounds are null
     for fewer than two values."""
+    x = observed(df, value)
     stats = df.groupBy(*[col(b) for b in by]).agg(
-        F.count(col(value)).alias("n"),
-        F.avg(col(value)).alias("mean"),
-        (F.stddev_samp(col(value)) / F.sqrt(F.nullif(F.count(col(value)), F.lit(0)))).alias("std_error"),
+        F.count(x).alias("n"),
+        F.avg(x).alias("mean"),
+        (F.stddev_samp(x) / F.sqrt(F.nullif(F.count(x), F.lit(0)))).alias("std_error"),
     )
     p = F.lit(1 - (1 - level) / 2)
     bound = stats.withColumn("t_crit", t_quantile_column(p, (F.col("n") - 1).cast("double")))
@@ -40,7 +41,7 @@ def z_interval(
     """(by..., n, mean, lower, upper) for a known deviation."""
     z = normal_quantile(1 - (1 - level) / 2)
     stats = df.groupBy(*[col(b) for b in by]).agg(
-        F.count(col(value)).alias("n"), F.avg(col(value)).alias("mean")
+        F.count(observed(df, value)).alias("n"), F.avg(observed(df, value)).alias("mean")
     )
     reach = F.lit(z * sigma) / F.sqrt(F.nullif(F.col("n"), F.lit(0)))
     return stats.withColumns({"lower": F.col("mean") - reach, "upper": F.col("mean") + reach})
@@ -53,7 +54,7 @@ def z_test(
     belongs to the critical region."""
     crit = normal_quantile(1 - alpha)
     stats = df.groupBy(*[col(b) for b in by]).agg(
-        F.count(col(value)).alias("n"), F.avg(col(value)).alias("mean")
+        F.count(observed(df, value)).alias("n"), F.avg(observed(df, value)).alias("mean")
     )
     tested = stats.withColumn("z", (F.col("mean") - mu0) / (F.lit(sigma) / F.sqrt(F.nullif(F.col("n"), F.lit(0)))))
     inside = F.col("z") >= F.lit(crit)

@@ -2,7 +2,8 @@
 
 Each score is the cross-validated gain of predicting y from x alone over predicting y without x.
 The predictor is a step function: numeric x is cut into equal-width bins, other x by category; a bin
-answers with the median (numeric y) or most frequent class (other y) of the training folds. Numeric
+answers with the mean (numeric y) or most frequent class (other y) of the training folds, as a
+regression or classification tree does. Numeric
 y is scored by its absolute error against the overall median, other y by weighted F1 against the
 better of the constant and the random guess. Folds come from the key's hash. A pair leaves out the
 rows that lack one of its two columns; the overall median is that of all values of y.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.operators import ranks, relate
@@ -83,42 +84,23 @@ def _held() -> Column:
     return F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])).alias("held")
 
 
-def _training_medians(long: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """(bin, held, column, answer): medians over the rows of all folds but the held-out one. Folds
-    are combined on the level of cell counts, so a row is counted once, not once per fold it
-    trains. There are bins x folds x targets keys: bounded by the call."""
-    values = long.unpivot(["fold", "bin"], [col(t) for t in targets], "column", "value")
-    values = values.where("value IS NOT NULL")
-    cells = ranks.with_cells(values.withColumn("n", F.lit(1).cast("bigint")))
-    counts = cells.groupBy("bin", "column", "coarse", "fold").agg(F.sum("n").alias("n"))
-    keys, half = ["bin", "column", "held"], {"answer": 0.5}
-    training = counts.select("*", _held()).where("held <> fold")
-    outer = ranks.wanted_cells(ranks.cell_totals(training, keys, cell="coarse"), half)
-    inside = (
-        cells.join(F.broadcast(outer), ["bin", "column", "coarse"])
-        .where("held <> fold")
-        .groupBy(*keys, "coarse", "n_before", "n_total", "cell")
-        .agg(F.sum("n").alias("n"))
-    )
-    hits = ranks.refine(inside, keys, half)
-    opened = (
-        cells.join(F.broadcast(hits), ["bin", "column", "cell"])
-        .where("held <> fold")
-        .groupBy(*keys, "cell", "n_before", "n_total", "value")
-        .agg(F.sum("n").alias("n"))
+def _training_means(long: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """(bin, fold, answer_<target>...): means over the rows of all other folds. One aggregation for all
+    targets, then differences of a table of bins x folds."""
+    sums = long.groupBy("bin", "fold").agg(
+        *[F.sum(col(t)).alias(f"s_{t}") for t in targets], *[F.count(col(t)).alias(f"n_{t}") for t in targets]
     )
-    return ranks.opened_quantiles(opened, keys, half)
+    whole = Window.partitionBy("bin")
+    others = lambda c: F.coalesce(F.sum(col(c)).over(whole), F.lit(0)) - F.coalesce(col(c), F.lit(0))
+    answers = [(others(f"s_{t}") / F.nullif(others(f"n_{t}"), F.lit(0))).alias(f"answer_{t}") for t in targets]
+    return sums.select("bin", "fold", *answers)
 
 
 def _numeric_scores(rows: DataFrame, names: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     targets = [f"num_{c}" for c in numeric]
     long = _by_x(rows, names, targets)
-    answers = _training_medians(long, targets)
     naive = ranks.quantile_row(rows, targets, {"answer": 0.5})
-    # Back to one row per bin and fold with a column per target, so that rows need one lookup.
-    lookup = answers.groupBy("bin", F.col("held").alias("fold")).agg(
-        *[F.max(F.when(F.col("column") == t, F.col("answer"))).alias(f"answer_{t}") for t in targets]
-    )
+    lookup = _training_means(long, targets)
     scored = attach(long, naive, "__naive").join(
         F.broadcast(lookup), ["bin", "fold"], "left"
     )

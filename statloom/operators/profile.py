@@ -143,7 +143,7 @@ def descriptive_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mean, median, mode, std, skew)."""
     base = per_column(df, cols, {"mean": F.avg, "std": F.stddev_samp, "skew": adjusted_skew})
     freq = ranks.frequencies(df, cols)
-    ordered = ranks.frequency_quantiles(freq, ["column"], {"median": 0.5})
+    ordered = ranks.quantiles(df, cols, {"median": 0.5})
     return (
         base.join(ordered, "column", "left")
         .join(ranks.frequency_modes(freq, ["column"]), "column", "left")
@@ -234,7 +234,7 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], width: float = 1.5) -> Da
     limits = F.col("__limits")
     wide = with_outlier_bounds(df, cols, width).agg(
         *[
-            F.count_if((col(c) < limits[c]["lower"]) | (col(c) > limits[c]["upper"])).alias(c)
+            F.count_if((ranks.observed(df, c) < limits[c]["lower"]) | (ranks.observed(df, c) > limits[c]["upper"])).alias(c)
             for c in cols
         ]
     )
@@ -325,7 +325,8 @@ def subset_class_share(df: DataFrame, a: str, b: str, label: Column, name: str =
     and share of the rows where `label` holds."""
     med = ranks.quantile_row(df, [a, b], {"median": 0.5})
     ma, mb = F.col("__med")[a]["median"], F.col("__med")[b]["median"]
-    side = F.when((col(a) > ma) & (col(b) > mb), "high").when((col(a) <= ma) & (col(b) <= mb), "low")
+    va, vb = ranks.observed(df, a), ranks.observed(df, b)
+    side = F.when((va > ma) & (vb > mb), "high").when((va <= ma) & (vb <= mb), "low")
     hit = F.when(label, 1.0).otherwise(0.0)
     wide = ranks.attach(df, med, "__med").withColumn("__side", side).agg(
         *[

@@ -1,26 +1,26 @@
 """Order statistics that never put a whole column, or a whole group, into one task.
 
-Each value is mapped to a coarse cell, a sixteenth of an octave of its magnitude, and to a cell within
-that, one of 4096 equal parts. Both mappings are monotone and the same for all data, so neither an
-outlier nor an infinity crowds the other values together. Coarse cells are counted with map-side
-combining; of those that hold a wanted rank the cells are counted, and only cells that hold one are
-opened: their values are counted per distinct value and sorted within the cell.
+Each value has an order-preserving 64-bit integer, the bits of the double. Values are counted by its
+leading bits with map-side combining; only the cells that hold a wanted rank are counted again, by
+further bits, until such a cell holds one value or few rows, and then its values are ranked. How the
+values lie makes no difference: an offset, an outlier or an infinity costs another round at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.session import shared_dir
+from statloom.session import materialise, shared_dir
 
-PER_OCTAVE = 16
-PARTS = 4096
-# Doubles have magnitudes from 2 ** -1074 up to 2 ** 1024.
-LOWEST_OCTAVE = 1075
+# Sign, exponent and eight bits of the mantissa lead; each round looks at twelve more.
+LEADING_SHIFT, ROUND_BITS = 44, 12
+OPEN_ROWS = 10_000
+SMALLEST_NORMAL = 2.0**-1022
 
 
 def col(name: str) -> Column:
@@ -51,28 +51,21 @@ def frequencies(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def coarse_of(value: Column) -> Column:
-    """Monotone number of the coarse cell: 0 for zero, and one of its own for either infinity."""
-    octave = F.floor(F.log2(F.abs(value)) * PER_OCTAVE) + LOWEST_OCTAVE * PER_OCTAVE + 1
-    top = (LOWEST_OCTAVE + 1024) * PER_OCTAVE + 2
-    size = F.when(value == 0, 0).when(F.abs(value) == float("inf"), top).otherwise(octave)
-    return (F.signum(value) * size).cast("bigint")
-
-
-def cell_of(value: Column, coarse: Column) -> Column:
-    """Monotone number of the cell; cells of one coarse cell are neighbours."""
-    step = 2.0 ** (1 / PER_OCTAVE)
-    low = F.pow(F.lit(2.0), (F.abs(coarse) - 1) / PER_OCTAVE - LOWEST_OCTAVE)
-    part = F.floor((F.abs(value) / low - 1) / (step - 1) * PARTS)
-    whole = (coarse == 0) | (F.abs(value) == float("inf")) | (low == 0)
-    inner = F.when(whole, 0).otherwise(F.least(F.greatest(part, F.lit(0)), F.lit(PARTS - 1)))
-    return (coarse * (2 * PARTS) + F.signum(value) * inner).cast("bigint")
-
-
-def with_cells(freq: DataFrame) -> DataFrame:
-    """Adds `coarse` and `cell`."""
-    placed = freq.withColumn("coarse", coarse_of(F.col("value")))
-    return placed.withColumn("cell", cell_of(F.col("value"), F.col("coarse")))
+def sortable(value: Column) -> Column:
+    """The bits of a double as an integer in the order of the doubles; both zeros are 0."""
+    size = F.abs(value)
+    power = F.least(F.floor(F.log2(size)), F.lit(1023))
+    ratio = size / F.pow(F.lit(2.0), power.cast("double"))
+    # The logarithm may be off by one next to a power of two.
+    power = F.when(ratio < 1, power - 1).when(ratio >= 2, power + 1).otherwise(power)
+    ratio = F.when(ratio < 1, ratio * 2).when(ratio >= 2, ratio / 2).otherwise(ratio)
+    normal = F.shiftleft((power + 1023).cast("bigint"), 52) + ((ratio - 1) * 2.0**52).cast("bigint")
+    bits = (
+        F.when(size < SMALLEST_NORMAL, (size * 2.0**537 * 2.0**537).cast("bigint"))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .otherwise(normal)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
 def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -87,136 +80,166 @@ def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def cell_totals(cells: DataFrame, keys: Sequence[str], weights: Sequence[str] = ("n",), cell: str = "cell") -> DataFrame:
-    """Per key and cell: the weights, their sums over earlier cells (`<w>_before`) and in all
-    (`<w>_total`)."""
-    counts = cells.groupBy(*keys, cell).agg(*[F.sum(w).alias(w) for w in weights])
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    running = whole.orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.select(
-        *keys,
-        cell,
-        *weights,
-        *[(F.sum(w).over(running) - F.col(w)).alias(f"{w}_before") for w in weights],
-        *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
-    )
+Ranks = Callable[[Column], list[Column]]
+"""The wanted 0-based ranks, from the number of values."""
 
 
-def running_totals(freq: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """freq + `<w>_before`, `<w>_total`: sums over all smaller values of the same key. Totals are
-    carried over coarse cells, then over the cells of each, then over the values of each cell."""
-    cells = with_cells(freq)
-    fine = cells.groupBy(*keys, "coarse", "cell").agg(*[F.sum(w).alias(w) for w in weights])
-    outer = cell_totals(fine, keys, weights, "coarse").drop(*weights)
-    inner = (
-        Window.partitionBy(*keys, "coarse")
-        .orderBy("cell")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    totals = fine.join(outer, [*keys, "coarse"]).select(
-        *keys,
-        "coarse",
-        "cell",
-        *[(F.col(f"{w}_before") + F.sum(w).over(inner) - F.col(w)).alias(f"{w}_before") for w in weights],
-        *[f"{w}_total" for w in weights],
-    )
-    joined = cells.join(totals, [*keys, "coarse", "cell"])
-    inside = (
-        Window.partitionBy(*keys, "coarse", "cell")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return joined.select(
-        *freq.columns,
-        *[
-            (F.col(f"{w}_before") + F.sum(w).over(inside) - F.col(w)).alias(f"{w}_before")
-            for w in weights
-        ],
-        *[F.col(f"{w}_total") for w in weights],
-    )
+def quantile_ranks(probs: dict[str, float]) -> Ranks:
+    def wanted(n_total: Column) -> list[Column]:
+        places = [F.lit(float(p)) * (n_total - 1) for p in probs.values()]
+        return [rank for place in places for rank in (F.floor(place), F.ceil(place))]
 
+    return wanted
 
-def refine(counts: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """The wanted cells within wanted coarse cells, from counts (keys..., coarse, cell, n) that carry
-    the coarse cell's `n_before` and `n_total`."""
-    inner = (
-        Window.partitionBy(*keys, "coarse")
-        .orderBy("cell")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def counted(rows: DataFrame, keys: Sequence[str], shift: int) -> DataFrame:
+    """Counts of (keys..., number, value, n) by the bits of `number` above `shift`."""
+    return rows.groupBy(*keys, F.shiftright("number", shift).alias("cell")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"), F.max("value").alias("most")
     )
-    placed = counts.withColumn("n_before", F.col("n_before") + F.sum("n").over(inner) - F.col("n"))
-    return wanted_cells(placed, probs).drop("coarse")
 
 
-def frequency_quantiles(
-    freq: DataFrame, keys: Sequence[str], probs: dict[str, float], few_keys: bool | None = None
-) -> DataFrame:
-    """Exact quantiles with linear interpolation of (keys..., value, n): one row per key and one
-    column per entry of `probs`. Values may repeat. `few_keys` states that the number of keys is
-    bounded whatever the data holds; it lets the opened cells be found by a broadcast."""
-    cells = with_cells(freq)
-    few = few_keys or (few_keys is None and set(keys) <= {"column"})
-    # At most two cells per key and quantile: with few keys bounded by the call, not by the data.
-    small = F.broadcast if few else lambda df: df
-    outer = small(wanted_cells(cell_totals(cells, keys, cell="coarse"), probs))
-    counts = (
-        cells.join(outer, [*keys, "coarse"])
-        .groupBy(*keys, "coarse", "n_before", "n_total", "cell")
-        .agg(F.sum("n").alias("n"))
-    )
-    hits = small(refine(counts, keys, probs))
-    opened = (
-        cells.join(hits, [*keys, "cell"])
-        .groupBy(*keys, "cell", "n_before", "n_total", "value")
-        .agg(F.sum("n").alias("n"))
-    )
-    return opened_quantiles(opened, keys, probs)
+def holding(counts: DataFrame, keys: Sequence[str], order: str, ranks: Ranks) -> DataFrame:
+    """The rows of `counts` that hold a wanted rank, with `start`: how many values come before.
 
+    Parents bring `before` and `n_total`; without parents the keys' own totals are taken.
+    """
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    running = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if "n_total" not in counts.columns:
+        counts = counts.withColumns({"n_total": F.sum("n").over(whole), "before": F.lit(0).cast("bigint")})
+    placed = counts.withColumn("start", F.col("before") + F.sum("n").over(running) - F.col("n"))
+    hit = F.lit(False)
+    for rank in ranks(F.col("n_total")):
+        hit = hit | ((rank >= F.col("start")) & (rank < F.col("start") + F.col("n")))
+    return placed.where(hit)
 
-def _positions(probs: dict[str, float]) -> dict[str, Column]:
-    return {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in probs.items()}
 
+Step = tuple[int, int, float]
+"""Ranks from, ranks to (exclusive), value."""
 
-def wanted_cells(totals: DataFrame, probs: dict[str, float]) -> DataFrame:
-    """The cells that hold the ranks next to a quantile: (keys..., cell, n_before, n_total)."""
-    start, stop = F.col("n_before"), F.col("n_before") + F.col("n")
-    hit = F.lit(False)
-    for position in _positions(probs).values():
-        for rank in (F.floor(position), F.ceil(position)):
-            hit = hit | ((rank >= start) & (rank < stop))
-    return totals.where(hit).drop("n")
-
-
-def opened_quantiles(opened: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """Quantiles from the distinct values of the wanted cells."""
-    within = (
-        Window.partitionBy(*keys, "cell")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    upto = F.col("n_before") + F.sum("n").over(within)
-    ranked = opened.select(
-        *keys, "n_total", "value", (upto - F.col("n")).alias("start"), upto.alias("stop")
-    )
-    position = _positions(probs)
+
+def order_statistics(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> dict[tuple, tuple[int, list[Step]]]:
+    """For each key the number of values and the steps that hold the wanted ranks, of (keys..., value,
+    n), where values may repeat. For a number of keys that the caller has bounded: a few rows per
+    key and rank reach the driver. Whole columns take one scan if wanted values repeat, as a rule two.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("number", sortable(F.col("value")))
+    kinds = [rows.schema[k] for k in keys]
+    out: dict[tuple, tuple[int, list[Step]]] = {}
+    counts, parents, shift, opened = counted(rows, keys, LEADING_SHIFT), [*keys], LEADING_SHIFT, []
+
+    def note(row, value: float) -> None:
+        _, steps = out.setdefault(tuple(row[k] for k in keys), (row["n_total"], []))
+        steps.append((row["start"], row["start"] + row["n"], value))
+
+    def below(found: list) -> DataFrame:
+        """The rows within found cells; each cell is a `part`."""
+        fields = [*kinds, *[T.StructField(c, T.LongType()) for c in ("part", "before", "n_total")]]
+        fields += [T.StructField(c, T.DoubleType()) for c in ("low", "high")]
+        cells = [(*[r[k] for k in keys], i, r["start"], r["n_total"], r["least"], r["most"]) for i, r in enumerate(found)]
+        table = F.broadcast(spark.createDataFrame(cells, T.StructType(fields)))
+        joined = rows.join(table, list(keys)) if keys else rows.crossJoin(table)
+        return joined.where("value between low and high")
+
+    while True:
+        crowded = []
+        for row in holding(counts, parents, "cell", ranks).collect():
+            if row["least"] == row["most"]:
+                note(row, row["least"])
+            else:
+                (crowded if row["rows"] > OPEN_ROWS else opened).append(row)
+        if not crowded:
+            break
+        shift = max(shift - ROUND_BITS, 0)
+        parents = [*keys, "part", "before", "n_total"]
+        counts = counted(below(crowded), parents, shift)
+    if opened:
+        parents = [*keys, "part", "before", "n_total"]
+        values = below(opened).groupBy(*parents, "value").agg(F.sum("n").alias("n"))
+        for row in holding(values, parents, "value", ranks).collect():
+            note(row, row["value"])
+    return out
+
+
+def at_rank(steps: Sequence[Step], rank: int) -> float:
+    return next(value for start, stop, value in steps if start <= rank < stop)
+
+
+def interpolated(n_total: int, steps: Sequence[Step], prob: float) -> float:
+    place = float(prob) * (n_total - 1)
+    low, high = at_rank(steps, floor(place)), at_rank(steps, ceil(place))
+    return low if low == high else low + (place - floor(place)) * (high - low)
+
+
+def few_quantiles(rows: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles with linear interpolation of (keys..., value, n), computed now: one row per key
+    and one column per entry of `probs`."""
+    found = order_statistics(rows, keys, quantile_ranks(probs))
+    data = [(*key, *[interpolated(n, steps, p) for p in probs.values()]) for key, (n, steps) in found.items()]
+    fields = [*[rows.schema[k] for k in keys], *[T.StructField(p, T.DoubleType()) for p in probs]]
+    return rows.sparkSession.createDataFrame(data, T.StructType(fields))
+
+
+def many_quantiles(freq: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """`few_quantiles` for any number of keys, of (keys..., value, n) with distinct values per key. Found
+    cells stay tables and are joined; a key that holds most rows is spread, as the values are."""
+    kept = materialise(freq.withColumn("number", sortable(F.col("value"))), "values")
+    ranks, shift, opened = quantile_ranks(probs), LEADING_SHIFT, []
+    counts, parents = counted(kept, keys, shift), [*keys]
+    crowded = (F.col("least") < F.col("most")) & (F.col("rows") > OPEN_ROWS)
+    while True:
+        found = materialise(holding(counts, parents, "cell", ranks), "cells")
+        cells = found.select(*keys, F.col("cell").alias("part"), F.col("start").alias("before"), "n_total", "least", "most", "rows")
+        placed = kept.withColumn("part", F.shiftright("number", shift))
+        parents = [*keys, "part", "before", "n_total"]
+        opened.append(placed.join(cells.where(~crowded).drop("least", "most", "rows"), [*keys, "part"]).select(*parents, "value", "n"))
+        if cells.where(crowded).isEmpty():
+            break
+        shift = max(shift - ROUND_BITS, 0)
+        counts = counted(placed.join(cells.where(crowded).drop("least", "most", "rows"), [*keys, "part"]), parents, shift)
+    values = opened[0]
+    for more in opened[1:]:
+        values = values.union(more)
+    steps = holding(values, parents, "value", ranks)
+    places = {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in probs.items()}
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("stop")), F.col("value")))
+        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("start") + F.col("n")), F.col("value")))
 
-    ends = ranked.groupBy(*keys).agg(
-        F.max("n_total").alias("n_total"),
-        *[at(F.floor(pos)).alias(f"{name}__lo") for name, pos in position.items()],
-        *[at(F.ceil(pos)).alias(f"{name}__hi") for name, pos in position.items()],
+    ends = steps.groupBy(*keys, "n_total").agg(
+        *[at(F.floor(p)).alias(f"{name}__lo") for name, p in places.items()],
+        *[at(F.ceil(p)).alias(f"{name}__hi") for name, p in places.items()],
     )
-    return ends.select(
-        *keys,
-        *[
-            (
-                F.col(f"{name}__lo")
-                + (pos - F.floor(pos)) * (F.col(f"{name}__hi") - F.col(f"{name}__lo"))
-            ).alias(name)
-            for name, pos in position.items()
-        ],
+
+    def between(name: str, place: Column) -> Column:
+        low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
+        return F.when(low == high, low).otherwise(low + (place - F.floor(place)) * (high - low))
+
+    return ends.select(*keys, *[between(name, p).alias(name) for name, p in places.items()])
+
+
+def running_totals(freq: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """(value, weights...) of distinct values, with `<w>_before` and `<w>_total`: sums over all smaller
+    values and over all. Values are dealt by ranges, however they lie; of each range one row of
+    sums is carried to the next."""
+    ranged = freq.repartitionByRange("value").withColumn("__part", F.spark_partition_id())
+    placed = materialise(ranged, "ranges")
+    sums = placed.groupBy("__part").agg(*[F.sum(w).alias(w) for w in weights])
+    parts = Window.orderBy("__part")
+    earlier, whole = parts.rowsBetween(Window.unboundedPreceding, -1), parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = sums.select(
+        "__part",
+        *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"{w}_earlier") for w in weights],
+        *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
+    )
+    inside = Window.partitionBy("__part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = placed.join(F.broadcast(offsets), "__part")
+    return joined.select(
+        *freq.columns,
+        *[(F.col(f"{w}_earlier") + F.sum(w).over(inside) - F.col(w)).alias(f"{w}_before") for w in weights],
+        *[F.col(f"{w}_total") for w in weights],
     )
 
 
@@ -227,18 +250,16 @@ def quantiles(
     by: Sequence[str] = (),
     few_groups: bool = False,
 ) -> DataFrame:
-    """(by..., column, <one column per quantile>), exact.
+    """(by..., column, <one column per quantile>), exact and computed now.
 
-    Without groups, or with a number of groups the caller has bounded, the table is scanned for the
-    coarse cells, for the cells and for the opened cells, and no row-sized shuffle takes place.
-    With unbounded groups the values are counted once per group and distinct value, a shuffle
+    Without groups, or with a number of groups the caller has bounded, no row-sized shuffle takes
+    place. With unbounded groups the values are counted once per group and distinct value, a shuffle
     whose key contains the value and therefore spreads a dominating group.
     """
     keys = [*by, "column"]
     if by and not few_groups:
-        return frequency_quantiles(frequencies(df, cols, by), keys, probs, few_keys=False)
-    values = long_values(df, cols, by).withColumn("n", F.lit(1).cast("bigint"))
-    return frequency_quantiles(values, keys, probs, few_keys=True)
+        return many_quantiles(frequencies(df, cols, by), keys, probs)
+    return few_quantiles(long_values(df, cols, by).withColumn("n", F.lit(1).cast("bigint")), keys, probs)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> DataFrame:

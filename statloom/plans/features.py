@@ -328,7 +328,7 @@ def pps_sql() -> str:
                 parts.append(f"""
                 SELECT '{x}', '{y}', (SELECT greatest(0, 1 - sum(abs(r.y - coalesce(a.p, b.p))) / sum(abs(r.y - b.p)))
                 FROM ({base}) r CROSS JOIN (SELECT quantile_cont({y}, 0.5) AS p FROM orders) b
-                LEFT JOIN (SELECT h, bin, quantile_cont(y, 0.5) AS p FROM ({base}), range(4) f(h)
+                LEFT JOIN (SELECT h, bin, avg(y) AS p FROM ({base}), range(4) f(h)
                            WHERE h <> fold GROUP BY h, bin) a ON a.h = r.fold AND a.bin = r.bin)""")
             else:
                 parts.append(f"""

@@ -75,7 +75,7 @@ def test_results_do_not_depend_on_partitions(spark):
 
 def test_running_totals(spark):
     df = spark.createDataFrame([(3.0, 1), (1.0, 2), (2.0, 5), (900.0, 1)], "value double, n bigint")
-    got = as_dict(ranks.running_totals(df, [], ["n"]), "value", "n_before")
+    got = as_dict(ranks.running_totals(df, ["n"]), "value", "n_before")
     assert got == {1.0: 0, 2.0: 2, 3.0: 7, 900.0: 8}
 
 

@@ -8,26 +8,57 @@ import pytest
 from pyspark.sql import functions as F
 
 from statloom.functions import scalar
-from statloom.operators import features, linear, power, profile, ranks
-
-
-def test_outlier_and_infinities_leave_no_full_cell(spark):
-    rows = spark.range(200_000).select((F.rand(1) + 0.0).alias("x"))
-    odd = spark.createDataFrame([(1e12,), (float("inf"),), (float("-inf"),), (0.0,), (-5e-324,)], "x double")
-    values = ranks.long_values(rows.union(odd), ["x"]).withColumn("n", F.lit(1).cast("bigint"))
-    cells = ranks.with_cells(values)
-    assert cells.groupBy("cell").count().agg(F.max("count")).first()[0] < 200
-    ordered = cells.orderBy("value").select("cell", "coarse").collect()
-    assert [r.cell for r in ordered] == sorted(r.cell for r in ordered)
-    assert [r.coarse for r in ordered] == sorted(r.coarse for r in ordered)
-    got = ranks.quantiles(rows.union(odd), ["x"], {"q": 0.5}).first()["q"]
-    assert got == pytest.approx(np.quantile([r.x for r in rows.union(odd).collect()], 0.5))
+from statloom.operators import clean, features, infer, linear, power, profile, ranks
+
+
+def test_numbers_of_doubles_keep_their_order(spark):
+    rng = np.random.default_rng(0)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, np.nextafter(2.0**-1022, 0), 1.7976931348623157e308, math.inf, -math.inf, 1.0, 2.0, 4.0]
+    odd += [float(np.nextafter(2.0**k, d)) for k in range(-1000, 1001, 50) for d in (0, math.inf)] + [2.0**k for k in range(-1074, 1024)]
+    values = np.array(odd + list(rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500)))
+    rows = spark.createDataFrame([(float(v),) for v in values], "value double")
+    got = {r.value: r.number for r in rows.withColumn("number", ranks.sortable(F.col("value"))).collect()}
+    bits = lambda v: int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1)
+    assert all(number == bits(value) for value, number in got.items())
+
+
+@pytest.mark.parametrize("kind", ["offset", "seconds", "outliers", "few", "negative"])
+def test_selection_opens_small_cells_however_values_lie(spark, monkeypatch, kind):
+    rng = np.random.default_rng(1)
+    n = 60_000
+    monkeypatch.setattr(ranks, "OPEN_ROWS", 500)
+    x = {
+        "offset": 1e6 + rng.random(n),
+        "seconds": 1.7e9 + rng.random(n) * 3600,
+        "outliers": np.concatenate([rng.random(n - 4), [1e300, -1e300, np.inf, -np.inf]]),
+        "few": rng.integers(0, 3, n) + 1e9,
+        "negative": -(1e6 + rng.random(n) ** 8),
+    }[kind]
+    rows = spark.createDataFrame(pd.DataFrame({"x": x, "g": np.arange(n) % 3}))
+    opened = []
+    counted = ranks.counted
+    monkeypatch.setattr(ranks, "counted", lambda *a: opened.append(a[2]) or counted(*a))
+    probs = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.75, "e": 0.999}
+    got = ranks.quantiles(rows, ["x"], probs).first()
+    assert [got[p] for p in probs] == pytest.approx(list(np.quantile(x, list(probs.values()))), rel=1e-15)
+    assert len(opened) <= 4
+    for few in (True, False):
+        for r in ranks.quantiles(rows, ["x"], probs, ["g"], few_groups=few).collect():
+            assert [r[p] for p in probs] == pytest.approx(list(np.quantile(x[r.g::3], list(probs.values()))), rel=1e-15)
+
+
+def test_running_totals_over_an_offset(spark):
+    rng = np.random.default_rng(2)
+    values = np.unique(1e9 + rng.random(20_000))
+    frame = pd.DataFrame({"value": values, "n": rng.integers(1, 5, len(values))})
+    got = ranks.running_totals(spark.createDataFrame(frame).repartition(7), ["n"]).toPandas().sort_values("value")
+    assert (got["n_before"].to_numpy() == frame["n"].cumsum() - frame["n"]).all() and (got["n_total"] == frame["n"].sum()).all()
 
 
 def test_nan_is_missing(spark):
     nan = float("nan")
     rows = spark.createDataFrame([(1.0, 2.0, "a"), (2.0, 4.1, "a"), (nan, 1.0, "a"), (4.0, nan, "b"), (7.0, 13.0, "b")], "x double, y double, g string")
-    clean = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "xy"], "g")
+    without = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "xy"], "g")
     same = lambda a, b: pd.testing.assert_frame_equal(a.toPandas(), b.toPandas())
     for fn in (
         lambda d: profile.describe(d, ["x", "y"]).orderBy("column"),
@@ -38,8 +69,15 @@ def test_nan_is_missing(spark):
         lambda d: features.standard_scale(d, ["x"]),
         lambda d: features.minmax_scale(d, ["x"]),
         lambda d: ranks.extent(d, ["x", "y"]).select("x.*"),
+        lambda d: profile.outlier_counts(d, ["x", "y"]).orderBy("column"),
+        lambda d: profile.subset_class_share(d, "x", "y", F.col("g") == "a").orderBy("subset"),
+        lambda d: clean.cap_outliers(d, ["x", "y"]),
+        lambda d: clean.fill_mode(d, ["x", "y"]),
+        lambda d: infer.t_interval(d, "x"),
+        lambda d: infer.z_interval(d, "x", 2.0),
+        lambda d: infer.z_test(d, "x", 1.0, 2.0),
     ):
-        same(fn(rows), fn(clean))
+        same(fn(rows), fn(without))
 
 
 @pytest.mark.parametrize("width", [25, 60])
