@@ -24,8 +24,7 @@ from statloom.llm import text as tx
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 15
 BLOCK = 64
-SEGMENT_WORDS = 16
-SEGMENTS = 4
+STRETCH_WORDS = 16
 LETTER = np.zeros(256, dtype=bool)
 LETTER[np.r_[0x41:0x5B, 0x61:0x7B, 0x80:0x100]] = True
 ASCII_LETTER = LETTER & (np.arange(256) < 0x80)
@@ -148,13 +147,13 @@ def word_marginals(crf: Crf, types: Types, offsets: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], labels: list[np.ndarray], names: list[str], steps: int = 60, rate: float = 0.15, decay: float = 1e-4) -> Crf:
-    """Fit on sequences of equal length, each with a label per word, by the likelihood gradient (Adam)."""
+    """Fit on sequences of words, each with a label per word, by the likelihood gradient (Adam)."""
     data = np.frombuffer("\n".join(texts).encode(), np.uint8)
     starts, ends, _ = tx.runs(LETTER[data], np.array([0, len(data)]))
     types = Types(data, starts, ends)
     truth = np.concatenate(labels)
-    width, k = len(labels[0]), len(names)
-    offsets = np.arange(0, len(truth) + 1, width)
+    k = len(names)
+    offsets = np.cumsum([0, *map(len, labels)])
     common = np.bincount(types.of_token, minlength=len(types.hashes)) >= 3
     lexicon = types.hashes[common]
     crf = Crf(names, np.zeros((len(ORDERS) * BUCKETS + 1, k)), lexicon, np.zeros((len(lexicon) + 1, k)), np.zeros((k, k)))
@@ -194,60 +193,81 @@ def lower_slices(texts: pa.Array):
         yield data, offsets, *tx.runs(LETTER[data], offsets)
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def sample_segments(texts: pa.Array) -> pa.Array:
-    """Up to `SEGMENTS` stretches of `SEGMENT_WORDS` words, spread evenly over each text."""
-    rows = []
-    for data, offsets, starts, ends, owner in lower_slices(texts):
-        bounds = np.searchsorted(owner, np.arange(len(offsets)))
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            whole = (b - a) // SEGMENT_WORDS
-            chosen = np.unique(np.linspace(0, whole - 1, min(whole, SEGMENTS)).astype(int)) if whole else []
-            cut = [range(a + c * SEGMENT_WORDS, a + (c + 1) * SEGMENT_WORDS) for c in chosen]
-            rows.append([" ".join(data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in c) for c in cut])
-    return pa.array(rows, pa.list_(pa.string()))
+def sample_stretches(most: int):
+    """Up to `most` stretches of `STRETCH_WORDS` words, spread evenly over each text. A text of fewer
+    words is one shorter stretch."""
+
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def sample(texts: pa.Array) -> pa.Array:
+        rows = []
+        for data, offsets, starts, ends, owner in lower_slices(texts):
+            bounds = np.searchsorted(owner, np.arange(len(offsets)))
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                whole = (b - a) // STRETCH_WORDS
+                chosen = np.unique(np.linspace(0, whole - 1, min(whole, most)).astype(int)) if whole else []
+                cut = [range(a + c * STRETCH_WORDS, a + (c + 1) * STRETCH_WORDS) for c in chosen] or [range(a, b)]
+                rows.append([[data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in c] for c in cut if len(c)])
+        return pa.array(rows, pa.list_(pa.list_(pa.string())))
+
+    return sample
 
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 400, seed: int = 7) -> Crf:
-    """Train on at most `rows_per_language` texts of each language, none of them held out.
-
-    The sample is drawn by a hash of the text, at a rate that the counts of languages fix. Half the
-    training sequences join stretches of two texts, so switches of language are seen.
+def fit(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    rows_per_language: int = 400,
+    stretches_per_text: int = 4,
+    most_languages: int = 256,
+    seed: int = 7,
+) -> Crf:
+    """Train on at most `rows_per_language` different texts of each language, none of them held out,
+    and on `stretches_per_text` stretches of 16 words of each; a shorter text is learnt whole.
+
+    Copies count once: texts are drawn by a hash of the text, at a rate that the number of different
+    texts of a language fixes, with room so that few texts are all drawn; what is drawn is reduced to
+    one row per text before it is collected. With more than `most_languages` languages those of the
+    most texts are learnt. Half the training sequences join stretches of two texts, so switches of
+    language are seen.
     """
     usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang_col).count().collect()}
+    hashed = usable.select(F.col(lang_col).alias("language"), F.col(text_col).alias("text"), F.xxhash64(text_col, F.lit(seed)).alias("h"))
+    sizes = hashed.groupBy("language").agg(F.approx_count_distinct("h", 0.02).alias("n"))
+    counts = {r[0]: r[1] for r in sizes.orderBy(F.desc("n"), "language").limit(most_languages).collect()}
     if not counts:
         return Crf([], np.zeros((1, 0)), np.zeros(0, np.uint64), np.zeros((1, 0)), np.zeros((0, 0)))
-    rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows_per_language / n))])
-    drawn = F.pmod(F.xxhash64(F.col(text_col), F.lit(seed)), F.lit(1 << 40)) < rates[F.col(lang_col)] * F.lit(float(1 << 40))
-    rows = usable.where(drawn).select(lang_col, F.xxhash64(text_col).alias("h"), sample_segments(text_col).alias("s")).collect()
+    rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * rows_per_language / max(n, 1)))])
+    drawn = hashed.where(F.pmod("h", F.lit(1 << 40)) < rates[F.col("language")] * F.lit(float(1 << 40)))
+    single = drawn.groupBy("language", "h").agg(F.first("text").alias("text"))
+    rows = single.select("language", "h", sample_stretches(stretches_per_text)("text").alias("s")).collect()
     names = sorted(counts)
     rng = np.random.default_rng(seed)
-    segments = []
+    stretches = []
     for label, name in enumerate(names):
-        own = sorted(((r["h"], r["s"]) for r in rows if r[lang_col] == name))[:rows_per_language]
-        segments += [(label, s) for _, parts in own for s in parts]
-    if not segments:
+        own = sorted((r["h"] % (1 << 40), r["h"], r["s"]) for r in rows if r["language"] == name and r["s"])[:rows_per_language]
+        stretches += [(label, s) for _, _, parts in own for s in parts]
+    if not stretches:
         return Crf(names, np.zeros((len(ORDERS) * BUCKETS + 1, len(names))), np.zeros(0, np.uint64), np.zeros((1, len(names))), np.zeros((len(names), len(names))))
-    partner = rng.integers(len(segments), size=len(segments))
-    same = rng.random(len(segments)) < 0.5
+    partner = rng.integers(len(stretches), size=len(stretches))
+    same = rng.random(len(stretches)) < 0.5
     texts, labels = [], []
-    for i, (label, s) in enumerate(segments):
-        other = (label, s) if same[i] else segments[partner[i]]
-        texts.append(f"{s} {other[1]}")
-        labels.append(np.repeat([label, other[0]], SEGMENT_WORDS))
+    for i, (label, s) in enumerate(stretches):
+        other = (label, s) if same[i] else stretches[partner[i]]
+        texts.append(" ".join(s + other[1]))
+        labels.append(np.repeat([label, other[0]], [len(s), len(other[1])]))
     return train(texts, labels, names)
 
 
 def predictor(model: Broadcast):
-    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    @F.arrow_udf("lang_pred string, score double, certainty double")
     def predict(texts: pa.Array) -> pa.Array:
         crf = model.value
-        langs, scores, k = [], [], len(crf.labels)
+        langs, scores, sure, k = [], [], [], len(crf.labels)
         for data, offsets, starts, ends, owner in lower_slices(texts):
             n = len(offsets) - 1
             bounds = np.searchsorted(owner, np.arange(n + 1))
@@ -255,12 +275,15 @@ def predictor(model: Broadcast):
             sums = np.stack([np.bincount(owner, marginals[:, c], n) for c in range(k)], axis=1) if k else np.zeros((n, 0))
             best = sums.argmax(axis=1) if k else np.zeros(n, int)
             share = (sums.max(axis=1) if k else np.zeros(n)) / np.maximum(np.diff(bounds), 1)
+            clear = np.bincount(owner, marginals.max(axis=1), n) / np.maximum(np.diff(bounds), 1) if k else np.zeros(n)
             plain = np.diff(np.concatenate([[0], np.cumsum(ASCII_LETTER[data])])[offsets]) > 0
             for i in range(n):
                 lettered = plain[i] or has_letter(data[offsets[i] : offsets[i + 1]])
                 langs.append(crf.labels[best[i]] if lettered and k else UNKNOWN)
                 scores.append(float(min(share[i], 1.0)) if lettered and k else 0.0)
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+                sure.append(float(min(clear[i], 1.0)) if lettered and k else 0.0)
+        columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.float64())]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "certainty"])
 
     return predict
 
@@ -270,12 +293,14 @@ def has_letter(data: np.ndarray) -> bool:
 
 
 def classify(docs: DataFrame, crf: Crf, text_col: str = "text") -> Column:
-    """The struct (`lang_pred`, `score`) of each text; null, empty and letterless texts are `und`."""
+    """The struct (`lang_pred`, `score`, `certainty`) of each text; null, empty and letterless texts are
+    `und`. `score` is the mean share of the one language, `certainty` the mean over words of the
+    largest share: high as well for a text of several languages whose words are clear."""
     return predictor(docs.sparkSession.sparkContext.broadcast(crf))(F.col(text_col))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: `doc_id`, `held_out`, `lang_pred`, `score`.
+    """One row per input row: `doc_id`, `held_out`, `lang_pred`, `score`, `certainty`.
 
     Learns from rows that are not held out and have id, text and language; labels that are too noisy
     to learn from need no care here. Null and empty texts, and texts without a letter, are `und` with

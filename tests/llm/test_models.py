@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -74,6 +75,48 @@ def test_labels_and_ids_are_no_inputs(spark, documents):
     assert sorted(plain) == sorted(again)
 
 
+def sentences(rng, spark, documents, lang, sizes):
+    """Texts of the given numbers of words, in the words of one language."""
+    pool = [w for r in documents.where(F.col("lang") == lang).select("text").limit(40).collect() for w in r.text.split() if w.isalpha()]
+    return [" ".join(rng.choice(pool) for _ in range(n)) for n in sizes]
+
+
+@pytest.mark.parametrize("sizes", [((6, 9), (6, 9)), ((200, 400), (6, 9)), ((1, 4), (1, 4))])
+def test_short_texts_are_learnt(spark, documents, sizes):
+    rng = random.Random(3)
+    known = [r[0] for r in documents.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(2).collect()]
+    rows = []
+    for lang, (low, high) in zip(known, sizes):
+        rows += [(t, lang) for t in sentences(rng, spark, documents, lang, [rng.randrange(low, high) for _ in range(200)])]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    got = langid.identify(table).join(table.drop("text"), "doc_id").collect()
+    for lang in known:
+        right = [r.lang_pred == lang for r in got if r.lang == lang]
+        assert sum(right) > (0.95 if sizes[0][0] > 1 else 0.8) * len(right)
+
+
+def test_copies_do_not_crowd_out_a_language(spark, documents):
+    rng = random.Random(4)
+    known = [r[0] for r in documents.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(2).collect()]
+    own = {lang: sentences(rng, spark, documents, lang, [30] * 30) for lang in known}
+    rows = [(t, known[0]) for t in own[known[0]]] + [(own[known[1]][0], known[1])] * 5000 + [(t, known[1]) for t in own[known[1]]]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    crf = langid.fit(table, rows_per_language=20)
+    fresh = [(t, lang) for lang in known for t in sentences(rng, spark, documents, lang, [12] * 30)]
+    probe = spark.createDataFrame(fresh, "text string, lang string")
+    got = probe.select("lang", langid.classify(probe, crf).alias("g")).collect()
+    assert sum(r.lang == r.g.lang_pred for r in got) > 0.9 * len(got)
+
+
+def test_switching_between_languages_is_no_doubt(spark, documents):
+    rng = random.Random(5)
+    known = sorted(r[0] for r in documents.where("lang is not null").select("lang").distinct().collect())[:3]
+    mixed = " ".join(part for _ in range(10) for lang in known for part in sentences(rng, spark, documents, lang, [8]))
+    probe = spark.createDataFrame([(mixed,)], "text string")
+    got = probe.select(langid.classify(probe, langid.fit(documents)).alias("g")).first().g
+    assert got.score < 0.6 and got.certainty > 0.8
+
+
 def test_language_of_odd_rows(odd, nothing, spark):
     rows = langid.identify(odd).collect()
     assert len(rows) == odd.count()
