@@ -17,7 +17,8 @@ from statloom.llm.neardup import near_duplicates
 from statloom.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.45
+# Mean over words of the largest language share; a text that switches between languages has a high one.
+LEAST_CERTAINTY = 0.45
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -30,10 +31,10 @@ def same_row(other: DataFrame) -> Column:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no letter, or words of no language in particular."""
+    """Drop documents without a language: no letter, or words that are in doubt one by one."""
     guess = langid.classify(docs, langid.fit(docs), "text")
     named = docs.select(*COLUMNS, guess.alias("guess"))
-    return named.where((F.col("guess.lang_pred") != langid.UNKNOWN) & (F.col("guess.score") >= LEAST_SCORE)).select(*COLUMNS)
+    return named.where((F.col("guess.lang_pred") != langid.UNKNOWN) & (F.col("guess.certainty") >= LEAST_CERTAINTY)).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
