@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.scalar import day_first_date
 from statloom.operators import clean, edit
-from statloom.plans.profiling import MEASURES, rounded, with_gaps
+from statloom.plans.profiling import MEASURES, rounded, with_gaps, with_nan
 from statloom.plans.registry import query
 from statloom.sources.tables import read_csv, table, write_csv
 from statloom.session import scratch_path
@@ -32,6 +32,35 @@ def iqr_cap(spark, root):
     return rounded(clean.cap_outliers(events, ["value", "user_id"]), "value", "user_id")
 
 
+@query(
+    "cap_nan",
+    "C10 U2",
+    f"""
+    WITH g AS (SELECT {LINE_KEY}, {GAP_COLS} FROM lineitem),
+    b AS (SELECT quantile_cont(l_discount, 0.25) AS q1, quantile_cont(l_discount, 0.75) AS q3 FROM g)
+    SELECT {LINE_KEY}, CASE WHEN l_discount IS NOT NULL
+           THEN round(least(greatest(l_discount, q1 - 0.2 * (q3 - q1)), q3 + 0.2 * (q3 - q1)), 4) END AS l_discount FROM g, b
+    """,
+)
+def cap_nan(spark, root):
+    lines = with_nan(spark, root).selectExpr(*LINE_KEY.split(", "), "l_discount")
+    return rounded(clean.cap_outliers(lines, ["l_discount"], width=0.2), "l_discount")
+
+
+@query(
+    "mode_nan",
+    "C5 G8 U3",
+    f"""
+    WITH g AS (SELECT {LINE_KEY}, {GAP_COLS} FROM lineitem)
+    SELECT {LINE_KEY}, coalesce(l_discount, (SELECT l_discount FROM g WHERE l_discount IS NOT NULL
+                                             GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS l_discount FROM g
+    """,
+)
+def mode_nan(spark, root):
+    lines = with_nan(spark, root).selectExpr(*LINE_KEY.split(", "), "l_discount")
+    return clean.fill_mode(lines, ["l_discount"])
+
+
 @query(
     "impute_mean",
     "C1 C3 J3",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statloom.operators import infer
-from statloom.plans.profiling import MEASURES, rounded
+from statloom.plans.profiling import GAPS, MEASURES, rounded, with_nan
 from statloom.plans.registry import query
 from statloom.sources.tables import table
 
@@ -74,6 +74,25 @@ def z_test(spark, root):
     return rounded(tested, "mean", "z").withColumn("p_value", F.round("p_value", 3))
 
 
+@query(
+    "ztest_nan",
+    "H1 H2 H3",
+    f"""
+    WITH s AS (SELECT l_returnflag, count(l_tax) AS n, avg(l_tax) AS mean, stddev_samp(l_tax) / sqrt(count(l_tax)) AS se FROM {GAPS} GROUP BY 1)
+    SELECT l_returnflag, n, round(mean, 4) AS mean, round((mean - 0.04) / (0.02 / sqrt(n)), 3) AS z,
+           CASE WHEN (mean - 0.04) / (0.02 / sqrt(n)) >= {Z_95} THEN 'reject' ELSE 'fail to reject' END AS decision,
+           round(mean - {Z_995} * 0.02 / sqrt(n), 4) AS lower, round(se, 5) AS std_error FROM s
+    """,
+)
+def ztest_nan(spark, root):
+    lines = with_nan(spark, root)
+    tested = infer.z_test(lines, "l_tax", 0.04, 0.02, ["l_returnflag"]).select("l_returnflag", "n", "mean", "z", "decision")
+    bounds = infer.z_interval(lines, "l_tax", 0.02, ["l_returnflag"], level=0.99).select("l_returnflag", "lower")
+    spread = infer.t_interval(lines, "l_tax", ["l_returnflag"]).select("l_returnflag", "std_error")
+    joined = tested.join(bounds, "l_returnflag").join(spread, "l_returnflag")
+    return joined.withColumns({"mean": F.round("mean", 4), "z": F.round("z", 3), "lower": F.round("lower", 4), "std_error": F.round("std_error", 5)})
+
+
 def anova_sql(source: str, label: str, cols, p: str) -> str:
     parts = [
         f"""SELECT '{c}' AS "column", count(*) - 1 AS df_between, sum(n)::bigint - count(*) AS df_within,

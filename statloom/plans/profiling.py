@@ -396,6 +396,54 @@ def outlier_counts(spark, root):
     return profile.outlier_counts(table(spark, root, "events"), ["value", "user_id"])
 
 
+@query(
+    "outliers_nan",
+    "I9",
+    each(
+        f"""
+        SELECT '$c' AS "column", count(*) AS outliers FROM {GAPS},
+          (SELECT quantile_cont($c, 0.25) AS q1, quantile_cont($c, 0.75) AS q3 FROM {GAPS})
+        WHERE $c < q1 - 0.2 * (q3 - q1) OR $c > q3 + 0.2 * (q3 - q1)
+        """,
+        ["l_discount", "l_tax"],
+    ),
+)
+def outliers_nan(spark, root):
+    return profile.outlier_counts(with_nan(spark, root), ["l_discount", "l_tax"], width=0.2)
+
+
+@query(
+    "subset_share_nan",
+    "F2 G15",
+    f"""
+    WITH g AS (SELECT * FROM {GAPS}),
+    m AS (SELECT quantile_cont(l_discount, 0.5) AS d, quantile_cont(l_tax, 0.5) AS t FROM g),
+    s AS (SELECT CASE WHEN l_discount > d AND l_tax > t THEN 'high' WHEN l_discount <= d AND l_tax <= t THEN 'low' END AS subset,
+                 (l_returnflag = 'A')::int AS hit FROM g, m)
+    SELECT subset, count(*) AS n, round(avg(hit), 4) AS share FROM s WHERE subset IS NOT NULL GROUP BY 1
+    """,
+)
+def subset_share_nan(spark, root):
+    found = profile.subset_class_share(with_nan(spark, root), "l_discount", "l_tax", F.col("l_returnflag") == "A")
+    return rounded(found, "share")
+
+
+@query(
+    "offset_quantiles",
+    "G11 G7",
+    """
+    WITH v AS (SELECT event_type, 1e6::double + value / 1e3 AS x FROM events)
+    SELECT event_type, round(quantile_cont(x, 0.01), 6) AS p1, round(quantile_cont(x, 0.5), 6) AS median,
+           round(quantile_cont(x, 0.99), 6) AS p99 FROM v GROUP BY 1
+    """,
+)
+def offset_quantiles(spark, root):
+    """Values that differ in their last digits only."""
+    shifted = table(spark, root, "events").select("event_type", (F.lit(1e6) + F.col("value") / 1e3).alias("x"))
+    found = ranks.quantiles(shifted, ["x"], {"p1": 0.01, "median": 0.5, "p99": 0.99}, ["event_type"])
+    return rounded(found.drop("column"), "p1", "median", "p99", places=6)
+
+
 @query(
     "verify_derived",
     "I14 P6",
