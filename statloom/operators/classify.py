@@ -1,38 +1,26 @@
 """Logistic regression and support vector machines with C-style penalties.
 
 A penalty C against the summed loss equals `regParam = 1 / (C n)` against the mean loss that Spark
-ML minimises. The kernel machines map the features so that a linear machine suffices: by random
-Fourier features for the Gaussian kernel; for the cubic one exactly on few columns and by tensor
-sketches, whose error falls with the root of their size, on many.
+ML minimises. Machines with a Gaussian or cubic kernel are those of `kernels`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-from itertools import combinations_with_replacement
-from math import factorial, sqrt
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
-from statloom.operators import linear, ranks
+from statloom.operators import kernels, linear, ranks
 from statloom.operators.features import key_hash
+from statloom.operators.kernels import Machine
 from statloom.operators.ranks import col
 
-# Up to this many columns the cubic kernel has its exact map, which grows with their third power.
-EXACT_CUBIC_COLUMNS = 12
-
 
 def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select(
@@ -85,106 +73,24 @@ def gamma_scale(moments: linear.Moments) -> float:
     return 1.0 / (len(moments.mean) * spread) if spread > 0 else 1.0
 
 
-@dataclass(frozen=True)
-class FourierMap:
-    """z(x) = sqrt(2/D) cos(Wx + b) with W drawn from the kernel's spectral density, so that
-    z(x).z(y) approximates exp(-gamma |x - y|^2) with an error of order D^-0.5."""
-
-    gamma: float
-    size: int = 256
-    seed: int = 42
-
-    def apply(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-        """Adds `features`. The product with W runs on whole Arrow batches."""
-        rng = np.random.default_rng(self.seed)
-        w = rng.normal(0.0, sqrt(2.0 * self.gamma), (len(cols), self.size))
-        b = rng.uniform(0.0, 2.0 * np.pi, self.size)
-        scale = sqrt(2.0 / self.size)
-
-        @F.pandas_udf(ArrayType(DoubleType()))
-        def project(x: pd.Series) -> pd.Series:
-            rows = np.array(x.tolist(), dtype=float).reshape(-1, w.shape[0])
-            return pd.Series(list(scale * np.cos(rows @ w + b)))
-
-        x = F.array(*[col(c).cast("double") for c in cols])
-        return df.withColumn("features", array_to_vector(project(x)))
-
-
-@dataclass(frozen=True)
-class CubicSketch:
-    """z(x) with z(x).z(y) = (gamma x.y)^3 up to an error of order size^-0.5: the circular convolution
-    of three count sketches of x, by fast Fourier transforms."""
-
-    gamma: float
-    size: int = 1024
-    seed: int = 42
-
-    def matrices(self, width: int) -> list[np.ndarray]:
-        rng = np.random.default_rng(self.seed)
-        out = []
-        for _ in range(3):
-            sketch = np.zeros((width, self.size))
-            sketch[np.arange(width), rng.integers(self.size, size=width)] = rng.choice([-1.0, 1.0], width)
-            out.append(sketch)
-        return out
-
-    def apply(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-        """Adds `features`, computed on whole Arrow batches."""
-        sketches, scale, size = self.matrices(len(cols)), self.gamma**1.5, self.size
-
-        @F.pandas_udf(ArrayType(DoubleType()))
-        def project(x: pd.Series) -> pd.Series:
-            rows = np.array(x.tolist(), dtype=float).reshape(-1, sketches[0].shape[0])
-            product = reduce(lambda a, b: a * b, [np.fft.rfft(rows @ s) for s in sketches])
-            return pd.Series(list(scale * np.fft.irfft(product, size)))
-
-        x = F.array(*[col(c).cast("double") for c in cols])
-        return df.withColumn("features", array_to_vector(project(x)))
-
-
-def mapped_width(cols: Sequence[str], kernel: str, size: int) -> int:
-    """Number of features after the map of a kernel."""
-    d = len(cols)
-    if kernel == "poly":
-        return d * (d + 1) * (d + 2) // 6 if d <= EXACT_CUBIC_COLUMNS else CubicSketch.size
-    return d if kernel == "linear" else size
-
-
-def cubic_columns(cols: Sequence[str], gamma: float) -> list[Column]:
-    """Monomials of degree three whose inner product is (gamma x.y)^3."""
-    out = []
-    for picked in combinations_with_replacement(range(len(cols)), 3):
-        repeats = [picked.count(i) for i in set(picked)]
-        orderings = factorial(3)
-        for r in repeats:
-            orderings //= factorial(r)
-        weight = sqrt(orderings) * gamma**1.5
-        a, b, c = (col(cols[i]).cast("double") for i in picked)
-        out.append(a * b * c * F.lit(weight))
-    return out
-
-
-def cubic_features(df: DataFrame, cols: Sequence[str], gamma: float) -> DataFrame:
-    """Adds `features` for the cubic kernel: plain expressions for few columns, a sketch for many."""
-    if len(cols) > EXACT_CUBIC_COLUMNS:
-        return CubicSketch(gamma).apply(df, cols)
-    return df.withColumn("features", array_to_vector(F.array(*cubic_columns(cols, gamma))))
+def converged_svm(train: DataFrame, n: int, c: float, max_iter: int = 100, most: int = 6400):
+    """A linear machine whose optimizer has stopped by itself: with more steps as long as it used all."""
+    while True:
+        model = linear_svm(n, c, max_iter=max_iter).fit(train)
+        if model.summary().totalIterations < max_iter:
+            return model
+        if max_iter >= most:
+            raise RuntimeError(f"no convergence in {max_iter} steps")
+        max_iter *= 4
 
 
-def linear_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumn("features", array_to_vector(F.array(*[col(c).cast("double") for c in cols])))
+def gamma_of(moments: linear.Moments, gamma: float | str | None) -> float:
+    return gamma_scale(moments) if gamma in (None, "scale") else float(gamma)
 
 
-def kernel_features(
-    df: DataFrame, cols: Sequence[str], kernel: str, gamma: float, size: int = 256
-) -> DataFrame:
-    if kernel == "linear":
-        return linear_features(df, cols)
-    if kernel == "poly":
-        return cubic_features(df, cols, gamma)
-    if kernel == "rbf":
-        return FourierMap(gamma, size).apply(df, cols)
-    raise ValueError(f"unknown kernel: {kernel}")
+def predicted(fits: kernels.Fits, df: DataFrame, which: int = 0) -> DataFrame:
+    """`df` with the class that a machine calls as `prediction`: 1 where its decision value is above 0."""
+    return fits.decide(df, which, "__decision").withColumn("prediction", F.when(F.col("__decision") > 0, 1.0).otherwise(0.0)).drop("__decision")
 
 
 def fit_kernel_svm(
@@ -192,29 +98,30 @@ def fit_kernel_svm(
     test: DataFrame,
     cols: Sequence[str],
     label: str,
+    key: str,
     kernel: str,
     c: float = 1.0,
     gamma: float | None = None,
-    size: int = 256,
-    max_iter: int = 100,
 ) -> DataFrame:
-    """Train on one table and predict another: `test` with a `prediction` column. The mapped
-    training rows are kept on executor disks for the passes of the optimizer."""
-    if kernel == "linear" and gamma is not None:
-        raise ValueError("the linear kernel has no gamma")
-    moments = linear.fit_moments(train, cols)[()]
-    g = gamma if gamma is not None else gamma_scale(moments)
-    mapped = kernel_features(train, cols, kernel, g, size).select(
-        col(label).cast("double").alias("label"), "features"
-    )
-    mapped = compact(mapped, moments.n, mapped_width(cols, kernel, size))
-    mapped.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = linear_svm(moments.n, c, max_iter=max_iter).fit(mapped)
-    finally:
-        mapped.unpersist()
-    scored = model.transform(kernel_features(test, cols, kernel, g, size))
-    return scored.drop("features", "rawPrediction")
+    """Train on one table and predict another: `test` with a `prediction` column. The linear kernel is
+    solved in the primal, by Spark's optimizer, the others in the dual on true kernel values."""
+    if kernel == "linear":
+        if gamma is not None:
+            raise ValueError("the linear kernel has no gamma")
+        mapped = linear_features(train, cols).select(col(label).cast("double").alias("label"), "features")
+        n = train.count()
+        mapped = compact(mapped, n, len(cols)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = converged_svm(mapped, n, c)
+        finally:
+            mapped.unpersist()
+        return model.transform(linear_features(test, cols)).drop("features", "rawPrediction")
+    value = gamma_of(linear.fit_moments(train, cols)[()], gamma)
+    return predicted(kernels.fit(train, cols, label, key, [Machine(kernel, c, value)]), test)
+
+
+def linear_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.withColumn("features", array_to_vector(F.array(*[col(c).cast("double") for c in cols])))
 
 
 def accuracy(scored: DataFrame, label: str) -> float:
@@ -222,15 +129,16 @@ def accuracy(scored: DataFrame, label: str) -> float:
 
 
 def compare_kernels(
-    train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, kernels: Sequence[str]
+    train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, key: str, names: Sequence[str]
 ) -> DataFrame:
-    """(kernel, accuracy), best first."""
-    rows = [
-        (k, float(accuracy(fit_kernel_svm(train, test, cols, label, k), label))) for k in kernels
-    ]
-    return train.sparkSession.createDataFrame(rows, "kernel string, accuracy double").orderBy(
-        F.desc("accuracy"), "kernel"
-    )
+    """(kernel, accuracy), best first. The kernels that are solved in the dual are fitted together."""
+    curved = [k for k in names if k != "linear"]
+    value = gamma_of(linear.fit_moments(train, cols)[()], None)
+    rows = [(k, float(accuracy(fit_kernel_svm(train, test, cols, label, key, k), label))) for k in names if k == "linear"]
+    if curved:
+        fits = kernels.fit(train, cols, label, key, [Machine(k, 1.0, value) for k in curved])
+        rows += [(k, float(accuracy(predicted(fits, test, i), label))) for i, k in enumerate(curved)]
+    return train.sparkSession.createDataFrame(rows, "kernel string, accuracy double").orderBy(F.desc("accuracy"), "kernel")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5) -> DataFrame:
@@ -241,7 +149,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5) -> Dat
     return placed.withColumn("fold", (F.col("__place") % folds).cast("int")).drop("__hash", "__place")
 
 
-def grid_search(
+def fit_grid(
     train: DataFrame,
     cols: Sequence[str],
     label: str,
@@ -249,50 +157,32 @@ def grid_search(
     cs: Sequence[float] = (0.1, 1.0, 10.0),
     gammas: Sequence[float | str] = ("scale", 0.1, 0.01),
     folds: int = 5,
-    size: int = 256,
-    parallelism: int = 4,
-    max_iter: int = 100,
-) -> DataFrame:
-    """(c, gamma, accuracy, rank): mean cross-validated accuracy of Gaussian-kernel machines, best
-    first. Rows are mapped once per gamma and reused by every penalty and fold."""
+) -> tuple[kernels.Fits, DataFrame]:
+    """The Gaussian machines of all settings, one on all rows and one without each fold, and the table
+    (c, gamma, accuracy, rank) of their mean accuracies on the folds left out, best first. All are
+    fitted at once: rows are read once per round, and kernel values serve all penalties and folds."""
     moments = linear.fit_moments(train, cols)[()]
-    in_fold = moments.n * (folds - 1) / folds
-    folded = stratified_folds(train, label, key, folds)
-    rows = []
-    for gamma in gammas:
-        value = gamma_scale(moments) if gamma == "scale" else float(gamma)
-        mapped = (
-            FourierMap(value, size)
-            .apply(folded, cols)
-            .select(col(label).cast("double").alias("label"), "fold", "features")
-        )
-        mapped = compact(mapped, moments.n, size)
-        mapped.persist(StorageLevel.MEMORY_AND_DISK)
-        machine = linear_svm(moments.n, max_iter=max_iter)
-        grid = ParamGridBuilder().addGrid(machine.regParam, [1.0 / (c * in_fold) for c in cs]).build()
-        search = CrossValidator(
-            estimator=machine,
-            estimatorParamMaps=grid,
-            evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        try:
-            found = search.fit(mapped)
-        finally:
-            mapped.unpersist()
-        rows += [(float(c), str(gamma), float(a)) for c, a in zip(cs, found.avgMetrics)]
+    settings = [(float(c), str(g), gamma_of(moments, g)) for g in gammas for c in cs]
+    machines = [Machine("rbf", c, value, held) for c, _, value in settings for held in range(-1, folds)]
+    fits = kernels.fit(stratified_folds(train, label, key, folds), cols, label, key, machines, "fold")
+    scores = fits.held_out_accuracy().reshape(len(settings), folds + 1)[:, 1:].mean(axis=1)
+    rows = [(c, g, float(a)) for (c, g, _), a in zip(settings, scores)]
     table = train.sparkSession.createDataFrame(rows, "c double, gamma string, accuracy double")
     best = Window.orderBy(F.desc("accuracy"), "c", "gamma")
-    return table.withColumn("rank", F.row_number().over(best))
+    return fits, table.withColumn("rank", F.row_number().over(best))
+
+
+def grid_search(train: DataFrame, cols: Sequence[str], label: str, key: str, **options) -> DataFrame:
+    """(c, gamma, accuracy, rank), see `fit_grid`."""
+    return fit_grid(train, cols, label, key, **options)[1]
 
 
 def best_of_grid(
     train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, key: str, **options
 ) -> DataFrame:
-    """Search the grid on `train`, fit its best setting again on all of it and predict `test`."""
-    best = grid_search(train, cols, label, key, **options).where("rank = 1").first()
-    gamma = None if best["gamma"] == "scale" else float(best["gamma"])
-    scored = fit_kernel_svm(train, test, cols, label, "rbf", c=best["c"], gamma=gamma)
+    """Search the grid on `train` and predict `test` by its best setting on all training rows."""
+    fits, found = fit_grid(train, cols, label, key, **options)
+    best = found.where("rank = 1").first()
+    value = gamma_of(linear.fit_moments(train, cols)[()], best["gamma"])
+    scored = predicted(fits, test, fits.machines.index(Machine("rbf", best["c"], value)))
     return scored.withColumns({"c": F.lit(best["c"]), "gamma": F.lit(best["gamma"])})

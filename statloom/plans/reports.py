@@ -258,8 +258,8 @@ def preparation_report(spark, root):
 def svm_report(spark, root):
     """Describe the training rows, compare kernels, and report on a Gaussian-kernel machine."""
     train, test, cols = models.embedded(spark, root)
-    kernels = classify.compare_kernels(train, test, cols, "label", ["linear", "poly", "rbf"])
-    scored = classify.fit_kernel_svm(train, test, cols, "label", "rbf", c=1.0, gamma=0.1)
+    kernels = classify.compare_kernels(train, test, cols, "label", "vec_id", ["linear", "poly", "rbf"])
+    scored = classify.fit_kernel_svm(train, test, cols, "label", "vec_id", "rbf", c=1.0, gamma=0.1)
     scored = materialise(scored.select("vec_id", "label", "prediction"), "predictions")
     per_class = evaluate.classification_report(scored, "label", "prediction")
     pairs = evaluate.confusion(scored, "label", "prediction").withColumn(
