@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from statloom.operators import profile, ranks
 from statloom.operators.ranks import col
+from statloom.session import materialise
 
 ROOT_TWO_PI = 2.5066282746310002
+FEW_GROUPS = 10_000
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -91,7 +93,8 @@ def density(
     bandwidth h = s * n^(-1/5): (by..., point, x, density).
 
     Every row adds to `points` running sums inside the partial aggregate; nothing is paired with
-    the grid, and one row per group leaves each task.
+    the grid, and one row per group leaves each task. Up to FEW_GROUPS groups, which are counted first,
+    their bandwidths are sent to the rows, so that no row is shuffled.
     """
     numbers = df.select(*[col(b) for b in by], col(value).cast("double").alias("__v")).where(
         "__v IS NOT NULL AND NOT isnan(__v)"
@@ -105,7 +108,8 @@ def density(
         (F.stddev_samp("__v") * F.pow(F.count("__v"), F.lit(-0.2))).alias("__h"),
     ).where("__h > 0")
     if by:
-        joined = numbers.join(stats, list(by))
+        stats = materialise(stats, "bandwidths")
+        joined = numbers.join(F.broadcast(stats) if stats.count() <= FEW_GROUPS else stats, list(by))
     else:
         joined = ranks.attach(numbers, stats).select("__v", "__stats.*").where("__h > 0")
     low = F.col("__lo") - cut * F.col("__h")

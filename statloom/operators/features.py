@@ -20,6 +20,8 @@ from statloom.operators.ranks import attach, col
 # Up to this many categories a label encoder is an expression, beyond it a join.
 MAX_CATEGORIES = 256
 MAX_LABELS = 256
+# Up to this many categories a one-hot encoding may be a column each.
+MAX_FLAGS = 4096
 
 
 def key_hash(key: Column, seed: str = "", digits: int = 8) -> Column:
@@ -116,17 +118,12 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     )
 
 
-def fit_categories(
-    df: DataFrame, cols: Sequence[str], limit: int | None = MAX_CATEGORIES
-) -> dict[str, list[str] | None]:
+def fit_categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str] | None]:
     """Categories of each column as text, in the order of the values themselves, or None where there
     are more than `limit`. The number of categories is estimated first with fixed-size sketches, so
-    only small sets are ever built; without a limit all are."""
+    only small sets are ever built."""
     if not cols:
         return {}
-    if limit is None:
-        row = df.agg(*[_sorted_texts(c).alias(c) for c in cols]).first()
-        return {c: list(row[c]) for c in cols}
     estimates = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in cols]).first()
     small = [c for c in cols if estimates[c] <= limit * 1.2]
     found: dict[str, list[str] | None] = dict.fromkeys(cols)
@@ -147,8 +144,12 @@ def one_hot(
     categories: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Replace each column by 0/1 columns `<column>_<category>`, categories in sorted order, the
-    first one dropped. Null has zeros everywhere. There are as many new columns as categories."""
-    known = categories if categories is not None else fit_categories(df, cols, None)
+    first one dropped. Null has zeros everywhere. There are as many new columns as categories; more than
+    MAX_FLAGS are refused, `one_hot_slots` has no bound."""
+    known = categories if categories is not None else fit_categories(df, cols, MAX_FLAGS)
+    wide = [c for c in cols if known[c] is None]
+    if wide:
+        raise ValueError(f"more than {MAX_FLAGS} categories, use one_hot_slots: {wide}")
     flags = {
         f"{c}_{v}": F.when(col(c).cast("string") == v, F.lit(1)).otherwise(F.lit(0))
         for c in cols
@@ -157,6 +158,40 @@ def one_hot(
     return df.withColumns(flags).drop(*cols) if flags else df.drop(*cols)
 
 
+def category_index(df: DataFrame, name: str) -> DataFrame:
+    """(name, code): the distinct values numbered from 0 in their own order, by a distributed sort."""
+    values = df.select(col(name)).where(col(name).isNotNull()).distinct()
+    return ranks.positional_index(values, [name], "code")
+
+
+def one_hot_slots(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """One-hot encoding of any number of categories: each column is replaced by `<column>_size`, the
+    length of its vector, and `<column>_slot`, the place of its one. The first category, null and
+    categories that `fit_on` lacks have no slot: their vector is zero. The categories stay a table,
+    which is joined; `one_hot_vectors` makes sparse vectors of the slots."""
+    out = df
+    for c in cols:
+        index = category_index(df if fit_on is None else fit_on, c)
+        size = index.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0))).scalar()
+        slots = index.select(col(c), F.nullif(F.col("code") - 1, F.lit(-1)).alias("__slot"))
+        out = out.join(slots, c, "left").withColumns({f"{c}_size": size, f"{c}_slot": F.col("__slot")}).drop("__slot")
+    kept = [n for c in df.columns for n in ([f"{c}_size", f"{c}_slot"] if c in cols else [c])]
+    return out.select(*[col(n) for n in kept])
+
+
+def one_hot_vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace the slots of `one_hot_slots` by sparse vectors `<column>_vector`."""
+    sizes = df.agg(*[F.max(col(f"{c}_size")).alias(c) for c in cols]).first()
+    for c in cols:
+        size = int(sizes[c] or 0)
+        # A place behind the last one is what the encoder drops.
+        place = F.coalesce(col(f"{c}_slot"), F.lit(size)).cast("double")
+        indexed = df.withColumn(f"{c}_slot", place.alias(f"{c}_slot", metadata={"ml_attr": {"type": "nominal", "num_vals": size + 1}}))
+        encoder = OneHotEncoder(inputCols=[f"{c}_slot"], outputCols=[f"{c}_vector"], dropLast=True)
+        df = encoder.fit(indexed).transform(indexed).drop(f"{c}_slot", f"{c}_size")
+    return df
+
+
 def label_encode(
     df: DataFrame, cols: Sequence[str], categories: Mapping[str, Sequence[str] | None] | None = None
 ) -> DataFrame:
@@ -170,8 +205,7 @@ def label_encode(
             place = F.array_position(F.array(*[F.lit(v) for v in known[c]]), col(c).cast("string"))
             out = out.withColumn(c, F.when(place > 0, place - 1).cast("bigint"))
         else:
-            values = df.select(col(c)).where(col(c).isNotNull()).distinct()
-            codes = ranks.positional_index(values, [c], "__code")
+            codes = category_index(df, c).withColumnRenamed("code", "__code")
             out = out.join(codes, c, "left").withColumn(c, F.col("__code")).drop("__code")
     return out.select(*[col(c) for c in df.columns])
 
@@ -196,7 +230,7 @@ def column_transform(
     zeros everywhere."""
     basis = df if fit_on is None else fit_on
     picked = df.select(*[col(c) for c in [*keep, *numeric, *categorical]])
-    return one_hot(standard_scale(picked, numeric, basis), categorical, True, fit_categories(basis, categorical, None))
+    return one_hot(standard_scale(picked, numeric, basis), categorical, True, fit_categories(basis, categorical, MAX_FLAGS))
 
 
 def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], output: str = "features") -> Pipeline:

@@ -37,18 +37,33 @@ def union_by_name(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
+MOST_NAMES = 1000
+
+
+def column_names(df: DataFrame, columns: str, most: int = MOST_NAMES) -> list[str]:
+    """The names that a pivot makes columns of, in the order of the values; more than `most` raise."""
+    found = df.select(col(columns)).where(col(columns).isNotNull()).distinct().orderBy(col(columns)).take(most + 1)
+    if len(found) > most:
+        raise ValueError(f"more than {most} values in {columns} to make columns of")
+    return [r[0] for r in found]
+
+
 def pivot(
-    df: DataFrame, index: str, columns: str, values: str, names: Sequence[str], fill=None
+    df: DataFrame, index: str, columns: str, values: str, names: Sequence | None = None, fill=None, most: int = MOST_NAMES
 ) -> DataFrame:
-    """Long to wide for the given column names. The explicit list spares Spark a job that would
-    first look for them."""
-    cells = [
-        F.max(F.when(col(columns) == n, col(values))).alias(str(n))
-        if fill is None
-        else F.coalesce(F.max(F.when(col(columns) == n, col(values))), F.lit(fill)).alias(str(n))
-        for n in names
-    ]
-    return df.groupBy(col(index)).agg(*cells)
+    """Long to wide. Without `names` the columns are the values that `columns` holds, found first and
+    `most` at most, so that no value gets lost. Given names spare that job and choose columns.
+
+    Cells meet in a map per index, in one aggregation whatever the number of columns; cells that
+    meet in one place give their largest value, and null names have no column."""
+    chosen = column_names(df, columns, most) if names is None else list(names)
+    cells = df.groupBy(col(index), col(columns).alias("__name")).agg(F.max(col(values)).alias("__value"))
+    if names is not None:
+        cells = cells.withColumn("__name", F.when(F.col("__name").isin(*chosen), F.col("__name")))
+    entry = F.when(F.col("__name").isNotNull(), F.struct("__name", "__value"))
+    wide = cells.groupBy(col(index)).agg(F.map_from_entries(F.collect_list(entry)).alias("__cells"))
+    cell = lambda n: F.element_at("__cells", F.lit(n))
+    return wide.select(col(index), *[(cell(n) if fill is None else F.coalesce(cell(n), F.lit(fill))).alias(str(n)) for n in chosen])
 
 
 def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from statloom.operators import features, linear, power, profile
+from statloom.operators import features, linear, power, profile, stages
 from statloom.plans.cleaning import LINE_KEY
 from statloom.plans.profiling import MEASURES, each, rounded, with_nan
 from statloom.plans.registry import query
-from statloom.sources.tables import table
+from statloom.session import scratch_path
+from statloom.sources.tables import load_model, save_model, table
 
 HASH = "('0x' || substr(md5({key}::varchar), 1, {digits}))::bigint"
 
@@ -201,6 +203,48 @@ def interaction(spark, root):
     return rounded(out, "l_quantity_l_discount_interaction")
 
 
+@query(
+    "one_hot_slots",
+    "M5 M7 M15",
+    """
+    SELECT l_orderkey AS key, l_linenumber, l_partkey, l_suppkey, nullif(dense_rank() OVER (ORDER BY l_orderkey) - 2, -1) AS l_orderkey_slot,
+           (SELECT count(DISTINCT l_orderkey) - 1 FROM lineitem) AS l_orderkey_size FROM lineitem
+    """,
+)
+def one_hot_slots(spark, root):
+    """A category per order: the encoding of as many columns as there are orders, as slots."""
+    lines = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey")
+    return features.one_hot_slots(lines, ["l_orderkey"])
+
+
+@query(
+    "saved_stages",
+    "U5 M8 L13 S8",
+    f"""
+    WITH t AS (SELECT *, l_quantity * l_discount AS mix, {HASH.format(key='l_orderkey', digits=8)} % 100 < 20 AS held FROM lineitem),
+    m AS (SELECT avg(mix) AS a, stddev_pop(mix) AS s, avg(l_quantity) AS qa, stddev_pop(l_quantity) AS qs FROM t
+          WHERE NOT held AND l_returnflag <> 'R')
+    SELECT stage, {LINE_KEY}, round((l_quantity - qa) / qs, 6) AS l_quantity, round((mix - a) / s, 6) AS mix, (l_returnflag = 'N')::int AS "l_returnflag_N"
+    FROM t, m, (VALUES ('fitted'), ('loaded')) k(stage) WHERE held
+    """,
+)
+def saved_stages(spark, root):
+    """A pipeline of our own stages on held-out rows, as fitted and as loaded again; one return flag
+    is not among the rows it was fitted on."""
+    lines = table(spark, root, "lineitem").select(*LINE_KEY.split(", "), "l_quantity", "l_discount", "l_returnflag")
+    train, test = features.random_split(lines, "l_orderkey", 0.2)
+    plan = [
+        stages.Interaction(["l_quantity", "l_discount"], "mix"),
+        stages.PopulationScaler(["l_quantity", "mix"]),
+        stages.CategoryFlags("l_returnflag"),
+    ]
+    fitted = Pipeline(stages=plan).fit(train.where("l_returnflag <> 'R'"))
+    loaded = load_model(save_model(fitted, scratch_path(spark, "stages")))
+    both = [m.transform(test).withColumn("stage", F.lit(n)) for n, m in (("fitted", fitted), ("loaded", loaded))]
+    out = both[0].unionByName(both[1]).drop("l_discount")
+    return rounded(out, "l_quantity", "mix", places=6)
+
+
 @query("log_skew", "M11 X6", "SELECT event_id, value, round(ln(1 + value), 4) AS value_log FROM events")
 def log_skew(spark, root):
     events = table(spark, root, "events").select("event_id", "value")

@@ -147,7 +147,7 @@ def pivot_counts(spark, root):
         .groupBy("l_returnflag", "l_linestatus")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return relate.pivot(counts, "l_returnflag", "l_linestatus", "n", ["F", "O"], fill=0)
+    return relate.pivot(counts, "l_returnflag", "l_linestatus", "n", fill=0)
 
 
 @query(

@@ -5,10 +5,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from statloom.functions import scalar
-from statloom.operators import clean, features, infer, linear, power, profile, ranks
+from statloom.operators import clean, features, infer, linear, power, profile, ranks, relate, stages
 
 
 def test_numbers_of_doubles_keep_their_order(spark):
@@ -124,6 +125,45 @@ def test_one_hot_of_many_levels(spark):
     assert len(wide.columns) == 999 and wide.where("k_999 = 1").count() == 1
 
 
+def test_one_hot_beyond_the_columns(spark):
+    rows = spark.range(6000).select((F.col("id") % 5000).alias("k"), F.col("id").alias("at"))
+    with pytest.raises(ValueError, match="one_hot_slots"):
+        features.one_hot(rows, ["k"])
+    learnt = rows.where("k <> 7")
+    slots = features.one_hot_slots(rows.union(spark.createDataFrame([(None, -1)], "k long, at long")), ["k"], fit_on=learnt)
+    got = {r["at"]: (r.k_size, r.k_slot) for r in slots.collect()}
+    assert got[0] == got[7] == got[-1] == got[5007] == (4998, None)
+    assert got[1] == got[5001] == (4998, 0) and got[4999] == (4998, 4997) and got[8] == (4998, 6)
+    vectors = {r["at"]: r.k_vector for r in features.one_hot_vectors(slots, ["k"]).collect()}
+    assert len(vectors) == 6001 and all(v.size == 4998 for v in vectors.values())
+    assert [list(vectors[i].indices) for i in (0, 7, -1, 1, 4999)] == [[], [], [], [0], [4997]]
+
+
+def test_pivot_finds_names_and_loses_none(spark):
+    cells = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "z", 3), ("b", None, 9), ("c", "x", None)], "i string, c string, v int")
+    wide = relate.pivot(cells, "i", "c", "v", fill=0)
+    assert wide.columns == ["i", "x", "y", "z"]
+    assert sorted(map(tuple, wide.collect())) == [("a", 1, 2, 0), ("b", 0, 0, 3), ("c", 0, 0, 0)]
+    assert sorted(map(tuple, relate.pivot(cells, "i", "c", "v", ["z"]).collect()), key=repr) == [("a", None), ("b", 3), ("c", None)]
+    with pytest.raises(ValueError, match="more than 2"):
+        relate.pivot(cells, "i", "c", "v", most=2)
+
+
+def test_stages_are_saved_with_what_they_learnt(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, 2.0, "b"), (3.0, float("nan"), "a"), (5.0, 6.0, None), (None, 1.0, "c")], "x double, y double, g string")
+    plan = Pipeline(stages=[stages.Interaction(["x", "y"], "xy"), stages.PopulationScaler(["x"]), stages.CategoryFlags("g")])
+    Pipeline.load(plan.write().overwrite().save(str(tmp_path / "plan")) or str(tmp_path / "plan")).fit(rows)
+    fitted = plan.fit(rows)
+    fitted.write().save(str(tmp_path / "fitted"))
+    loaded = PipelineModel.load(str(tmp_path / "fitted"))
+    new = spark.createDataFrame([(3.0, 2.0, "z"), (None, None, None), (5.0, 1.0, "c")], "x double, y double, g string")
+    got = [tuple(r) for r in loaded.transform(new).collect()]
+    assert got == [tuple(r) for r in fitted.transform(new).collect()]
+    spread = (8 / 3) ** 0.5
+    assert got[0][2:] == (6.0, 0, 0) and got[0][0] == 0.0 and got[1] == (None, None, None, 0, 0)
+    assert got[2][0] == pytest.approx(2 / spread) and got[2][3:] == (0, 1)
+
+
 def test_score_ignores_nulls_of_other_columns(spark):
     rows = spark.range(2000).select(
         F.col("id").alias("key"), (F.col("id") % 50).cast("double").alias("a"), ((F.col("id") % 50) * 2).cast("double").alias("b"),
