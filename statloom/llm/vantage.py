@@ -264,8 +264,8 @@ def query_blocks(queries: DataFrame, block_queries: int = BLOCK_QUERIES) -> Data
 def nearest(index: DataFrame, queries: DataFrame, k: int = 20, factor: float = FACTOR) -> DataFrame:
     """The `k` nearest found for each query: `query_id`, `rank`, `vec_id`, `score`.
 
-    Every block of queries meets every tree: blocks are few rows of some thousand queries each. A
-    task carries what its blocks have found from tree to tree, so later trees are pruned by it, and
+    Every block of queries meets every tree: both are few rows, of some thousand vectors each, and the
+    SEARCH_PARTS cells of their grid are as many tasks at most. A task carries what its blocks have found from tree to tree, so later trees are pruned by it, and
     hands on one row per block; `k` candidates per query and task are all that is shuffled.
     """
 
@@ -302,10 +302,15 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 20, factor: float = F
         columns = [query_ids[row], (rank + 1).astype(np.int32), near.ids[row, rank], near.scores[row, rank]]
         return pa.table(columns, schema=pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
-    blocks = queries.repartition(max(1, queries.count()), "block")
-    trees = index.repartition(max(1, min(index.count(), SEARCH_PARTS)), "shard").withColumnRenamed("dim", "tree_dim")
+    # The grid of blocks and trees is cut into SEARCH_PARTS cells: parts of the trees, each met by teams
+    # of blocks if there are fewer parts than that.
+    parts = max(1, min(index.count(), SEARCH_PARTS))
+    teams = max(1, min(queries.count(), SEARCH_PARTS // parts))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    blocks = queries.select("block", "dim", "queries", (F.col("block") % teams).alias("team"), every(parts).alias("part"))
+    trees = index.select(F.col("dim").alias("tree_dim"), "tree", (F.col("shard") % parts).alias("part"), every(teams).alias("team"))
     # Dimensions are compared in the task: as a join key they would gather all pairs in one.
-    pairs = blocks.crossJoin(trees).select("block", "dim", "tree_dim", "queries", "tree")
+    pairs = blocks.join(trees, ["part", "team"]).select("block", "dim", "tree_dim", "queries", "tree")
     return pairs.mapInArrow(searched, FOUND).groupBy("block").applyInArrow(merged, RESULT)
 
 
