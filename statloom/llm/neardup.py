@@ -10,8 +10,10 @@ leads a bucket, and each node is first compared with the best leader it meets on
 hold several components are contested. A node there can only have links if few of its shingles are its
 own, and two nodes only if what they may share is enough for their sizes; that is exact and needs
 counts only. What is left is compared: the few nodes outside a bucket's largest component with all
-others, or, where they are not few, within buckets of `FINE` values that share none. Values in disjoint
-buckets are independent, so at a similarity of 0.85 that misses a pair about twice in a million.
+others by a join, or, where they are not few, block by block within buckets of `FINE` values that share
+none: blocks hold signatures as matrices, and only pairs whose signatures come near the threshold
+leave as rows. Values in disjoint buckets are independent, so at a similarity of 0.85 a pair of crowded
+buckets is missed about twice in a million, less often than one of few members.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ HASHES = 2 * SIDE * HALF
 LEAST_EQUAL = 46
 FEW = 32
 FINE = 4
+BLOCK = 2048
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -130,8 +133,8 @@ def table_keys(halves: DataFrame) -> DataFrame:
 def fine_keys(nodes: DataFrame) -> DataFrame:
     """Table keys of `FINE` values each, no value in two; a pair at the threshold misses all with
     probability (1 - 0.85 ** 4) ** 18, about 1.7 in a million."""
-    key = lambda i: F.xxhash64(i, F.slice("signature", i * FINE + 1, F.lit(FINE)))
-    return nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(HASHES // FINE - 1)), key)).alias("key"))
+    key = lambda i: F.struct(F.xxhash64(i, F.slice("signature", i * FINE + 1, F.lit(FINE))).alias("key"), i.alias("fine"))
+    return nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(HASHES // FINE - 1)), key)).alias("k")).select("node", "k.*")
 
 
 def may_link(na: str, ua: str, nb: str, ub: str) -> Column:
@@ -202,11 +205,11 @@ def linkable(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def divided(members: DataFrame) -> DataFrame:
-    """Add whether a member is `outside` its bucket's largest component, and how many are; buckets of
-    one component leave."""
+    """Add whether a member is `outside` its bucket's largest component, how many are, and how many
+    members there are; buckets of one component leave."""
     shares = members.groupBy("key", "label").count().groupBy("key")
     stats = shares.agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("parts")).where("parts > 1")
-    stats = materialise(stats.select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count")).alias("n_outside")), "divided")
+    stats = materialise(stats.select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count")).alias("n_outside"), F.col("all").alias("n_all")), "divided")
     return members.join(stats, "key").withColumn("outside", F.col("label") != F.col("main")).drop("main")
 
 
@@ -219,6 +222,48 @@ def outsider_pairs(members: DataFrame) -> DataFrame:
     return joined.select("a", "b").distinct()
 
 
+def blocked_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of different components within fine buckets that sizes allow and whose signatures come
+    near the threshold; each leaves the first bucket that it shares only.
+
+    A bucket is dealt into blocks of some `BLOCK` members, and every two of its blocks are a group of
+    their own, so a bucket of any size is many groups of bounded size.
+    """
+
+    def compared(key: tuple, table: pa.Table) -> pa.Table:
+        low, high, fine = (k.as_py() for k in key[1:])
+        node, label, block = (table[c].to_numpy() for c in ("node", "label", "block"))
+        n, u = table["n"].to_numpy().astype(float), table["u"].to_numpy()
+        values = table["signature"].combine_chunks().flatten().to_numpy().reshape(len(node), HASHES)
+        one, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        found = []
+        for part in np.array_split(one, -(-len(one) // 256) or 1):
+            equal = np.zeros((len(part), len(other)), dtype=np.int16)
+            earlier = np.zeros(equal.shape, dtype=bool)
+            for i in range(HASHES):
+                same = values[part, i][:, None] == values[other, i]
+                equal += same
+                bucket = same if i % FINE == 0 else bucket & same
+                if i % FINE == FINE - 1 and i // FINE < fine:
+                    earlier |= bucket
+            common = np.minimum((n - u)[part][:, None], (n - u)[other])
+            total = n[part][:, None] + n[other]
+            new = (label[part][:, None] != label[other]) & (equal >= LEAST_EQUAL) & ~earlier & (100 * common >= PERCENT * (total - common))
+            if low == high:
+                new &= part[:, None] < other
+            a, b = np.nonzero(new)
+            found.append((node[part[a]], node[other[b]]))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+
+    sized = members.withColumn("blocks", F.ceil(F.col("n_all") / BLOCK).cast("int"))
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = met.select("key", "fine", "node", "label", "n", "u", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    signed = paired.join(nodes.select("node", "signature"), "node")
+    return signed.groupBy("key", "low", "high", "fine").applyInArrow(compared, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: `doc_id`, `text_hash`, `n_shingles`, `component_id`, `kept`.
 
@@ -261,7 +306,7 @@ def link_nodes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     if not crowded.isEmpty():
         finer = fine_keys(nodes.join(crowded.select("node"), "node")).join(crowded, "node").join(links.labels, "node", "left")
         finer = materialise(finer.withColumn("label", F.coalesce("label", "node")), "fine-keys")
-        links.test(outsider_pairs(divided(finer)))
+        links.test(blocked_pairs(divided(finer), nodes))
     return links.labels
 
 

@@ -159,10 +159,11 @@ def cloud(seed, size, words=120):
     return [" ".join(m) for m in made]
 
 
-@pytest.mark.parametrize("few", [32, 2])
-def test_near_duplicates_of_a_cloud(spark, monkeypatch, few):
+@pytest.mark.parametrize(("few", "block"), [(32, 2048), (2, 2048), (2, 16), (0, 16)])
+def test_near_duplicates_of_a_cloud(spark, monkeypatch, few, block):
     monkeypatch.setattr("statloom.llm.neardup.FEW", few)
-    rows = list(enumerate(cloud(few, 260)))
+    monkeypatch.setattr("statloom.llm.neardup.BLOCK", block)
+    rows = list(enumerate(cloud(few + block, 260)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     check_near(rows, near_duplicates(docs).collect())
 
