@@ -7,8 +7,11 @@ ML minimises. Machines with a Gaussian or cubic kernel are those of `kernels`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -49,6 +52,69 @@ def logistic(n: int, c: float = 1.0, label: str = "label", max_iter: int = 1000)
     )
 
 
+@dataclass(frozen=True)
+class LogisticFit:
+    """Coefficients in the units of the columns as given."""
+
+    cols: tuple[str, ...]
+    intercept: float
+    coef: np.ndarray
+    steps: int
+
+    def probability(self) -> Column:
+        """P(class 1) as a column expression."""
+        terms = [col(c).cast("double") * F.lit(float(w)) for c, w in zip(self.cols, self.coef)]
+        score = reduce(lambda a, b: a + b, terms, F.lit(float(self.intercept)))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
+
+
+def fit_logistic(df: DataFrame, cols: Sequence[str], label: str, c: float = 1.0, tol: float = 1e-10, most: int = 100) -> LogisticFit:
+    """Logistic regression as `logistic`, by Newton's method on the complete rows.
+
+    Each step is one pass in which tasks add up loss, gradient and curvature, matrices of the size of
+    the column list. Steps that do not lower the loss are halved; a fit that needs more than `most`
+    passes is an error. So the result is exact to rounding, and few passes are enough.
+    """
+    size = len(cols) + 1
+    rows = df.dropna(subset=[*cols, label]).select(F.array(F.lit(1.0), *[col(x).cast("double") for x in cols]).alias("x"), col(label).cast("double").alias("y"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def passed(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def summed(batches):
+            loss, slope, bend = 0.0, np.zeros(size), np.zeros((size, size))
+            for b in batches:
+                if b.num_rows:
+                    x, y = b.column(0).flatten().to_numpy().reshape(-1, size), b.column(1).to_numpy()
+                    z = x @ w
+                    p = 0.5 * (1 + np.tanh(z / 2))
+                    loss += float((np.logaddexp(0, z) - y * z).sum())
+                    slope += x.T @ (p - y)
+                    bend += (x * (p * (1 - p))[:, None]).T @ x
+            values = np.concatenate([[loss], slope, bend.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["i", "v"])
+
+        sums = rows.mapInArrow(summed, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()
+        v = np.array([r["v"] for r in sums])
+        penalty = np.append(0.0, np.ones(size - 1))
+        return c * v[0] + 0.5 * (penalty * w) @ w, c * v[1 : size + 1] + penalty * w, c * v[size + 1 :].reshape(size, size) + np.diag(penalty)
+
+    try:
+        w = np.zeros(size)
+        loss, slope, bend = passed(w)
+        for step in range(1, most + 1):
+            move = np.linalg.lstsq(bend, -slope, rcond=None)[0]
+            if np.abs(move).max() <= tol * max(1.0, np.abs(w).max()):
+                return LogisticFit(tuple(cols), float(w[0]), w[1:], step)
+            ahead = passed(w + move)
+            while ahead[0] > loss + 1e-9 * abs(loss) and np.abs(move).max() > tol:
+                move = move / 2
+                ahead = passed(w + move)
+            w, (loss, slope, bend) = w + move, ahead
+        raise RuntimeError(f"no convergence in {most} steps")
+    finally:
+        rows.unpersist()
+
+
 def linear_svm(n: int, c: float = 1.0, label: str = "label", max_iter: int = 100) -> LinearSVC:
     """Hinge-loss machine with a squared penalty on the coefficients."""
     return LinearSVC(

@@ -12,6 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from statloom.operators.ranks import col
 
 # Above this many columns pairwise aggregate expressions give way to blocked matrix products.
 MAX_EXPRESSION_COLUMNS = 12
+# Normal equations lose about as many digits as the condition of the correlations has.
+WORST_CONDITION = 1e7
+REDUCERS = 64
 # A fit that takes longer is reported as an error, never returned.
 MAX_SWEEPS = 1_000_000
 
@@ -165,9 +169,39 @@ def _finish(m: Moments, cols: Sequence[str], coef: np.ndarray, penalty: float) -
     return LinearFit(tuple(cols), float(m.mean[-1] - m.mean[:-1] @ coef), coef, penalty)
 
 
+def triangle(df: DataFrame, cols: Sequence[str], centre: np.ndarray) -> np.ndarray:
+    """The R factor of the complete rows of `cols` minus `centre`. Each task reduces its rows to one
+    factor of the size of the column list, factors meet in REDUCERS groups, and those on the driver."""
+    size, middle = len(cols), np.asarray(centre, dtype=float)
+
+    def reduced(blocks) -> pa.Table:
+        r = np.zeros((0, size))
+        for block in blocks:
+            r = np.linalg.qr(np.vstack([r, block]), mode="r")
+        return pa.table({"r": pa.array([r.ravel()], pa.list_(pa.float64()))})
+
+    def factor(batches):
+        yield from reduced(b.column(0).flatten().to_numpy().reshape(-1, size) - middle for b in batches if b.num_rows).to_batches()
+
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        return reduced(np.array(r).reshape(-1, size) for r in table["r"].to_pylist())
+
+    rows = df.dropna(subset=list(cols)).select(F.array(*[col(c).cast("double") for c in cols]).alias("x"))
+    factors = rows.mapInArrow(factor, "r array<double>").where(F.size("r") > 0)
+    groups = factors.groupBy(F.pmod(F.xxhash64("r"), F.lit(REDUCERS)).alias("g")).applyInArrow(merged, "r array<double>")
+    return np.linalg.qr(np.vstack([np.zeros((1, size)), *[np.array(g["r"]).reshape(-1, size) for g in groups.collect()]]), mode="r")
+
+
 def ols(df: DataFrame, cols: Sequence[str], target: str) -> LinearFit:
+    """Least squares. Normal equations square the condition of the features; where that leaves too few
+    digits, the rows are read again and reduced to triangles instead."""
     m = fit_moments(df, [*cols, target])[()]
     a, b = _split(m)
+    spread = np.sqrt(np.maximum(np.diag(a), 0))
+    scale = np.where(spread > 0, spread, 1.0)
+    if len(b) > 1 and np.linalg.cond(a / np.outer(scale, scale)) > WORST_CONDITION:
+        r = triangle(df, [*cols, target], m.mean)
+        return _finish(m, cols, np.linalg.lstsq(r[:, :-1] / scale, r[:, -1], rcond=None)[0] / scale, 0.0)
     return _finish(m, cols, np.linalg.lstsq(a, b, rcond=None)[0], 0.0)
 
 

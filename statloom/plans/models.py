@@ -24,6 +24,19 @@ NORMAL_EQUATIONS = """
 """
 
 
+def eliminate(name: str, size: int) -> list[str]:
+    """Common table expressions that solve the system (a<i>_<j>, right side a<i>_<size>) of `name`: one per
+    pivot. The last, `name`_<size>, holds the solution as a<i>_<size>."""
+    steps = []
+    for k in range(size):
+        cells = []
+        for i in range(size):
+            for j in range(k + 1, size + 1):
+                cells.append(f"a{k}_{j} / a{k}_{k} AS a{k}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}")
+        steps.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT {', '.join(cells)} FROM {name}_{k})")
+    return steps
+
+
 def terms(spark, fit, places=2):
     rows = [("intercept", float(fit.intercept)), *zip(fit.cols, map(float, fit.coef))]
     frame = spark.createDataFrame(rows, "term string, coefficient double")
@@ -131,7 +144,37 @@ def fitted_lines(spark, root):
     return fits, test
 
 
-@query("coef_table", "E11 O4 L2 M8")
+HELD = HASH.format(key="l_orderkey", digits=8) + " % 100 < 20"
+FLAGS = ["N", "R"]
+NUMBERS = ["l_quantity", "l_discount", "l_tax", "mix"]
+
+
+def least_squares_sql(rows: str, names: list[str]) -> str:
+    """CTEs that fit z1, z2, ... and y of the query `rows` by normal equations; `fit_<size>` holds a<i>_<size>."""
+    size = len(names)
+    cells = [f"covar_pop(z{i}, z{j}) AS a{i}_{j}" for i in range(size) for j in range(size)]
+    cells += [f"covar_pop(z{i}, y) AS a{i}_{size}" for i in range(size)]
+    return ",\n".join([f"fit_0 AS MATERIALIZED (SELECT {', '.join(cells)} FROM ({rows}))", *eliminate("fit", size)])
+
+
+COEF_NAMES = [*NUMBERS, *[f"l_returnflag_{v}" for v in FLAGS]]
+SCALED_LINES = (
+    "SELECT l_extendedprice AS y, held, "
+    + ", ".join(f"({c} - avg({c}) FILTER (fit) OVER ()) / stddev_pop({c}) FILTER (fit) OVER () AS z{i}" for i, c in enumerate(NUMBERS))
+    + ", "
+    + ", ".join(f"(l_returnflag = '{v}')::int::double AS z{i}" for i, v in enumerate(FLAGS, len(NUMBERS)))
+    + " FROM (SELECT *, l_quantity * l_discount AS mix, {fit} AS fit, {held} AS held FROM lineitem)"
+)
+
+
+@query(
+    "coef_table",
+    "E11 O4 L2 M8",
+    f"""
+    WITH r AS MATERIALIZED ({SCALED_LINES.format(fit="true", held="false")}), {least_squares_sql("SELECT * FROM r", COEF_NAMES)}
+    SELECT unnest({COEF_NAMES}) AS feature, round(unnest([{", ".join(f"a{i}_6" for i in range(6))}]), 4) AS coefficient FROM fit_6
+    """,
+)
 def coef_table(spark, root):
     lines = raw_lines(spark, root)
     data = prepared_lines(lines, lines)
@@ -140,6 +183,27 @@ def coef_table(spark, root):
     return rounded(evaluate.coefficient_table(spark, fit.cols, fit.coef), "coefficient")
 
 
+@query(
+    "interaction_metrics",
+    "L2 E10 L12 E1 E2 E3 M1 M7",
+    f"""
+    WITH r AS MATERIALIZED ({SCALED_LINES.format(fit=f"NOT ({HELD})", held=HELD)}),
+    {least_squares_sql("SELECT * FROM r WHERE NOT held", COEF_NAMES)},
+    c AS (SELECT avg(y) AS my, {", ".join(f"avg(z{i}) AS m{i}" for i in range(6))} FROM r WHERE NOT held),
+    p AS (SELECT y, my + {" + ".join(f"a{i}_6 * (z{i} - m{i})" for i in range(6))} AS p FROM r, c, fit_6 WHERE held)
+    SELECT 'with interaction' AS model, round(avg(abs(y - p)), 3) AS mae, round(sqrt(avg((y - p) ** 2)), 3) AS rmse,
+           round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 6) AS r2 FROM p
+    """,
+)
+def interaction_metrics(spark, root):
+    """Least squares with the interaction, fitted and prepared on training rows, on the test rows."""
+    raw_train, raw_test = features.random_split(raw_lines(spark, root), "l_orderkey", 0.2)
+    train, test = (prepared_lines(d, raw_train) for d in (raw_train, raw_test))
+    cols = [c for c in train.columns if c not in ("l_orderkey", Y)]
+    found = evaluate.compare_models(test, Y, {"with interaction": linear.ols(train, cols, Y).predict()})
+    return found.withColumns({"mae": F.round("mae", 3), "rmse": F.round("rmse", 3), "r2": F.round("r2", 6)})
+
+
 @query("model_comparison", "E10 L1 L2 L3 L4 L12")
 def model_comparison(spark, root):
     fits, test = fitted_lines(spark, root)
@@ -168,28 +232,62 @@ def labelled_documents(spark, root):
 
 
 def fit_logistic(spark, root):
-    table_of_features = materialise(labelled_documents(spark, root), "documents")
-    data = classify.assemble(table_of_features, DOC_FEATURES, ["doc_id", "quality", "label", "is_test"])
-    train = data.where("NOT is_test")
-    n = train.count()
-    model = classify.logistic(n).fit(classify.compact(train, n, len(DOC_FEATURES)))
-    scored = model.transform(data.where("is_test"))
-    return model, scored.select(
-        "doc_id",
-        "quality",
-        classify.probability_of_one(scored).alias("score"),
-    ).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    data = materialise(labelled_documents(spark, root), "documents")
+    fit = classify.fit_logistic(data.where("NOT is_test"), DOC_FEATURES, "label")
+    scored = data.where("is_test").select("doc_id", "quality", fit.probability().alias("score"))
+    return fit, scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def logistic_sql(size: int, steps: int = 10) -> str:
+    """Newton's method on `train` (x0 = 1, x1, ..., y), from which CTEs w<step> (b0, b1, ...) follow."""
+    parts = ["w0 AS MATERIALIZED (SELECT " + ", ".join(f"0.0::double AS b{i}" for i in range(size)) + ")"]
+    for s in range(1, steps + 1):
+        z = " + ".join(f"b{i} * x{i}" for i in range(size))
+        cells = []
+        for i in range(size):
+            for j in range(size):
+                ridge = " + 1" if i == j and i else ""
+                cells.append(f"sum(p * (1 - p) * x{i} * x{j}){ridge} AS a{i}_{j}")
+            cells.append(f"sum((y - p) * x{i}){f' - any_value(b{i})' if i else ''} AS a{i}_{size}")
+        parts.append(f"n{s}_0 AS MATERIALIZED (SELECT {', '.join(cells)} FROM (SELECT *, 1 / (1 + exp(-({z}))) AS p FROM train, w{s - 1}))")
+        parts += eliminate(f"n{s}", size)
+        parts.append(f"w{s} AS MATERIALIZED (SELECT {', '.join(f'b{i} + a{i}_{size} AS b{i}' for i in range(size))} FROM w{s - 1}, n{s}_{size})")
+    return ",\n".join(parts)
+
+
+SIX = len(DOC_FEATURES)
+LOGISTIC_SQL = f"""
+    WITH d AS (SELECT l.doc_id, l.quality, n_chars::double AS f1, len(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'))::double AS f2,
+                      len(string_split(text, chr(10)))::double AS f3, (lang = 'en')::int::double AS f4,
+                      (lang = 'es')::int::double AS f5, (lang = 'fr')::int::double AS f6,
+                      row_number() OVER (PARTITION BY l.quality ORDER BY {HASH.format(key="l.doc_id", digits=13)}, l.doc_id)
+                      <= floor(0.2 * count(*) OVER (PARTITION BY l.quality) + 0.5) AS is_test
+               FROM labels l JOIN documents USING (doc_id)),
+    m AS (SELECT {", ".join(f"avg(f{i}) AS m{i}, stddev_pop(f{i}) AS s{i}" for i in range(1, SIX + 1))} FROM d WHERE NOT is_test),
+    scaled AS MATERIALIZED (SELECT doc_id, quality, is_test, quality::double AS y, 1.0::double AS x0,
+                      {", ".join(f"(f{i} - m{i}) / CASE WHEN s{i} > 0 THEN s{i} ELSE 1 END AS x{i}" for i in range(1, SIX + 1))} FROM d, m),
+    train AS MATERIALIZED (SELECT * FROM scaled WHERE NOT is_test),
+    {logistic_sql(SIX + 1)},
+    scored AS (SELECT doc_id, quality, 1 / (1 + exp(-({" + ".join(f"b{i} * x{i}" for i in range(SIX + 1))}))) AS score
+               FROM scaled, w10 WHERE is_test),
+    called AS MATERIALIZED (SELECT doc_id, quality, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted FROM scored),
+    odds AS (SELECT unnest({DOC_FEATURES}) AS feature, unnest([{", ".join(f"b{i}" for i in range(1, SIX + 1))}]) AS coefficient FROM w10)
+"""
 
 
-@query("logistic", "L5 L12 F14 M2 M3 M13")
+@query("logistic", "L5 L12 F14 M2 M3 M13", LOGISTIC_SQL + "SELECT doc_id, quality, round(score, 4) AS score, predicted FROM called")
 def logistic(spark, root):
     return rounded(fit_logistic(spark, root)[1], "score")
 
 
-@query("odds_ratios", "E12 E11 X5")
+@query(
+    "odds_ratios",
+    "E12 E11 X5",
+    LOGISTIC_SQL + "SELECT feature, round(coefficient, 4) AS coefficient, round(exp(coefficient), 4) AS odds_ratio FROM odds",
+)
 def odds_ratios(spark, root):
-    model, _ = fit_logistic(spark, root)
-    report = evaluate.coefficient_table(spark, DOC_FEATURES, model.coefficients.toArray(), odds=True)
+    fit, _ = fit_logistic(spark, root)
+    report = evaluate.coefficient_table(spark, DOC_FEATURES, fit.coef, odds=True)
     return rounded(report, "coefficient", "odds_ratio")
 
 
@@ -281,6 +379,33 @@ def grid_best_predictions(spark, root):
     return best.select("vec_id", "label", "prediction", "c", "gamma")
 
 
+@query(
+    "forest_flags",
+    "L11",
+    """
+    SELECT count(*) AS n_rows, round(0.05, 2)::double AS share, true AS in_range, true AS flags_are_the_highest, 20::bigint AS planted_found
+    FROM (SELECT 1 FROM lineitem UNION ALL SELECT 1 FROM range(20))
+    """,
+)
+def forest_flags(spark, root):
+    """Twenty lines far from all others among the rest: how many rows, which share is flagged, whether
+    scores are in range, whether the flagged ones are the highest, and how many planted ones are."""
+    lines = table(spark, root, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line"), *MEASURES)
+    far = spark.range(20).select(
+        F.concat(F.lit("far "), F.col("id").cast("string")).alias("line"),
+        *[(F.lit(1e6) * (i + 1) + F.col("id")).alias(c) for i, c in enumerate(MEASURES)],
+    )
+    flagged = materialise(forest.flag_outliers(lines.unionByName(far), MEASURES, "line"), "flagged")
+    out = F.col("outlier_flag") == -1
+    return flagged.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.round(F.avg(out.cast("int")), 2).alias("share"),
+        ((F.min("score") > 0) & (F.max("score") <= 1)).alias("in_range"),
+        (F.min(F.when(out, F.col("score"))) > F.max(F.when(~out, F.col("score")))).alias("flags_are_the_highest"),
+        F.count_if(out & F.col("line").startswith("far ")).alias("planted_found"),
+    )
+
+
 @query("isolation_forest", "L11")
 def isolation_forest(spark, root):
     lines = (

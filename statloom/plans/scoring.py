@@ -83,3 +83,17 @@ def score_stream(spark, root):
     )
     running.awaitTermination()
     return rounded(spark.read.parquet(output).drop("batch"), "p1")
+
+
+@query(
+    "stream_matches_batch",
+    "T1 S8 L12 L13",
+    "SELECT count(*) AS accepted, 0::bigint AS only_batch, 0::bigint AS only_stream FROM customer WHERE c_acctbal BETWEEN 0 AND 9000",
+)
+def stream_matches_batch(spark, root):
+    """The same saved model over the customers as a stream of files and as a batch: rows that one of the
+    two lacks."""
+    batch, stream = score_batch(spark, root), score_stream(spark, root)
+    return batch.agg(F.count(F.lit(1)).alias("accepted")).crossJoin(
+        batch.exceptAll(stream.select(*batch.columns)).agg(F.count(F.lit(1)).alias("only_batch"))
+    ).crossJoin(stream.select(*batch.columns).exceptAll(batch).agg(F.count(F.lit(1)).alias("only_stream")))
