@@ -11,8 +11,8 @@ hold several components are contested. A node there can only have links if few o
 own, and two nodes only if what they may share is enough for their sizes; that is exact and needs
 counts only. What is left is compared: the few nodes outside a bucket's largest component with all
 others by a join, or, where they are not few, block by block within buckets of `FINE` values that share
-none: blocks hold signatures as matrices, and only pairs whose signatures come near the threshold
-leave as rows. Values in disjoint buckets are independent, so at a similarity of 0.85 a pair of crowded
+none: blocks hold signatures as matrices and full sets, and only links that join components leave as
+rows. Values in disjoint buckets are independent, so at a similarity of 0.85 a pair of crowded
 buckets is missed about twice in a million, less often than one of few members.
 """
 
@@ -172,7 +172,11 @@ class Links:
 
     def test(self, pairs: DataFrame) -> None:
         """Confirm pairs and join the components of those that are links."""
-        found = materialise(confirm(likely(pairs, self.nodes), self.sets), "links")
+        self.add(confirm(likely(pairs, self.nodes), self.sets))
+
+    def add(self, links: DataFrame) -> None:
+        """Join the components of confirmed links."""
+        found = materialise(links, "links")
         if found.isEmpty():
             return
         self.edges = found if self.edges is None else self.edges.unionByName(found)
@@ -222,22 +226,55 @@ def outsider_pairs(members: DataFrame) -> DataFrame:
     return joined.select("a", "b").distinct()
 
 
-def blocked_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components within fine buckets that sizes allow and whose signatures come
-    near the threshold; each leaves the first bucket that it shares only.
+def local_links(label: np.ndarray, candidate: np.ndarray, one: np.ndarray, other: np.ndarray, flat: np.ndarray, begins: np.ndarray) -> list[tuple[int, int]]:
+    """Links among the candidate pairs (a row of `one`, a column of `other`) that join components of
+    `label` which the links before have not joined. Shingles of row i are flat[begins[i] : begins[i + 1]],
+    as small numbers."""
+    component = np.unique(label, return_inverse=True)[1]
+    size = np.diff(begins)
+    mine = np.zeros(int(flat.max(initial=-1)) + 1, dtype=bool)
+    found = []
+    for row, a in enumerate(one):
+        near = other[candidate[row]]
+        near = near[component[near] != component[a]]
+        if not len(near):
+            continue
+        own = flat[begins[a] : begins[a + 1]]
+        mine[own] = True
+        stops = np.cumsum(size[near])
+        take = np.arange(stops[-1]) + np.repeat(begins[near] - (stops - size[near]), size[near])
+        common = np.add.reduceat(mine[flat[take]].astype(np.int64), stops - size[near])
+        mine[own] = False
+        for b in near[100 * common >= PERCENT * (size[a] + size[near] - common)]:
+            if component[b] != component[a]:
+                component[component == component[b]] = component[a]
+                found.append((a, b))
+    return found
+
+
+def blocked_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components within fine buckets, enough to join all that are linked there.
 
     A bucket is dealt into blocks of some `BLOCK` members, and every two of its blocks are a group of
-    their own, so a bucket of any size is many groups of bounded size.
+    their own, so a bucket of any size is many groups of bounded size. In a group the pairs that sizes
+    allow and whose signatures come near the threshold, in the first bucket that they share, are
+    confirmed on full sets; a pair of components that earlier links have joined is left out.
     """
 
     def compared(key: tuple, table: pa.Table) -> pa.Table:
         low, high, fine = (k.as_py() for k in key[1:])
+        order = np.argsort(table["node"].to_numpy())
+        table = table.take(pa.array(order))
         node, label, block = (table[c].to_numpy() for c in ("node", "label", "block"))
         n, u = table["n"].to_numpy().astype(float), table["u"].to_numpy()
         values = table["signature"].combine_chunks().flatten().to_numpy().reshape(len(node), HASHES)
+        shingles = table["shingles"].combine_chunks()
+        flat = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
+        begins = np.append(0, np.cumsum(shingles.value_lengths().to_numpy()))
         one, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found = []
-        for part in np.array_split(one, -(-len(one) // 256) or 1):
+        candidate = np.zeros((len(one), len(other)), dtype=bool)
+        for start in range(0, len(one), 256):
+            part = one[start : start + 256]
             equal = np.zeros((len(part), len(other)), dtype=np.int16)
             earlier = np.zeros(equal.shape, dtype=bool)
             for i in range(HASHES):
@@ -251,17 +288,16 @@ def blocked_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
             new = (label[part][:, None] != label[other]) & (equal >= LEAST_EQUAL) & ~earlier & (100 * common >= PERCENT * (total - common))
             if low == high:
                 new &= part[:, None] < other
-            a, b = np.nonzero(new)
-            found.append((node[part[a]], node[other[b]]))
-        a, b = (np.concatenate(x) for x in zip(*found))
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+            candidate[start : start + 256] = new
+        pairs = np.array(local_links(label, candidate, one, other, flat, begins), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
     sized = members.withColumn("blocks", F.ceil(F.col("n_all") / BLOCK).cast("int"))
     dealt = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = met.select("key", "fine", "node", "label", "n", "u", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    signed = paired.join(nodes.select("node", "signature"), "node")
-    return signed.groupBy("key", "low", "high", "fine").applyInArrow(compared, "a long, b long")
+    facts = nodes.select("node", "signature").join(sets, "node")
+    return paired.join(facts, "node").groupBy("key", "low", "high", "fine").applyInArrow(compared, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,7 +342,7 @@ def link_nodes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     if not crowded.isEmpty():
         finer = fine_keys(nodes.join(crowded.select("node"), "node")).join(crowded, "node").join(links.labels, "node", "left")
         finer = materialise(finer.withColumn("label", F.coalesce("label", "node")), "fine-keys")
-        links.test(blocked_pairs(divided(finer), nodes))
+        links.add(blocked_links(divided(finer), nodes, links.sets))
     return links.labels
 
 
