@@ -9,6 +9,7 @@ values lie makes no difference: an offset, an outlier or an infinity costs anoth
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,8 @@ from statloom.session import materialise, shared_dir
 LEADING_SHIFT, ROUND_BITS = 44, 12
 OPEN_ROWS = 10_000
 SMALLEST_NORMAL = 2.0**-1022
+# Beyond this many ranks a condition written out for each would be more than Spark compiles.
+MANY_RANKS = 16
 
 
 def col(name: str) -> Column:
@@ -109,10 +112,11 @@ def holding(counts: DataFrame, keys: Sequence[str], order: str, ranks: Ranks) ->
     if "n_total" not in counts.columns:
         counts = counts.withColumns({"n_total": F.sum("n").over(whole), "before": F.lit(0).cast("bigint")})
     placed = counts.withColumn("start", F.col("before") + F.sum("n").over(running) - F.col("n"))
-    hit = F.lit(False)
-    for rank in ranks(F.col("n_total")):
-        hit = hit | ((rank >= F.col("start")) & (rank < F.col("start") + F.col("n")))
-    return placed.where(hit)
+    inside = lambda rank: (rank >= F.col("start")) & (rank < F.col("start") + F.col("n"))
+    wanted = ranks(F.col("n_total"))
+    if len(wanted) > MANY_RANKS:
+        return placed.where(F.exists(F.array(*wanted), inside))
+    return placed.where(reduce(lambda a, b: a | b, map(inside, wanted)))
 
 
 Step = tuple[int, int, float]

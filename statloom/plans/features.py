@@ -354,10 +354,13 @@ PPS_NUM, PPS_CAT = ["o_totalprice", "o_custkey"], ["o_orderstatus", "o_orderprio
 
 def pps_sql() -> str:
     def bin_of(c: str) -> str:
+        """A bin per value of few values, else one per 64th of the rows, by the exact quantiles."""
         if c in PPS_CAT:
             return c
-        lo, hi = f"(SELECT min({c})::double FROM orders)", f"(SELECT max({c})::double FROM orders)"
-        return f"least(15, floor(({c} - {lo}) / (({hi} - {lo}) / 16)))::int::varchar"
+        probs = [k / 64 for k in range(1, 64)]
+        values = f"(SELECT list(DISTINCT {c}::double) FROM orders)"
+        edges = f"CASE WHEN (SELECT count(DISTINCT {c}) FROM orders) <= 64 THEN {values} ELSE (SELECT list_distinct(quantile_cont({c}::double, {probs})) FROM orders) END"
+        return f"len(list_filter({edges}, lambda e: e < {c}))::varchar"
 
     parts = []
     for x in PPS_NUM + PPS_CAT:
@@ -389,6 +392,26 @@ def pps_sql() -> str:
     return f"SELECT x, y, round(score, 4)::double AS score FROM ({body})"
 
 
+STEPS = "CASE WHEN l_quantity <= 1 THEN 100 WHEN l_quantity <= 3 THEN -50 WHEN l_quantity <= 4 THEN 300 WHEN l_quantity <= 30 THEN 0 ELSE 80 END"
+
+
+@query(
+    "pps_steps",
+    "M9 J4",
+    "SELECT x, y, score::double AS score FROM (VALUES ('l_quantity', 'step', 1.0), ('l_quantity', 'band', 1.0)) t(x, y, score)",
+)
+def pps_steps(spark, root):
+    """Steps of very unequal widths: the tree tells them all, for a number and for classes."""
+    lines = table(spark, root, "lineitem").select(
+        F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey").alias("key"),
+        "l_quantity",
+        F.expr(STEPS).cast("double").alias("step"),
+        F.concat(F.lit("band "), F.expr(STEPS).cast("string")).alias("band"),
+    )
+    scores = power.pps_matrix(lines, "key", ["l_quantity", "step"], ["band"])
+    return rounded(scores.where("x = 'l_quantity' AND y <> x"), "score")
+
+
 def _pps(spark, root):
     orders = table(spark, root, "orders").select("o_orderkey", *PPS_NUM, *PPS_CAT)
     return power.pps_matrix(orders, "o_orderkey", PPS_NUM, PPS_CAT)
@@ -405,4 +428,4 @@ def pps_matrix(spark, root):
     "PIVOT (" + pps_sql() + ") ON y IN (" + ", ".join(f"'{c}'" for c in PPS_NUM + PPS_CAT) + ") USING max(score)",
 )
 def pps_pivot(spark, root):
-    return rounded(power.pps_wide(_pps(spark, root), PPS_NUM + PPS_CAT), *PPS_NUM, *PPS_CAT)
+    return rounded(power.pps_wide(_pps(spark, root)), *PPS_NUM, *PPS_CAT)
