@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.spans import joined, with_matches
+from statloom.llm.spans import blocks, bound, joined, part, with_matches
 from statloom.session import materialise
 
 BASE = {
@@ -246,20 +246,42 @@ def detect(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("d
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; what overlaps is replaced once."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    """The text with each span replaced by its kind in brackets; what overlaps is replaced once.
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
-        tag = F.when(s["start"] >= state["at"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.array_append(state["out"], F.concat(gap, tag)).alias("out"))
+    Spans are worked on in blocks, each on its own stretch of the text, so that the work does not grow
+    with matches times the length of the text."""
+    nowhere = F.lit(0).cast("long")
 
-    def finish(state: Column) -> Column:
-        rest = F.substring(text, (state["at"] + 1).cast("int"), F.char_length(text))
-        return F.concat(F.array_join(state["out"], ""), rest)
+    def stretch(ordered: Column, block: Column, begin: Column, end: Column) -> Column:
+        own = F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
+        start = F.struct(nowhere.alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+
+        def replaced(here: Column) -> Column:
+            def step(state: Column, s: Column) -> Column:
+                first, last = s["start"] - begin, s["end"] - begin
+                gap = F.substring(here, (state["at"] + 1).cast("int"), F.greatest(first - state["at"], nowhere).cast("int"))
+                tag = F.when(first >= state["at"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+                return F.struct(F.greatest(state["at"], last).alias("at"), F.array_append(state["out"], F.concat(gap, tag)).alias("out"))
+
+            return F.aggregate(part(ordered, block), start, step, lambda state: F.array_join(state["out"], ""))
+
+        return bound(own, replaced)
+
+    def all_of(ordered: Column) -> Column:
+        ends = F.aggregate(
+            blocks(ordered),
+            F.array(nowhere),
+            lambda at, block: F.array_append(at, F.greatest(F.element_at(at, -1), F.array_max(F.transform(part(ordered, block), lambda s: s["end"])))),
+        )
+
+        def joined_up(at: Column) -> Column:
+            done = F.transform(blocks(ordered), lambda block: stretch(ordered, block, F.get(at, block), F.get(at, block + 1)))
+            return F.concat(F.array_join(done, ""), F.substring(text, (F.element_at(at, -1) + 1).cast("int"), F.char_length(text)))
+
+        return bound(ends, joined_up)
 
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return F.when(F.size(spans) > 0, F.aggregate(ordered, start, step, finish)).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(ordered, all_of)).otherwise(text)
 
 
 def of_kind(kind: str) -> Callable[[Column], Column]:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from statloom.llm import pii, secrets
+from statloom.llm import pii, secrets, spans
 from statloom.llm import text as tx
 from statloom.llm import tokens as tk
 from statloom.llm.catalogue import QUERIES
@@ -278,3 +279,33 @@ def test_span_hashes_tell_spans_apart():
     starts, ends, _ = tx.words(data, np.array([0, len(data)]))
     hashes = tx.span_hashes(data, starts, ends)
     assert hashes[0] == hashes[1] and len(set(hashes.tolist())) == 3
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_spans_whatever_the_block(spark, monkeypatch, block):
+    """Numbers of matches around the size of a block, next to each other and apart."""
+    monkeypatch.setattr(spans, "BLOCK", block)
+    texts = [(i, ("x " * (i % 4)) + " é ".join(["a1", "b22", "a333"][: 1 + i % 3] * (i // 3)) + " tail") for i in range(30)]
+    rows = spark.createDataFrame(texts, "doc_id int, text string")
+    got = spans.with_matches(rows, "text", {"w": "[ab][0-9]+"}).collect()
+    for r in got:
+        want = [(m.start(), m.end(), m.group(), r.text[: m.start()][-48:], r.text[m.end() :][:24]) for m in re.finditer("[ab][0-9]+", r.text)]
+        close = lambda s: (s.start, s.end, s.hit)
+        assert [close(s) for s in r.w] == [w[:3] for w in want]
+        assert all(w[3].endswith(s.left) and w[4].startswith(s.right) for s, w in zip(r.w, want))
+    marked = spans.with_matches(rows, "text", {"w": "[ab][0-9]+"}).withColumn("spans", spans.tagged("w", F.col("w")))
+    for r in marked.select("text", pii.redact(F.col("text"), F.col("spans")).alias("out")).collect():
+        assert r.out == re.sub("[ab][0-9]+", "[W]", r.text)
+
+
+def test_many_matches_in_one_text(spark):
+    def seconds(n):
+        rows = spark.createDataFrame([(1, " ".join(f"write to user{i}@mail.example.org" for i in range(n)))], "doc_id long, text string")
+        found = pii.detect(rows)
+        start = time.time()
+        text = rows.crossJoin(found.select("spans")).select(F.size("spans").alias("n"), pii.redact(F.col("text"), F.col("spans")).alias("out")).first()
+        assert text.n == n and text.out == " ".join(["write to [EMAIL]"] * n)
+        return time.time() - start
+
+    few = seconds(8_000)
+    assert seconds(32_000) < 5 * max(few, 1)
