@@ -128,9 +128,9 @@ def prepared_lines(lines, fit_on):
     return features.column_transform(lines, numbers, ["l_returnflag"], keep=["l_orderkey", Y], fit_on=fit_on)
 
 
-def fitted_lines(spark, root):
+def fitted_lines(lines):
     """Models of the training rows, and the test rows under the preparation fitted to training rows."""
-    raw_train, raw_test = features.random_split(raw_lines(spark, root), "l_orderkey", 0.2)
+    raw_train, raw_test = features.random_split(lines, "l_orderkey", 0.2)
     train, test = (prepared_lines(d, raw_train) for d in (raw_train, raw_test))
     cols = [c for c in train.columns if c not in ("l_orderkey", Y)]
     plain = [c for c in cols if c != "mix"]
@@ -206,7 +206,7 @@ def interaction_metrics(spark, root):
 
 @query("model_comparison", "E10 L1 L2 L3 L4 L12")
 def model_comparison(spark, root):
-    fits, test = fitted_lines(spark, root)
+    fits, test = fitted_lines(raw_lines(spark, root))
     return rounded(
         evaluate.compare_models(test, Y, {k: f.predict() for k, f in fits.items()}), "mae", "rmse", "r2"
     )

@@ -13,8 +13,10 @@ from statloom.operators import (
     clean,
     edit,
     evaluate,
+    features,
     forest,
     infer,
+    power,
     profile,
     relate,
 )
@@ -291,13 +293,19 @@ def eda_report(spark, root):
     )
 
 
-@query("regression_report", "M1 M7 L1 L2 L3 L4 E1 E2 E3 E10 E11")
+@query("regression_report", "P4 F3 M1 M7 M8 L1 L2 L3 L4 E1 E2 E3 E10 E11")
 def regression_report(spark, root):
-    """Four linear models on held-out rows, and the coefficients of the best one."""
-    fits, test = models.fitted_lines(spark, root)
+    """Rename a column and overwrite extreme values, then four linear models on held-out rows, and the
+    coefficients of the best one."""
+    named = table(spark, root, "lineitem").withColumnRenamed("l_quantity", "amount").transform(edit.rename, {"amount": "l_quantity"})
+    extreme = F.col("l_tax") > 0.07
+    changed = named.agg(F.count_if(extreme).alias("changed")).withColumn("name", F.lit("l_tax"))
+    lines = named.transform(edit.overwrite_where, extreme, "l_tax", 0.04).transform(features.interaction, "l_quantity", "l_discount", "mix")
+    fits, test = models.fitted_lines(lines)
     metrics = evaluate.compare_models(test, models.Y, {k: f.predict() for k, f in fits.items()})
     best = fits[metrics.first()["model"]]
     return stack(
+        long_report(changed, "overwritten", "name", ["changed"]),
         long_report(metrics, "metrics", "model", ["mae", "rmse", "r2"]),
         long_report(best.table(spark), "best model", "feature", ["coefficient"]),
     )
@@ -356,27 +364,70 @@ def classification_report(spark, root):
     )
 
 
-@query("preparation_report", "C9 C6 C5 I12 M5 M6 X14 F6 M10 M11 L11")
-def preparation_report(spark, root):
-    """Encode a mixed table, flag its anomalies, and count the flags per target class."""
+PREPARED = ["o_orderstatus_O", "o_orderstatus_P", "o_orderpriority", "is_large", "o_totalprice_log"]
+STEPS_SQL = f"""
+    WITH e AS MATERIALIZED (SELECT * FROM ({REGISTRY["encode_chain"].sql}))
+    SELECT 'sentinel' AS section, 'o_orderpriority' AS name, 'hits' AS measure, count(*) FILTER (o_orderkey % 11 = 0)::double AS value FROM orders
+    UNION ALL SELECT 'sentinel', 'o_orderstatus', 'hits', 0
+""" + "".join(
+    f"""
+    UNION ALL SELECT 'categories', '{c}', 'n_distinct', count(DISTINCT {c})::double FROM e
+    UNION ALL SELECT 'skew', '{c}', 'skew', round(skewness({c}), 4) FROM e
+    UNION ALL SELECT 'standard', '{c}', unnest(['low', 'high']), unnest([round((min({c}) - avg({c})) / stddev_pop({c}), 4), round((max({c}) - avg({c})) / stddev_pop({c}), 4)]) FROM e
+    UNION ALL SELECT 'minmax', '{c}', 'mean', round((avg({c}) - min({c})) / (max({c}) - min({c})), 4) FROM e
+    """
+    for c in PREPARED
+)
+
+
+def preparation(spark, root) -> tuple[DataFrame, DataFrame]:
+    """The encoded orders, and the rows of the report that describe them."""
+    raw = table(spark, root, "orders").select("o_orderstatus", F.when(F.col("o_orderkey") % 11 == 0, " ?").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
     encoded = materialise(REGISTRY["encode_chain"].run(spark, root), "encoded")
-    numeric = [c for c in profile.columns_by_type(encoded, "numeric") if c != "o_orderkey"]
-    flagged = forest.flag_outliers(encoded, numeric, "o_orderkey")
+    standard = profile.per_column(features.standard_scale(encoded, PREPARED), PREPARED, {"low": F.min, "high": F.max})
+    minmax = profile.per_column(features.minmax_scale(encoded, PREPARED), PREPARED, {"mean": F.avg})
+    return encoded, stack(
+        long_report(profile.sentinel_counts(raw, " ?"), "sentinel", "column", ["hits"]),
+        long_report(profile.cardinality(encoded, PREPARED), "categories", "column", ["n_distinct"]),
+        long_report(profile.skew_ranking(encoded, PREPARED), "skew", "column", ["skew"]),
+        long_report(standard, "standard", "column", ["low", "high"]),
+        long_report(minmax, "minmax", "column", ["mean"]),
+    )
+
+
+@query("preparation_steps", "I8 I12 M3 M4 M10 M15", STEPS_SQL)
+def preparation_steps(spark, root):
+    """The part of the preparation report that SQL can follow."""
+    return preparation(spark, root)[1]
+
+
+@query("preparation_report", "I8 C9 C6 C5 M3 M4 I12 M5 M6 X14 F6 M10 M11 L11 M9 D5")
+def preparation_report(spark, root):
+    """Encode a mixed table, scale and describe it, flag its anomalies, count the flags per target class,
+    and score the power of each column for each other, as a wide table melted again."""
+    encoded, described = preparation(spark, root)
+    flagged = forest.flag_outliers(encoded, PREPARED, "o_orderkey")
     flags = flagged.groupBy("outlier_flag", "band").agg(F.count(F.lit(1)).alias("n"))
-    skews = profile.skew_ranking(encoded, numeric)
+    named = encoded.withColumn("band", F.concat(F.lit("band "), F.col("band").cast("string")))
+    wide = power.pps_wide(power.pps_matrix(named, "o_orderkey", PREPARED, ["band"]))
+    scores = relate.melt(wide, ["x"], [*PREPARED, "band"]).withColumn("name", F.concat_ws("/", "x", "column"))
     return stack(
-        long_report(
-            flags.withColumn("name", F.concat_ws("/", "outlier_flag", "band")), "flags", "name", ["n"]
-        ),
-        long_report(skews, "skew", "column", ["skew"]),
+        described,
+        long_report(flags.withColumn("name", F.concat_ws("/", "outlier_flag", "band")), "flags", "name", ["n"]),
+        long_report(scores, "power", "name", ["value"]),
     )
 
 
-@query("svm_report", "I5 G17 M2 M3 L6 L7 L8 E6 E8 L10")
+@query("svm_report", "I5 G17 M2 M3 M12 L6 L7 L8 L9 L10 E6 E8 E13")
 def svm_report(spark, root):
-    """Describe the training rows, compare kernels, and report on a Gaussian-kernel machine."""
+    """Describe the training rows and their main components, compare kernels, report on a Gaussian machine
+    and on the grid of its settings. All Gaussian and cubic machines are fitted at once."""
     train, test, cols = models.embedded(spark, root)
-    kernels = classify.compare_kernels(train, test, cols, "label", "vec_id", ["linear", "poly", "rbf"])
+    plane = features.fit_pca(train, cols, 2, standardise=False)
+    parts = spark.createDataFrame([(f"pc{i + 1}", float(v)) for i, v in enumerate(plane.variance)], "name string, variance double")
+    compared = classify.compare_kernels(train, test, cols, "label", "vec_id", ["linear", "poly", "rbf"])
+    grid = classify.grid_search(train, cols, "label", "vec_id")
+    grid = grid.withColumn("name", F.concat(F.lit("C="), F.col("c").cast("string"), F.lit(" gamma="), F.col("gamma")))
     scored = classify.fit_kernel_svm(train, test, cols, "label", "vec_id", "rbf", c=1.0, gamma=0.1)
     scored = materialise(scored.select("vec_id", "label", "prediction"), "predictions")
     per_class = evaluate.classification_report(scored, "label", "prediction")
@@ -385,9 +436,11 @@ def svm_report(spark, root):
     )
     r = profile.correlations(train, cols).withColumn("name", F.concat_ws("/", "x", "y"))
     return stack(
-        long_report(profile.describe(train, cols), "describe", "column", ["mean", "std", "median"]),
-        long_report(kernels, "kernels", "kernel", ["accuracy"]),
+        long_report(profile.describe(train, cols), "describe", "column", STATS),
+        long_report(r, "correlation", "name", ["r"]),
+        long_report(parts, "components", "name", ["variance"]),
+        long_report(compared, "kernels", "kernel", ["accuracy"]),
+        long_report(grid, "grid", "name", ["accuracy", "rank"]),
         long_report(per_class, "classes", "label", ["precision", "recall", "f1", "support"]),
         long_report(pairs, "confusion", "name", ["n"]),
-        long_report(r, "correlation", "name", ["r"]),
     )
