@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from statloom.functions import scalar
-from statloom.operators import clean, features, infer, linear, power, profile, ranks, relate, stages
+from statloom.operators import classify, clean, evaluate, features, infer, linear, power, profile, ranks, relate, stages
 
 
 def test_numbers_of_doubles_keep_their_order(spark):
@@ -183,3 +183,52 @@ def test_large_primes(spark):
     assert got == set(primes)
     small = {r.id for r in spark.range(3000).where(scalar.is_prime(F.col("id"))).collect()}
     assert small == {n for n in range(2, 3000) if all(n % d for d in range(2, math.isqrt(n) + 1))}
+
+
+def test_least_squares_of_nearly_equal_features(spark):
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=3000) * 100 + 1e4
+    b = a + 1e-6 * rng.normal(size=3000)
+    frame = pd.DataFrame({"a": a, "b": b, "c": rng.normal(size=3000)}).assign(y=lambda d: d.a + 2 * d.b - 3 * d.c + 5)
+    fit = linear.ols(spark.createDataFrame(frame).repartition(5), ["a", "b", "c"], "y")
+    assert fit.coef == pytest.approx([1, 2, -3], abs=1e-4) and fit.intercept == pytest.approx(5, abs=1e-4)
+    unit = pd.DataFrame({"a": rng.normal(size=2000)}).assign(b=lambda d: d.a + 1e-8 * rng.normal(size=2000), y=lambda d: d.a + 2 * d.b)
+    assert linear.ols(spark.createDataFrame(unit), ["a", "b"], "y").coef == pytest.approx([1, 2], abs=1e-6)
+    twin = frame.assign(b=frame.a)
+    same = linear.ols(spark.createDataFrame(twin), ["a", "b"], "y")
+    assert same.coef[0] == pytest.approx(same.coef[1]) and np.isfinite(same.intercept)
+
+
+def test_newton_finds_the_optimum(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 3)) * [1, 10, 0.1] + [0, 5, -2]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [1.0, -0.2, 3.0] + 7)))).astype(float)
+    frame = pd.DataFrame(x, columns=list("abc")).assign(y=y)
+    frame.loc[0, "a"] = np.nan
+    for c in (0.01, 1.0, 100.0):
+        fit = classify.fit_logistic(spark.createDataFrame(frame), list("abc"), "y", c)
+        z = x[1:] @ fit.coef + fit.intercept
+        p = 1 / (1 + np.exp(-z))
+        slope = c * (x[1:].T @ (p - y[1:])) + fit.coef
+        assert np.abs(slope).max() < 1e-6 * c * 400 and abs((p - y[1:]).sum()) < 1e-6 * 400
+        assert fit.steps < 30
+    apart = spark.createDataFrame([(float(i), float(i > 5)) for i in range(12)], "a double, y double")
+    assert classify.fit_logistic(apart, ["a"], "y", 1e6).coef[0] > 1
+
+
+def test_too_many_classes_are_refused(spark):
+    rows = spark.range(20).select(F.col("id").alias("a"), (F.col("id") % 3).alias("p"))
+    with pytest.raises(ValueError, match="more than 5 classes"):
+        evaluate.confusion(rows, "a", "p", most=5)
+    assert evaluate.confusion(rows.where("a < 3"), "a", "p").count() == 9
+
+
+def test_trees_of_one_feature(spark):
+    rows = spark.range(3000).select(
+        F.col("id").alias("key"), (F.col("id") % 40).cast("double").alias("x"), F.when(F.col("id") % 40 < 2, 5.0).otherwise(F.when(F.col("id") % 40 < 3, -40.0).otherwise(1.0)).alias("y"),
+        F.concat(F.lit("k"), (F.col("id") % 500).cast("string")).alias("wide"), F.when(F.col("id") % 7 > 0, F.lit("only")).alias("one"),
+    )
+    scores = {(r.x, r.y): r.score for r in power.pps_matrix(rows, "key", ["x", "y"], ["wide", "one"]).collect()}
+    assert len(scores) == 16 and all(0 <= s <= 1 for s in scores.values())
+    assert scores[("x", "y")] == 1 and scores[("y", "x")] < 0.3 and scores[("one", "x")] == 0
+    assert power.pps_matrix(rows.limit(0), "key", ["x", "y"], ["one"]).where("x <> y and score <> 0").count() == 0
