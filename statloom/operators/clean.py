@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from statloom.functions.scalar import clip
 from statloom.operators import edit, profile, ranks
 from statloom.operators.ranks import col
+from statloom.session import materialise
 
 
 def present(c: Column) -> Column:
@@ -132,18 +133,21 @@ def clean_measurements(
 ) -> DataFrame:
     """Cleaning chain in its fixed order: mean, median and mode fills, class membership, negatives
     to the median of the rows kept so far, distinct rows, integer label. The three fills touch
-    different columns, so all of them are fitted on the raw table. The medians of the second half
-    depend on the fills, so the statistics, one row each time, are computed as the chain is built."""
+    different columns, so all of them are fitted on the raw table and computed once. The rows that are
+    kept are written before the medians of the second half, which depend on them."""
     measures, classed = [*mean_cols, *median_cols], [*mode_cols, label]
     modes = df.sparkSession.range(1).select(*[v.alias(c) for c, v in mode_values(df, classed).items()])
     mode = F.col("__mode")
-    return (
+    filled = (
         df.transform(fill_with, ranks.fixed(mean_row(df, mean_cols)), mean_cols)
         .transform(fill_with, ranks.fixed(median_row(df, median_cols)), median_cols)
         .transform(ranks.attach, ranks.fixed(modes), "__mode")
         .withColumns({c: F.coalesce(ranks.observed(df, c), mode[c]) for c in classed})
         .drop("__mode")
         .transform(edit.keep_members, label, classes)
+    )
+    return (
+        materialise(filled, "filled")
         .transform(edit.negatives_to_median, measures, now=True)
         .transform(distinct_rows)
         .transform(edit.cast, {label: "int"})
