@@ -13,9 +13,8 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +24,6 @@ from statloom.operators.kernels import Machine
 from statloom.operators.ranks import col
 
 
-def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select(
-        *[col(c) for c in keep], "features"
-    )
-
-
 def compact(df: DataFrame, rows: int, width: int, bytes_each: int = 64 << 20) -> DataFrame:
     """Deal a mapped training table out to partitions of `bytes_each`: every step of an optimizer is
     a job, so its cost is the number of tasks. The mapping itself runs before, in as many tasks as
@@ -38,20 +31,6 @@ def compact(df: DataFrame, rows: int, width: int, bytes_each: int = 64 << 20) ->
     return df.repartition(max(1, -(-rows * width * 8 // bytes_each)))
 
 
-def logistic(n: int, c: float = 1.0, label: str = "label", max_iter: int = 1000) -> LogisticRegression:
-    """Logistic regression with a squared penalty on the coefficients and none on the intercept.
-    Features are used as given."""
-    return LogisticRegression(
-        featuresCol="features",
-        labelCol=label,
-        regParam=1.0 / (c * n),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=1e-9,
-    )
-
-
 @dataclass(frozen=True)
 class LogisticFit:
     """Coefficients in the units of the columns as given."""
@@ -69,7 +48,8 @@ class LogisticFit:
 
 
 def fit_logistic(df: DataFrame, cols: Sequence[str], label: str, c: float = 1.0, tol: float = 1e-10, most: int = 100) -> LogisticFit:
-    """Logistic regression as `logistic`, by Newton's method on the complete rows.
+    """Logistic regression with a squared penalty on the coefficients and none on the intercept, by Newton's
+    method on the complete rows. Features are used as given.
 
     Each step is one pass in which tasks add up loss, gradient and curvature, matrices of the size of
     the column list. Steps that do not lower the loss are halved; a fit that needs more than `most`
@@ -128,11 +108,6 @@ def linear_svm(n: int, c: float = 1.0, label: str = "label", max_iter: int = 100
     )
 
 
-def probability_of_one(df: DataFrame, name: str = "probability") -> Column:
-    """P(class 1); a class is called at 0.5 and above."""
-    return F.get(vector_to_array(col(name)), 1)
-
-
 def gamma_scale(moments: linear.Moments) -> float:
     """1 / (d Var(X)), the variance taken over all entries of the feature matrix."""
     spread = float(np.mean(np.diag(moments.cov)) + np.var(moments.mean))

@@ -1,17 +1,18 @@
 """Stages of our own for pipelines that are saved and loaded: an interaction, scaling by the population
-deviation, and flags for categories. What a stage has learnt is a parameter, so it is saved with it.
+deviation, flags for categories, and a logistic model. What a stage has learnt is a parameter, so it is saved with it.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasLabelCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.operators import features, ranks
+from statloom.operators import classify, features, ranks
 from statloom.operators.ranks import col
 
 
@@ -92,3 +93,33 @@ class CategoryFlagsModel(Model, HasInputCol, Stage):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         name = self.getInputCol()
         return features.one_hot(dataset, [name], categories={name: self.getOrDefault(self.categories)})
+
+
+class NewtonLogistic(Estimator, HasInputCols, HasLabelCol, HasOutputCol, Stage):
+    """Logistic regression by Newton's method, see `classify.fit_logistic`; `c` is the inverse penalty."""
+
+    c = Param(Params._dummy(), "c", "inverse of the penalty", TypeConverters.toFloat)
+
+    def __init__(self, inputCols: list[str] | None = None, labelCol: str | None = None, outputCol: str | None = None, c: float | None = None):
+        super().__init__()
+        self._setDefault(c=1.0)
+        self._given(inputCols=inputCols, labelCol=labelCol, outputCol=outputCol, c=c)
+
+    def _fit(self, dataset: DataFrame) -> NewtonLogisticModel:
+        fit = classify.fit_logistic(dataset, self.getInputCols(), self.getLabelCol(), self.getOrDefault(self.c))
+        return NewtonLogisticModel(self.getInputCols(), self.getOutputCol(), fit.intercept, [float(w) for w in fit.coef])
+
+
+class NewtonLogisticModel(Model, HasInputCols, HasOutputCol, Stage):
+    """Adds the probability of class 1, a column expression; null where an input is."""
+
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+    weights = Param(Params._dummy(), "weights", "coefficient of each column", TypeConverters.toListFloat)
+
+    def __init__(self, inputCols: list[str] | None = None, outputCol: str | None = None, intercept: float | None = None, weights: list[float] | None = None):
+        super().__init__()
+        self._given(inputCols=inputCols, outputCol=outputCol, intercept=intercept, weights=weights)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fit = classify.LogisticFit(tuple(self.getInputCols()), self.getOrDefault(self.intercept), np.array(self.getOrDefault(self.weights)), 0)
+        return dataset.withColumn(self.getOutputCol(), fit.probability())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.scalar import day_first_date
 from statloom.operators import clean, edit
-from statloom.plans.profiling import MEASURES, rounded, with_gaps, with_nan
+from statloom.plans.profiling import rounded, with_gaps, with_nan
 from statloom.plans.registry import query
 from statloom.sources.tables import read_csv, table, write_csv
 from statloom.session import scratch_path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from statloom.operators import features, linear, power, profile, stages
+from statloom.operators import features, power, profile, stages
 from statloom.plans.cleaning import LINE_KEY
 from statloom.plans.profiling import MEASURES, each, rounded, with_nan
 from statloom.plans.registry import query
@@ -339,6 +339,37 @@ def pca_2d(spark, root):
     return measured.select(F.inline(rows))
 
 
+@query(
+    "pca_eigen",
+    "M12",
+    """
+    SELECT k AS component, 64::bigint AS loadings_that_hold, true AS centred, true AS unit, true AS in_order, true AS signed
+    FROM (VALUES (1), (2)) t(k)
+    """,
+)
+def pca_eigen(spark, root):
+    """Whether the components of the embeddings are principal ones, measured on the projected rows: the
+    covariance of each standardised column with a component is variance times loading, components
+    are centred, loadings have length one, variances fall, and the largest loading is positive."""
+    base = table(spark, root, "embeddings")
+    names = [f"d{i}" for i in range(64)]
+    wide = base.select(*[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(names)])
+    fit = features.fit_pca(wide, names, 2)
+    projected = wide.select("*", *fit.columns())
+    sums = projected.agg(
+        *[F.covar_samp(F.col(n) / F.lit(float(fit.scale[j])), f"pc{k}").alias(f"c{k}_{j}") for k in (1, 2) for j, n in enumerate(names)],
+        *[f(f"pc{k}").alias(f"{m}{k}") for k in (1, 2) for m, f in (("mean", F.avg), ("var", F.var_samp))],
+    ).first()
+    rows = []
+    for k in (1, 2):
+        loading = fit.loadings[k - 1]
+        holds = sum(abs(sums[f"c{k}_{j}"] - sums[f"var{k}"] * loading[j]) < 1e-9 for j in range(64))
+        unit, signed = abs(float(loading @ loading) - 1) < 1e-9, bool(loading[abs(loading).argmax()] > 0)
+        rows.append((k, int(holds), abs(sums[f"mean{k}"]) < 1e-9, unit, sums["var1"] >= sums["var2"], signed))
+    kinds = "component int, loadings_that_hold long, centred boolean, unit boolean, in_order boolean, signed boolean"
+    return spark.createDataFrame(rows, kinds)
+
+
 @query("pca_embeddings", "M12 M14")
 def pca_embeddings(spark, root):
     """Two components of all 64 embedding dimensions."""

@@ -215,6 +215,28 @@ def model_comparison(spark, root):
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "lang_en", "lang_es", "lang_fr"]
 
 
+@query(
+    "lasso_optimality",
+    "L4 L3 L12",
+    f"SELECT unnest({COEF_NAMES}) AS feature, true AS optimal",
+)
+def lasso_optimality(spark, root):
+    """The lasso of the cross-validated penalty on six features: the mean product of each feature with
+    the residual is the penalty, with the sign of its coefficient, or smaller where that is zero."""
+    lines = raw_lines(spark, root)
+    data = prepared_lines(lines, lines).withColumn("fold", features.key_hash(F.col("l_orderkey"), "fold") % 5)
+    cols = [c for c in data.columns if c not in ("l_orderkey", "fold", Y)]
+    fit, _ = linear.lasso_cv(data, cols, Y, "fold")
+    rest = F.col(Y) - fit.predict()
+    slopes = data.agg(*[F.covar_pop(c, rest).alias(c) for c in cols]).first()
+    near = lambda a, b: abs(a - b) <= 1e-6 * max(1.0, abs(b))
+    rows = []
+    for c, w in zip(cols, fit.coef):
+        s, a = slopes[c], fit.penalty
+        rows.append((c, near(s, a if w > 0 else -a) if w else abs(s) <= a * (1 + 1e-9)))
+    return spark.createDataFrame([(c, bool(o)) for c, o in rows], "feature string, optimal boolean")
+
+
 def labelled_documents(spark, root):
     """Standardised features of the labelled documents, their label and an exact stratified flag."""
     docs = table(spark, root, "documents").select(

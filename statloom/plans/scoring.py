@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from statloom.plans.models import logistic_sql
 from statloom.plans.profiling import rounded
 from statloom.plans.registry import query
 from statloom.session import scratch_path
@@ -60,13 +61,25 @@ def impute_in_pipeline(spark, root):
     return rounded(loaded.stages[0].transform(rows).select("c_custkey", F.col("__c_acctbal").alias("filled")), "filled")
 
 
-@query("score_batch", "T1 S8 L12 L13 F14")
+SCORE_SQL = f"""
+    WITH a AS (SELECT c_custkey, c_acctbal AS f1, c_nationkey::double AS f2, (c_mktsegment IN ('BUILDING', 'MACHINERY'))::int::double AS y
+               FROM customer WHERE c_acctbal BETWEEN 0 AND 9000),
+    m AS (SELECT avg(f1) AS m1, stddev_pop(f1) AS s1, avg(f2) AS m2, stddev_pop(f2) AS s2 FROM a),
+    train AS MATERIALIZED (SELECT c_custkey, y, 1.0::double AS x0, (f1 - m1) / s1 AS x1, (f2 - m2) / s2 AS x2 FROM a, m),
+    {logistic_sql(3)},
+    p AS (SELECT c_custkey, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM train, w10)
+    SELECT c_custkey, round(p, 4) AS p1, printf('%.1f%%', p * 100) AS percent, (p >= 0.5)::int AS predicted,
+           CASE WHEN p >= 0.5 THEN 'High risk' ELSE 'Low risk' END AS risk FROM p
+"""
+
+
+@query("score_batch", "T1 S8 L12 L13 F14", SCORE_SQL)
 def score_batch(spark, root):
     scored = scoring.score(table(spark, root, "customer"), saved_model(spark, root), CONTRACT, ["c_custkey"])
     return rounded(scored, "p1")
 
 
-@query("score_stream", "T1 S8")
+@query("score_stream", "T1 S8", SCORE_SQL)
 def score_stream(spark, root):
     """The customers as a file stream; the result is read back from the sink."""
     # A pattern, so that the table may be one file or a folder of files.

@@ -10,14 +10,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.operators import classify, ranks
+from statloom.operators import ranks, stages
 from statloom.operators.ranks import col
 
+PROBABILITY = "__p1"
+
 
 @dataclass(frozen=True)
 class Field:
@@ -69,29 +70,23 @@ def train_pipeline(df: DataFrame, cols: Sequence[str], label: str, c: float = 1.
     """Median fill, population-scaled features and a logistic model as one saveable pipeline. The
     medians are exact and travel as literals of the first stage."""
     med = ranks.quantile_row(df, cols, {"median": 0.5}).first()
-    n = df.where(col(label).isNotNull()).count()
     filled = ", ".join(
         f"coalesce(CAST(`{k}` AS DOUBLE), {med[k]['median']!r}D) AS `__{k}`" for k in cols
     )
-    # The scaler divides by the sample deviation; this brings it to the population deviation.
-    stretch = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
-    stages = [
+    inputs = [f"__{k}" for k in cols]
+    plan = [
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"__{k}" for k in cols], outputCol="__raw"),
-        StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True),
-        ElementwiseProduct(
-            inputCol="__scaled", outputCol="features", scalingVec=Vectors.dense([stretch] * len(cols))
-        ),
-        classify.logistic(n, c, label),
+        stages.PopulationScaler(inputs),
+        stages.NewtonLogistic(inputs, label, PROBABILITY, c),
     ]
-    return Pipeline(stages=stages).fit(df.where(col(label).isNotNull()))
+    return Pipeline(stages=plan).fit(df.where(col(label).isNotNull()))
 
 
 def score(df: DataFrame, model: PipelineModel, contract: Contract, keys: Sequence[str]) -> DataFrame:
     """(keys..., probability, percent, predicted, risk) of the accepted rows. Works on a batch and
     on a stream alike."""
     scored = model.transform(accepted(df, contract))
-    p = classify.probability_of_one(scored)
+    p = F.col(PROBABILITY)
     high = p >= 0.5
     return scored.select(
         *[col(k) for k in keys],
