@@ -24,6 +24,8 @@ from statloom.llm import text as tx
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 15
 BLOCK = 64
+LOWERED_ROWS = 512
+SLICE_BYTES = 1 << 20
 STRETCH_WORDS = 16
 LETTER = np.zeros(256, dtype=bool)
 LETTER[np.r_[0x41:0x5B, 0x61:0x7B, 0x80:0x100]] = True
@@ -188,9 +190,14 @@ def train(texts: list[str], labels: list[np.ndarray], names: list[str], steps: i
 
 
 def lower_slices(texts: pa.Array):
-    """Slices of the lower-cased texts with their words: data, text offsets, starts, ends, owners."""
-    for data, offsets in tx.pieces(pc.utf8_lower(texts)):
-        yield data, offsets, *tx.runs(LETTER[data], offsets)
+    """Slices of the lower-cased texts with their words: data, text offsets, starts, ends, owners.
+
+    Texts are lower-cased a few at a time, so that a batch is not held twice, and what a slice took is
+    given back before the next one."""
+    for start in range(0, len(texts), LOWERED_ROWS):
+        for data, offsets in tx.pieces(pc.utf8_lower(texts.slice(start, LOWERED_ROWS)), SLICE_BYTES):
+            yield data, offsets, *tx.runs(LETTER[data], offsets)
+        pa.default_memory_pool().release_unused()
 
 
 def sample_stretches(most: int):
