@@ -14,6 +14,7 @@ from statloom.session import materialise
 
 ROOT_TWO_PI = 2.5066282746310002
 FEW_GROUPS = 10_000
+CELLS = 128
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -92,9 +93,10 @@ def density(
     """Gaussian kernel density on an even grid over [min - cut*h, max + cut*h] with Scott's
     bandwidth h = s * n^(-1/5): (by..., point, x, density).
 
-    Every row adds to `points` running sums inside the partial aggregate; nothing is paired with
-    the grid, and one row per group leaves each task. Up to FEW_GROUPS groups, which are counted first,
-    their bandwidths are sent to the rows, so that no row is shuffled.
+    Rows are first summed into cells of a CELLS-th of the bandwidth: each gives its four nearest cell edges
+    the weights of cubic interpolation, which keeps the kernel sums to about nine digits. Only cells
+    are shuffled, and kernels are computed for cells, not for rows. Up to FEW_GROUPS groups, which are
+    counted first, bandwidths are sent to the rows.
     """
     numbers = df.select(*[col(b) for b in by], col(value).cast("double").alias("__v")).where(
         "__v IS NOT NULL AND NOT isnan(__v)"
@@ -115,11 +117,23 @@ def density(
     low = F.col("__lo") - cut * F.col("__h")
     step = (F.col("__hi") - F.col("__lo") + 2 * cut * F.col("__h")) / (points - 1)
     shape = joined.withColumn("__low", low).withColumn("__step", step)
+    place = (F.col("__v") - F.col("__lo")) * CELLS / F.col("__h")
+    w = F.col("__w")
+    weights = [-w * (w - 1) * (w - 2) / 6, (w + 1) * (w - 1) * (w - 2) / 2, -(w + 1) * w * (w - 2) / 2, (w + 1) * w * (w - 1) / 6]
+    frame = ["__n", "__h", "__lo", "__low", "__step"]
+    cells = (
+        shape.withColumn("__cell", F.floor(place))
+        .withColumn("__w", place - F.col("__cell"))
+        .groupBy(*by, *frame, "__cell")
+        .agg(F.array(*[F.sum(x) for x in weights]).alias("__weights"))
+        .select(*by, *frame, "__cell", F.posexplode("__weights").alias("__edge", "__weight"))
+        .withColumn("__v", F.col("__lo") + (F.col("__cell") + F.col("__edge") - 1) * F.col("__h") / CELLS)
+    )
     kernels = [
-        F.expr(f"sum(exp(-0.5D * pow((__low + {i} * __step - __v) / __h, 2))) AS k{i}")
+        F.expr(f"sum(__weight * exp(-0.5D * pow((__low + {i} * __step - __v) / __h, 2))) AS k{i}")
         for i in range(points)
     ]
-    sums = shape.groupBy(*by, "__n", "__h", "__low", "__step").agg(*kernels)
+    sums = cells.groupBy(*by, "__n", "__h", "__low", "__step").agg(*kernels)
     curve = sums.select(
         *by, "__n", "__h", "__low", "__step", F.array(*[f"k{i}" for i in range(points)]).alias("k")
     ).select(*by, "__n", "__h", "__low", "__step", F.posexplode("k").alias("point", "k"))
