@@ -1,8 +1,8 @@
 """Order statistics that never put a whole column, or a whole group, into one task.
 
-Each value has an order-preserving 64-bit integer, the bits of the double. Values are counted by its
-leading bits with map-side combining; only the cells that hold a wanted rank are counted again, by
-further bits, until such a cell holds one value or few rows, and then its values are ranked. How the
+Values are counted by 256ths of an octave with map-side combining; only the cells that hold a wanted
+rank are counted again, by further bits of an order-preserving 64-bit integer, the bits of the double,
+until such a cell holds one value or few rows, and then its values are ranked. How the
 values lie makes no difference: an offset, an outlier or an infinity costs another round at most.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from statloom.session import materialise, shared_dir
 
-# Sign, exponent and eight bits of the mantissa lead; each round looks at twelve more.
+# A first cell has about the sign, the exponent and eight bits of the mantissa in common; each round
+# looks at twelve more bits.
 LEADING_SHIFT, ROUND_BITS = 44, 12
 OPEN_ROWS = 10_000
 SMALLEST_NORMAL = 2.0**-1022
@@ -83,6 +84,14 @@ def extent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def leading(value: Column) -> Column:
+    """A number in the order of the doubles, one for each 256th of an octave: about what the leading bits
+    tell, for less work. Zero is 0 and infinities are beyond all others."""
+    size = F.abs(value)
+    octaves = F.floor(F.log2(size) * 256) + 1075 * 256 + 1
+    return F.signum(value).cast("bigint") * F.when(size == 0, 0).when(size == float("inf"), 1 << 40).otherwise(octaves)
+
+
 Ranks = Callable[[Column], list[Column]]
 """The wanted 0-based ranks, from the number of values."""
 
@@ -95,9 +104,9 @@ def quantile_ranks(probs: dict[str, float]) -> Ranks:
     return wanted
 
 
-def counted(rows: DataFrame, keys: Sequence[str], shift: int) -> DataFrame:
-    """Counts of (keys..., number, value, n) by the bits of `number` above `shift`."""
-    return rows.groupBy(*keys, F.shiftright("number", shift).alias("cell")).agg(
+def counted(rows: DataFrame, keys: Sequence[str], cell: Column) -> DataFrame:
+    """Counts of (keys..., value, n) by cell."""
+    return rows.groupBy(*keys, cell.alias("cell")).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"), F.max("value").alias("most")
     )
 
@@ -132,7 +141,7 @@ def order_statistics(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> dict
     rows = rows.withColumn("number", sortable(F.col("value")))
     kinds = [rows.schema[k] for k in keys]
     out: dict[tuple, tuple[int, list[Step]]] = {}
-    counts, parents, shift, opened = counted(rows, keys, LEADING_SHIFT), [*keys], LEADING_SHIFT, []
+    counts, parents, shift, opened = counted(rows, keys, leading(F.col("value"))), [*keys], LEADING_SHIFT, []
 
     def note(row, value: float) -> None:
         _, steps = out.setdefault(tuple(row[k] for k in keys), (row["n_total"], []))
@@ -158,7 +167,7 @@ def order_statistics(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> dict
             break
         shift = max(shift - ROUND_BITS, 0)
         parents = [*keys, "part", "before", "n_total"]
-        counts = counted(below(crowded), parents, shift)
+        counts = counted(below(crowded), parents, F.shiftright("number", shift))
     if opened:
         parents = [*keys, "part", "before", "n_total"]
         values = below(opened).groupBy(*parents, "value").agg(F.sum("n").alias("n"))
@@ -191,7 +200,7 @@ def many_quantiles(freq: DataFrame, keys: Sequence[str], probs: dict[str, float]
     cells stay tables and are joined; a key that holds most rows is spread, as the values are."""
     kept = materialise(freq.withColumn("number", sortable(F.col("value"))), "values")
     ranks, shift, opened = quantile_ranks(probs), LEADING_SHIFT, []
-    counts, parents = counted(kept, keys, shift), [*keys]
+    counts, parents = counted(kept, keys, F.shiftright("number", shift)), [*keys]
     crowded = (F.col("least") < F.col("most")) & (F.col("rows") > OPEN_ROWS)
     while True:
         found = materialise(holding(counts, parents, "cell", ranks), "cells")
@@ -202,7 +211,8 @@ def many_quantiles(freq: DataFrame, keys: Sequence[str], probs: dict[str, float]
         if cells.where(crowded).isEmpty():
             break
         shift = max(shift - ROUND_BITS, 0)
-        counts = counted(placed.join(cells.where(crowded).drop("least", "most", "rows"), [*keys, "part"]), parents, shift)
+        inside = placed.join(cells.where(crowded).drop("least", "most", "rows"), [*keys, "part"])
+        counts = counted(inside, parents, F.shiftright("number", shift))
     values = opened[0]
     for more in opened[1:]:
         values = values.union(more)
