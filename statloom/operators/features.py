@@ -159,9 +159,9 @@ def one_hot(
 
 
 def category_index(df: DataFrame, name: str) -> DataFrame:
-    """(name, code): the distinct values numbered from 0 in their own order, by a distributed sort."""
+    """(name, __code): the distinct values numbered from 0 in their own order, by a distributed sort."""
     values = df.select(col(name)).where(col(name).isNotNull()).distinct()
-    return ranks.positional_index(values, [name], "code")
+    return ranks.positional_index(values, [name], "__code")
 
 
 def one_hot_slots(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -173,7 +173,7 @@ def one_hot_slots(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     for c in cols:
         index = category_index(df if fit_on is None else fit_on, c)
         size = index.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0))).scalar()
-        slots = index.select(col(c), F.nullif(F.col("code") - 1, F.lit(-1)).alias("__slot"))
+        slots = index.select(col(c), F.nullif(F.col("__code") - 1, F.lit(-1)).alias("__slot"))
         out = out.join(slots, c, "left").withColumns({f"{c}_size": size, f"{c}_slot": F.col("__slot")}).drop("__slot")
     kept = [n for c in df.columns for n in ([f"{c}_size", f"{c}_slot"] if c in cols else [c])]
     return out.select(*[col(n) for n in kept])
@@ -205,7 +205,7 @@ def label_encode(
             place = F.array_position(F.array(*[F.lit(v) for v in known[c]]), col(c).cast("string"))
             out = out.withColumn(c, F.when(place > 0, place - 1).cast("bigint"))
         else:
-            codes = category_index(df, c).withColumnRenamed("code", "__code")
+            codes = category_index(df, c)
             out = out.join(codes, c, "left").withColumn(c, F.col("__code")).drop("__code")
     return out.select(*[col(c) for c in df.columns])
 

@@ -117,6 +117,9 @@ def test_codes_of_numbers_follow_their_order(spark):
         rows = spark.range(n).select(F.col("id").cast("int").alias("k"), F.col("id").alias("at"))
         assert features.label_encode(rows, ["k"]).where("k <> at").count() == 0
     assert features.one_hot(spark.range(1, 13).toDF("k"), ["k"]).columns == [f"k_{i}" for i in range(2, 13)]
+    named = spark.range(400).toDF("code")
+    assert features.label_encode(named, ["code"]).agg(F.sum("code")).first()[0] == 399 * 200
+    assert features.one_hot_slots(named, ["code"]).where("code_slot = 398 and code_size = 399").count() == 1
 
 
 def test_one_hot_of_many_levels(spark):
