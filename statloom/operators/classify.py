@@ -114,7 +114,7 @@ def gamma_scale(moments: linear.Moments) -> float:
     return 1.0 / (len(moments.mean) * spread) if spread > 0 else 1.0
 
 
-def converged_svm(train: DataFrame, n: int, c: float, max_iter: int = 100, most: int = 6400):
+def converged_svm(train: DataFrame, n: int, c: float, max_iter: int = 1600, most: int = 25_600):
     """A linear machine whose optimizer has stopped by itself: with more steps as long as it used all."""
     while True:
         model = linear_svm(n, c, max_iter=max_iter).fit(train)
