@@ -3,6 +3,9 @@
 The largest inner product is the smallest distance once each vector gets one more component that
 brings all of a shard to the same length, and queries a zero. The triangle inequality then bounds
 from below how near a leaf can come, by the distances of the query to the vantage points above it.
+The bound is relaxed by what rounding may take. A factor on it, as `factor` allows, is not safe: one
+vector much longer than the others lifts all of them to about the same large distance from any query,
+and then a factor skips nearly every leaf.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ BLOCK_QUERIES = 2_048
 SEARCH_PARTS = 64
 HELD_BLOCKS = 16
 TRIALS, TRIAL_ROWS = 8, 256
-FACTOR = 1.25
+FACTOR = 1.0
 SLACK = 1e-7
 NEAR = 1e-12
+SCORED_CELLS = 1 << 22
 
 INDEX = "shard int, dim int, tree binary"
 BLOCK = "block int, dim int, queries binary"
@@ -165,7 +169,9 @@ def search(near: Nearest, tree: dict[str, np.ndarray], factor: float) -> int:
     """Offer the candidates of one tree to a block of queries; the number of leaves looked at.
 
     Each query takes the leaves by their bound, nearest first, and stops at the first whose bound,
-    times `factor`, is beyond its k-th best distance so far.
+    times `factor`, is beyond its k-th best distance so far. Products of whole leaves only choose what
+    is scored; they are trusted up to their rounding, which follows from the two vectors and not from
+    the longest of the tree.
     """
     k, (scale, top) = near.k, tree["shape"]
     size = np.abs(near.queries).max(axis=1)
@@ -188,13 +194,33 @@ def search(near: Nearest, tree: dict[str, np.ndarray], factor: float) -> int:
         best[full, :k] = near.scores[full] / size[full, None] / scale
     best[~np.isfinite(best)] = -np.inf
     known = np.where(full, best[:, k - 1], -np.inf)
-    slack = NEAR * reach**2
-    active, looked, kept = np.arange(len(queries)), 0, []
+    known[full] -= NEAR * np.abs(known[full])
+    dim = queries.shape[1]
+    loose = max(SLACK, 2 * np.sqrt(dim * np.finfo(float).eps))
+    rounding = max(NEAR, 4 * dim * np.finfo(float).eps) * np.sqrt(dim) * np.abs(vectors).max(axis=1)
+    active, looked, kept, waiting = np.arange(len(queries)), 0, [], 0
+
+    def score() -> None:
+        if not kept:
+            return
+        query, place, most = (np.concatenate(x) for x in zip(*kept))
+        kept.clear()
+        still = most >= np.maximum(known, best.min(axis=1))[query]
+        query, place = query[still], place[still]
+        step = max(1, SCORED_CELLS // dim)
+        for begin in range(0, len(query), step):
+            q, p = query[begin : begin + step], place[begin : begin + step]
+            scores = inner_products(near.queries[q], tree["vectors"][p])
+            # Of equal vectors only the k + 1 smallest ids can be among k neighbours, one being the query's own.
+            copies = np.minimum(np.diff(tree["first_id"])[p], k + 1)
+            ids = tree["ids"][np.repeat(tree["first_id"][p] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())]
+            near.offer(np.repeat(q, copies), ids, np.repeat(scores, copies))
+
     for turn in range(order.shape[1]):
         leaf = order[active, turn]
         least = np.maximum(known[active], best[active].min(axis=1))
         kth = np.sqrt(np.maximum(length[active] + top - 2 * least, 0))
-        open_ = factor * (bounds[active, leaf] - SLACK * reach[active]) <= kth
+        open_ = factor * (bounds[active, leaf] - loose * reach[active]) <= kth
         active, leaf = active[open_], leaf[open_]
         if not len(active):
             break
@@ -204,20 +230,18 @@ def search(near: Nearest, tree: dict[str, np.ndarray], factor: float) -> int:
             a, b = tree["leaves"][leaf[group[0]] : leaf[group[0]] + 2]
             who = active[group]
             products = queries[who] @ vectors[a:b].T
-            both = np.concatenate([best[who], products], axis=1)
+            error = np.sqrt(length[who])[:, None] * rounding[a:b]
+            both = np.concatenate([best[who], products - error], axis=1)
             best[who] = -np.partition(-both, k, axis=1)[:, : k + 1]
-            least = np.maximum(known[who], best[who].min(axis=1)) - slack[who]
-            row, column = np.nonzero(products >= least[:, None])
-            kept.append((who[row], a + column, products[row, column]))
-    if kept:
-        query, place, product = (np.concatenate(x) for x in zip(*kept))
-        final = product >= (np.maximum(known, best.min(axis=1)) - slack)[query]
-        query, place = query[final], place[final]
-        scores = inner_products(near.queries[query], tree["vectors"][place])
-        # Of equal vectors only the k + 1 smallest ids can be among k neighbours, one being the query's own.
-        copies = np.minimum(np.diff(tree["first_id"])[place], k + 1)
-        ids = tree["ids"][np.repeat(tree["first_id"][place] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())]
-        near.offer(np.repeat(query, copies), ids, np.repeat(scores, copies))
+            least = np.maximum(known[who], best[who].min(axis=1))
+            most = products + error
+            row, column = np.nonzero(most >= least[:, None])
+            kept.append((who[row], a + column, most[row, column]))
+            waiting += len(row)
+            if waiting * dim > SCORED_CELLS:
+                score()
+                waiting = 0
+    score()
     return looked
 
 
@@ -321,7 +345,7 @@ def neighbours(
 
     Candidates are all rows but those of the query's own id; scores are inner products of the
     original vectors in double precision; ties go to the smaller id. With `factor` 1 the result is
-    exact; a larger one skips leaves that could hold a neighbour, though not likely.
+    exact; a larger one skips leaves that could hold a neighbour, of unequally long vectors most.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
     null ids. An id names one vector, the least of its rows (as arrays sort). Vectors meet those of

@@ -93,6 +93,36 @@ def test_huge_and_tiny_components():
         assert [(-s, i) for s, i in zip(near.scores[q], near.ids[q])] == want
 
 
+def test_one_long_vector_hides_no_neighbour(spark, tmp_path):
+    """A vector much longer than the others lifts them all to about the same distance from a query."""
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(2000, 8)).astype(np.float32)
+    values[7] = 1000
+    lengths = np.exp(rng.normal(size=2000)).astype(np.float32)
+    rows = [(i, v.tolist(), 0, "", 0, 0) for i, v in enumerate(values)] + [(i + 3000, [*v.tolist(), 0.5], 0, "", 0, 0) for i, v in enumerate(values[:, :5] * lengths[:, None])]
+    spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/embeddings.parquet")
+    vectors = {i: np.array(v, dtype=np.float32).astype(float).tolist() for i, v, *_ in rows}
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in QUERIES["op13_neighbours"](spark, str(tmp_path)).collect())
+    assert got == defined(vectors, [i for i in vectors if i % 20 == 0], 20)
+
+
+def test_short_vectors_beside_a_long_one_are_told_apart(monkeypatch):
+    """Few pairs are scored one by one even where all products are tiny beside the longest vector."""
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(1000, 6)) * 1e-20
+    rows[3] = 1.0
+    scored, plain = [], vantage.inner_products
+    monkeypatch.setattr(vantage, "inner_products", lambda a, b: scored.append(len(a)) or plain(a, b))
+    monkeypatch.setattr(vantage, "SCORED_CELLS", 6 * 500, raising=False)
+    asked = np.arange(0, 1000, 20)
+    near = vantage.Nearest(asked, rows[asked], 5)
+    vantage.search(near, vantage.plant(np.arange(1000), rows, leaf_rows=50), 1.0)
+    assert max(scored) <= 500 and sum(scored) < 0.5 * 50 * 1000
+    for q in range(50):
+        want = sorted((-score(rows[asked[q]], rows[i]), i) for i in range(1000) if i != asked[q])[:5]
+        assert [(-s, i) for s, i in zip(near.scores[q], near.ids[q])] == want
+
+
 def test_odd_rows(spark):
     nan, inf = math.nan, math.inf
     vectors = [(i, [float(i % 7), 1.0, -2.0]) for i in range(60)] + [(i, [1.0, float(i)]) for i in range(100, 122)]
