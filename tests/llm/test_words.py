@@ -1,7 +1,10 @@
 """Perplexity under the word model."""
 
 import math
+import os
+import random
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import pytest
 
@@ -76,3 +79,25 @@ def test_words_of_odd_rows(spark, odd, nothing):
     assert wordmodel.perplexity(nothing, ids).count() == 0
     untrusted = wordmodel.perplexity(odd, ids.limit(0)).collect()
     assert all(r.kept == (r.n_grams > 0) for r in untrusted)
+
+
+def test_what_is_stored_is_less_than_the_texts(spark, monkeypatch):
+    """Neither a copy of the texts nor the table of n-grams is written, and shuffle files do not pile up."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(20000)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    stored, plain = [], wordmodel.materialise
+
+    def watched(df, name):
+        out = plain(df, name)
+        stored.append(sum(os.path.getsize(urlparse(f).path) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(wordmodel, "materialise", watched)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    got = wordmodel.perplexity(docs, docs.where("doc_id % 2 = 0").select("doc_id")).collect()
+    assert len(got) == 200 and all(r.n_grams == 2000 for r in got)
+    assert sum(stored) < 0.6 * sum(map(len, texts))
+    assert spark.conf.get(cleanup) == before
