@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 
 def floor_mod(a: Column, b: int) -> Column:
@@ -73,42 +76,72 @@ def tiered_discount(total: Column, above: float, rate: float) -> Column:
 
 
 # Primes below 1000 decide numbers below 1009 * 1009 by division; the first twelve are witnesses that
-# decide every 64-bit number.
+# decide every 64-bit number, the first four those below WITNESSED.
 SMALL_PRIMES = [p for p in range(2, 1000) if all(p % d for d in range(2, int(p**0.5) + 1))]
+DIVIDED, WITNESSED = 1_018_081, 3_215_031_751
 
 
 def is_prime(n: Column) -> Column:
-    """Primality. 0, 1 and negatives are not prime. Constant work: division by small primes, then for
-    larger numbers the Miller-Rabin test with fixed witnesses."""
-    primes = F.array(*[F.lit(p) for p in SMALL_PRIMES])
-    divided = F.exists(primes, lambda p: (n % p == 0) & (n != p))
-    return (n > 1) & ~divided & F.when(n < 1_018_081, True).otherwise(_no_witness(n))
-
-
-def _no_witness(n: Column) -> Column:
-    """Whether a^d is 1, or a^(d 2^r) is -1 for some r below s, for all witnesses a; n - 1 = d 2^s."""
-    big = n.cast("decimal(38,0)")
-    places = F.sequence(F.lit(0), F.lit(62))
-    s = F.array_min(F.filter(places, lambda i: F.call_function("shiftright", n - 1, i).bitwiseAND(F.lit(1)) == 1))
-
-    def product(a: Column, b: Column) -> Column:
-        return ((a * b).cast("decimal(38,0)") % big).cast("decimal(38,0)")
-
-    def passes(a: Column) -> Column:
-        one = F.lit(1).cast("decimal(38,0)")
-        # The bits of n - 1 from the top: after those of d the value is a^d, and each further one squares it.
-        start = F.struct(one.alias("x"), F.lit(False).alias("fine"))
-
-        def step(state: Column, i: Column) -> Column:
-            bit = F.call_function("shiftright", n - 1, i).bitwiseAND(F.lit(1)) == 1
-            squared = product(state["x"], state["x"])
-            x = F.when(bit, product(squared, a.cast("decimal(38,0)"))).otherwise(squared)
-            hit = ((i == s) & (x == 1)) | ((i <= s) & (i > 0) & (x == big - 1))
-            return F.struct(x.alias("x"), (state["fine"] | hit).alias("fine"))
-
-        return F.aggregate(F.reverse(places), start, step, lambda state: state["fine"])
-
-    return F.forall(F.array(*[F.lit(p) for p in SMALL_PRIMES[:12]]), passes)
+    """Primality of an integer. 0, 1 and negatives are not prime. Small divisors are native expressions, which
+    a filter evaluates first; batches of what they leave are divided by the other small primes, and
+    larger numbers take the Miller-Rabin test with fixed witnesses."""
+    found = n > 1
+    for p in SMALL_PRIMES[:4]:
+        found = found & ((n % p != 0) | (n == p))
+    # The shift by 0 admits integers only.
+    return found & _prime(F.call_function("shiftright", n, F.lit(0)).cast("bigint"))
+
+
+@F.arrow_udf(BooleanType())
+def _prime(values: pa.Array) -> pa.Array:
+    missing = values.is_null().to_numpy(zero_copy_only=False)
+    return pa.array(primes(values.fill_null(0).to_numpy(zero_copy_only=False)), pa.bool_(), mask=missing)
+
+
+def primes(values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit integers are prime."""
+    found = values > 1
+    left = np.flatnonzero(found)
+    for p in SMALL_PRIMES:
+        left = left[values[left] >= p * p]
+        hit = values[left] % p == 0
+        found[left[hit]] = False
+        left = left[~hit]
+    left = left[values[left] >= DIVIDED]
+    large = values[left] >= WITNESSED
+    found[left[~large]] = _unwitnessed(values[left[~large]].astype(np.uint64))
+    found[left[large]] = [_no_witness(n) for n in values[left[large]].tolist()]
+    return found
+
+
+def _unwitnessed(n: np.ndarray) -> np.ndarray:
+    """Odd numbers below WITNESSED, whose products fit into 64 bits, by four witnesses at once: whether
+    a^d is 1, or a^(d 2^r) is -1 for some r below s, where n - 1 = d 2^s."""
+    one = np.uint64(1)
+    low = (n - one) & (~(n - one) + one)
+    d, found = (n - one) // low, np.ones(len(n), bool)
+    for a in SMALL_PRIMES[:4]:
+        x = np.ones_like(n)
+        for bit in range(31, -1, -1):
+            x = x * x % n
+            x = np.where(d >> np.uint64(bit) & one == one, x * np.uint64(a) % n, x)
+        fine, r = (x == one) | (x == n - one), one
+        while (~fine & (r < low)).any():
+            x = x * x % n
+            r = r << one
+            fine |= (r < low) & (x == n - one)
+        found &= fine
+    return found
+
+
+def _no_witness(n: int) -> bool:
+    s = ((n - 1) & (1 - n)).bit_length() - 1
+    d = (n - 1) >> s
+    for a in SMALL_PRIMES[:12]:
+        x = pow(a, d, n)
+        if x != 1 and not any((x if r == 0 else pow(a, d << r, n)) == n - 1 for r in range(s)):
+            return False
+    return True
 
 
 def normal_quantile(p: float) -> float:

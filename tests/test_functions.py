@@ -52,6 +52,27 @@ def test_primes(spark):
     assert flags == want
 
 
+def test_primes_of_all_sizes(spark):
+    """By batches, with the remainders that each size needs, against trial division."""
+    sieve = np.ones(1_100_000, bool)
+    sieve[:2] = False
+    for d in range(2, 1050):
+        sieve[d * d :: d] &= not sieve[d]
+    assert (scalar.primes(np.arange(1_100_000)) == sieve).all()
+    divisors = np.flatnonzero(sieve)[:30_000]
+    for start in (25_326_000, 3_215_031_000, 4_294_967_000, 60_000_000_001):
+        some = np.arange(start, start + 2_000)
+        want = ~np.array([(n % divisors == 0).any() for n in some])
+        assert (scalar.primes(some) == want).all()
+    odd = {2**61 - 1: True, 2**63 - 25: True, 2**63 - 1: False, 3_215_031_751: False, 3_825_123_056_546_413_051: False, 341_550_071_728_321: False, 1009**2: False, -7: False}
+    odd |= {3_037_000_493**2: False, 1_021_457 * 3: False, 65_537: True, 4_294_967_291: True}
+    numbers = [*odd, None]
+    assert column(spark, numbers, scalar.is_prime(F.col("x")), "bigint") == [*odd.values(), None]
+    assert column(spark, [2, 1009, 9, None], scalar.is_prime(F.col("x")), "int") == [True, True, False, None]
+    plan = spark.range(10).where(scalar.is_prime(F.col("id")))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "exists" not in plan and "aggregate(" not in plan
+
+
 def test_list_trace(spark):
     a = F.split("x", ",")
     a = arrays.append(a, F.lit("Alpha"))
