@@ -309,3 +309,26 @@ def test_many_matches_in_one_text(spark):
 
     few = seconds(8_000)
     assert seconds(32_000) < 5 * max(few, 1)
+
+
+# Texts that just hold, or just miss, what a pattern needs.
+NEAR = ["a@b.c", "@", "a@b", "1.2.3.4", "1.2.3", "12.34.56.78.9", ".1.2", "4111 1111 1111 1111", "411111111111 1", "4111-1111-1111", "4111  1111 1111 1111 1", "1" * 13, "1" * 12]
+NEAR += ["+49 30 123456789", "+", "+1", "49 30 123456789", "555-123-4567", "(555) 123 4567", "555.123-456", "123-45-6789", "123-45-678", "1-23-4", "DE44500105175407324931"]
+NEAR += ["de44500105175407324931", "DE4", "Mr Smith", "Mrs. Smith", "Señora García", "Señor. Ñu", "Mr smith", "Mrsmith", "Frau Müller", "mr Smith", "Dr.  No", "٣.٤.٥.٦", ""]
+
+
+def test_pii_patterns_are_tried_only_where_they_can_match(spark):
+    texts = [*NEAR, *[f"{a} {b}" for a in NEAR[:-1] for b in NEAR[:-1]]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, pii_text string")
+    patterns = pii.BASE | pii.ADDED
+    everywhere = spans.with_matches(rows, "pii_text", patterns).select("i", *[pii.named_spans(k).alias(k) for k in pii.KINDS])
+    gated = spans.with_matches(rows.withColumn("pii_digit", F.col("pii_text").rlike("[0-9]")), "pii_text", patterns, pii.can_hold)
+    gated = gated.select("i", *[pii.named_spans(k).alias(k) for k in pii.KINDS])
+    assert everywhere.orderBy("i").collect() == gated.orderBy("i").collect()
+    found = gated.select([F.sum(F.size(k)).alias(k) for k in pii.KINDS]).first()
+    assert all(n > 0 for n in found)
+    plan = pii.candidates(rows)._jdf.queryExecution().optimizedPlan().toString()
+    splits = [plan[max(at.start() - 5, 0) : at.start()] for at in re.finditer(r"split\(pii_text", plan)]
+    assert len(splits) == len(pii.KINDS) and all(before == "THEN " for before in splits)
+    # The search for a digit is shared by all kinds that need one.
+    assert len(re.findall(r"RLIKE\(pii_text#\d+, \[0-9\]\)", plan)) == 1
