@@ -1,4 +1,5 @@
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -17,13 +18,29 @@ from statloom.operators import (
     profile,
     ranks,
 )
+from statloom.plans import models
+from statloom.plans.catalogue import REGISTRY
 from statloom.plans.reports import revenue
+from statloom.session import materialise
 from statloom.sources.tables import from_rows, integer_range
 from statloom.streaming.scoring import Field, accepted, rejects
 
 NAN = float("nan")
 
 
+def lineitem(spark, root, rows):
+    """A folder with a table of line items: order, line, quantity, price, discount, tax."""
+    kinds = "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    table = spark.createDataFrame(rows, kinds).withColumns({"l_partkey": F.lit(1).cast("bigint"), "l_suppkey": F.lit(2).cast("bigint")})
+    texts = {c: F.lit("N") for c in ("l_returnflag", "l_linestatus")}
+    table.withColumns(texts | {"l_shipdate": F.lit("1995-01-01").cast("timestamp_ntz")}).write.parquet(f"{root}/lineitem.parquet")
+    return str(root)
+
+
+ODD_LINES = [(i, 1 + i % 7, 1.0 + i % 50, 900.0 + 37.0 * (i * i % 997), (i % 11) / 100, (i % 9) / 100) for i in range(600)]
+ODD_LINES += [*ODD_LINES[:40], (None, 1, 5.0, 1000.0, 0.01, 0.02), (None, None, None, None, None, None), (7, 2, None, 2000.0, 0.03, None), (8, 3, NAN, 3000.0, NAN, 0.01)]
+
+
 def numbers(spark, values, parts=4):
     return spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "v double").repartition(parts)
 
@@ -312,3 +329,30 @@ def test_plans_keep_raw_rows_off_a_single_partition(spark, root):
     scan = table(spark, root, "lineitem").select("l_tax").where("l_quantity > 5")
     text = scan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,5.0)" in text and "l_extendedprice" not in text
+
+
+def test_forest_flags_reads_and_writes_the_lines_no_more_than_needed(spark, tmp_path, monkeypatch):
+    root, written, scored = lineitem(spark, tmp_path, ODD_LINES), [], []
+
+    def flag_outliers(*args):
+        scored.append(forest.flag_outliers(*args))
+        return scored[-1]
+
+    def write(df, name):
+        written.append(df)
+        return materialise(df, name)
+
+    monkeypatch.setattr(models, "forest", SimpleNamespace(flag_outliers=flag_outliers))
+    monkeypatch.setattr(models, "materialise", write)
+    found = REGISTRY["forest_flags"].run(spark, root).collect()
+    # Beside the scores only the summary is written, which reads three columns of them.
+    assert [df.count() for df in written] == [1]
+    out = scored[0].toPandas()
+    worst = out["outlier_flag"] == -1
+    assert found[0].asDict() == {
+        "n_rows": len(ODD_LINES) + 20,
+        "share": round(worst.mean(), 2),
+        "in_range": True,
+        "flags_are_the_highest": bool(out["score"][worst].min() > out["score"][~worst].max()),
+        "planted_found": 20,
+    }
