@@ -14,7 +14,7 @@ from statloom.functions.distributions import (
     t_quantile_column,
 )
 from statloom.functions.scalar import normal_quantile
-from statloom.operators.profile import per_column
+from statloom.operators.profile import group_moments
 from statloom.operators.ranks import col, observed
 
 REJECT, KEEP = "reject", "fail to reject"
@@ -72,16 +72,13 @@ def cost_hypothesis(fixed: float, variable: float, units: float, sigma_units: fl
     return fixed + variable * units, variable * sigma_units
 
 
-def anova(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+def anova(df: DataFrame, label: str, cols: Sequence[str], groups: DataFrame | None = None) -> DataFrame:
     """One-way analysis of variance of many variables in one pass over the data:
     (column, df_between, df_within, f, p_value). F is null where the within-group variance is zero
-    or the freedom is exhausted."""
-    groups = per_column(
-        df,
-        [c for c in cols if c != label],
-        {"n": F.count, "mean": F.avg, "spread": lambda c: F.var_pop(c) * F.count(c)},
-        [label],
-    ).where("n > 0")
+    or the freedom is exhausted. A caller may have the `group_moments` of these variables."""
+    if groups is None:
+        groups = group_moments(df, label, [c for c in cols if c != label])
+    groups = groups.where("n > 0")
     k = F.count(F.lit(1))
     n = F.sum("n")
     # Between-group sum of squares around the pooled mean, from group sizes and means.

@@ -356,3 +356,69 @@ def test_forest_flags_reads_and_writes_the_lines_no_more_than_needed(spark, tmp_
         "flags_are_the_highest": bool(out["score"][worst].min() > out["score"][~worst].max()),
         "planted_found": 20,
     }
+
+
+def test_statistics_of_one_table_share_a_scan(spark, tmp_path):
+    spark.createDataFrame([(float(i % 13), float(i * i % 101), i % 3) for i in range(300)] + [(NAN, None, 1), (None, 2.0, None)], "a double, b double, g int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.schema("a double, b double, g int").parquet(str(tmp_path / "t"))
+    quartiles = ranks.quantiles(df, ["a", "b"], profile.QUARTILES)
+    label = F.col("g") == 1
+    sums = materialise(profile.shared_sums(df, ["a", "b"], "g", label, quartiles), "sums")
+    parts = [
+        profile.describe(df, ["a", "b"], quartiles, sums),
+        profile.outlier_counts(df, ["a", "b"], sums=sums),
+        profile.correlations(df, ["a", "b"], sums),
+        profile.target_correlations(df, "g", ["a", "b"], sums),
+        profile.top_correlated(df, "g", ["a", "b"], 1, sums),
+        profile.subset_class_share(df, "a", "b", label, sums=sums),
+    ]
+    apart = [
+        profile.describe(df, ["a", "b"]),
+        profile.outlier_counts(df, ["a", "b"]),
+        profile.correlations(df, ["a", "b"]),
+        profile.target_correlations(df, "g", ["a", "b"]),
+        profile.top_correlated(df, "g", ["a", "b"], 1),
+        profile.subset_class_share(df, "a", "b", label),
+    ]
+    for part, other in zip(parts, apart, strict=True):
+        assert part.dtypes == other.dtypes and sorted(map(str, part.collect())) == sorted(map(str, other.collect()))
+        assert not {*part.inputFiles()} & {*df.inputFiles()} and {*other.inputFiles()} >= {*df.inputFiles()}
+
+
+def test_statistics_per_group_from_sums_of_the_groups(spark):
+    rows = [(i % 3 + 1, float(i % 7), float(i * i % 11)) for i in range(200)] + [(1, NAN, None), (2, None, 1.0), (None, 1.0, 2.0), (4, None, None)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    groups = profile.group_moments(df, "g", ["a", "b"])
+    counts = groups.where("column = 'a'").select("g", F.col("rows").alias("n"))
+    text = lambda found: sorted(map(str, found.collect()))
+    assert text(profile.value_counts(df, "g", counts)) == text(profile.value_counts(df, "g"))
+    assert text(infer.anova(df, "g", ["a", "b"], groups)) == text(infer.anova(df, "g", ["a", "b"]))
+    assert text(profile.group_mean_median(df, "g", ["a", "b"], True, groups)) == text(profile.group_mean_median(df, "g", ["a", "b"]))
+
+
+def test_eda_report_of_odd_lines(spark, tmp_path, monkeypatch):
+    """Shared quartiles and sums give what every section would compute for itself."""
+    root, calls = lineitem(spark, tmp_path, ODD_LINES), []
+    quantiles = ranks.quantiles
+
+    def counted(df, *args, **kwargs):
+        calls.append("line" in df.columns and "tax" in df.columns)
+        return quantiles(df, *args, **kwargs)
+
+    monkeypatch.setattr(ranks, "quantiles", counted)
+    found = {(r["section"], r["name"], r["measure"]): r["value"] for r in REGISTRY["eda_report"].run(spark, root).collect()}
+    # The median of one fill, those for negatives, the quartiles of all sections, and the medians per class.
+    assert len(calls) == 4
+    data, cols = REGISTRY["clean_chain"].run(spark, root), ["quantity", "margin"]
+    for r in profile.describe(data, cols).collect():
+        assert all(found["describe", r["column"], s] == pytest.approx(r[s], abs=6e-5) for s in ("count", "mean", "std", "min", "q1", "median", "q3", "max"))
+    for r in profile.outlier_counts(data, cols).collect():
+        assert found["outliers", r["column"], "outliers"] == r["outliers"]
+    for r in profile.value_counts(data, "line").collect():
+        assert found["share", str(r["line"]), "n"] == r["n"]
+    for r in profile.group_mean_median(data, "line", cols).collect():
+        assert found[f"line {r['line']}", r["column"], "median"] == pytest.approx(r["median"], abs=6e-5)
+    for r in infer.anova(data, "line", cols).collect():
+        assert found["anova", r["column"], "f"] == pytest.approx(r["f"], abs=6e-4)
+    for r in profile.subset_class_share(data, *cols, F.col("line") == 2).collect():
+        assert found["subset", r["subset"], "n"] == r["n"]
